@@ -1,4 +1,4 @@
 """All registered queries, one module per family."""
 
-from millrace.plans import words  # noqa: F401
+from millrace.plans import aggregates, filters, joins, ordering, words  # noqa: F401
 from millrace.plans.registry import PLANS, Plan, Tables, plan  # noqa: F401
