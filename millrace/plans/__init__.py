@@ -1,4 +1,15 @@
 """All registered queries, one module per family."""
 
-from millrace.plans import aggregates, filters, joins, ordering, words  # noqa: F401
+from millrace.plans import (  # noqa: F401
+    aggregates,
+    charts,
+    filters,
+    graphs,
+    joins,
+    keyed,
+    learning,
+    ordering,
+    statistics,
+    words,
+)
 from millrace.plans.registry import PLANS, Plan, Tables, plan  # noqa: F401
