@@ -9,7 +9,9 @@ from millrace.plans import (  # noqa: F401
     keyed,
     learning,
     ordering,
+    sources,
     statistics,
+    streams,
     words,
 )
 from millrace.plans.registry import PLANS, Plan, Tables, plan  # noqa: F401
