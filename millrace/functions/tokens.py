@@ -30,8 +30,7 @@ def blank_tokens(text: Column) -> Column:
 
 def alnum_tokens(text: Column) -> Column:
     """Lower-case runs of ASCII letters and digits: ``don't`` gives ``don`` and ``t``."""
-    spaced = F.lower(F.regexp_replace(text, "[^a-zA-Z0-9]+", " "))
-    return F.array_remove(F.split(spaced, " "), "")
+    return F.transform(F.regexp_extract_all(text, F.lit("([a-zA-Z0-9]+)"), F.lit(1)), F.lower)
 
 
 def sentences(text: Column) -> Column:
@@ -60,7 +59,10 @@ def alpha_prefix(token: Column) -> Column:
 
 
 def neighbours(tokens: Column) -> Column:
-    """Array of (w1, w2) pairs of adjacent tokens; empty below two tokens."""
+    """Array of (w1, w2) pairs of adjacent tokens; empty below two tokens.
+
+    ``tokens`` is used several times, so pass a column of an earlier select rather than an expression.
+    """
     last = F.greatest(F.size(tokens) - 1, F.lit(0))
     pairs = F.arrays_zip(F.slice(tokens, F.lit(1), last).alias("w1"), F.slice(tokens, F.lit(2), last).alias("w2"))
     return pairs.cast("array<struct<w1:string,w2:string>>")

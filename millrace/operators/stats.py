@@ -64,9 +64,16 @@ def outliers(df: DataFrame, by: Sequence[str], value: str) -> DataFrame:
     return placed.filter(~F.col(value).between(F.col("low_fence"), F.col("high_fence"))).drop("low_fence", "high_fence")
 
 
+def _at_break(x: Column, low: Column, width: Column) -> Column:
+    """Index of the last break ``low + i * width`` at or below x, exact where the division rounds."""
+    near = F.floor((x - low) / width)
+    return (near + F.when(x >= low + (near + 1) * width, 1).otherwise(0)
+            - F.when(x < low + near * width, 1).otherwise(0))
+
+
 def fixed_bin(x: Column, low: float, width: float, bins: int) -> Column:
     """Bin number from 0 of a left-closed bin, NULL outside the breaks."""
-    at = F.floor((x - F.lit(float(low))) / F.lit(float(width)))
+    at = _at_break(x, F.lit(float(low)), F.lit(float(width)))
     return F.when((at >= 0) & (at < bins), at)
 
 
@@ -113,7 +120,7 @@ def histogram(df: DataFrame, value: str, bins: int | None = None) -> DataFrame:
     shape = number.agg(F.min("v").alias("lo"), F.max("v").alias("hi"), count.cast("bigint").alias("bins"))
     shape = shape.withColumn("width", (F.col("hi") - F.col("lo")) / F.col("bins"))
     limits = shape.select(F.struct("lo", "width", "bins")).scalar()
-    at = F.when(limits["width"] > 0, F.floor((F.col("v") - limits["lo"]) / limits["width"])).otherwise(0)
+    at = F.when(limits["width"] > 0, _at_break(F.col("v"), limits["lo"], limits["width"])).otherwise(0)
     counted = number.groupBy(F.least(at, limits["bins"] - 1).alias("bin")).agg(F.count(F.lit(1)).alias("y"))
     every = shape.select(F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("bins") - 1)).alias("bin"), "lo", "width")
     return every.join(counted, "bin", "left").select(

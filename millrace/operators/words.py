@@ -19,7 +19,7 @@ def count_by(df: DataFrame, *keys: str, name: str = "n") -> DataFrame:
 def tokens_of(df: DataFrame, text: str, tokenizer: Callable[[Column], Column] = tk.alnum_tokens,
               keep: Sequence[str] = (), name: str = "word") -> DataFrame:
     """One row per token, with the columns ``keep``."""
-    return spread(df).select(*keep, F.explode(tokenizer(F.col(text))).alias(name))
+    return spread(df.select(*keep, text)).select(*keep, F.explode(tokenizer(F.col(text))).alias(name))
 
 
 def word_count(df: DataFrame, text: str, tokenizer: Callable[[Column], Column] = tk.alnum_tokens) -> DataFrame:
@@ -57,8 +57,9 @@ def frequency_of_frequency(counts: DataFrame) -> DataFrame:
 
 def bigrams(df: DataFrame, text: str, units: Callable[[Column], Column] = tk.sentences) -> DataFrame:
     """One row per adjacent word pair inside a unit (a sentence, or with ``tokens.lines`` a line)."""
-    unit = spread(df).select(F.explode(units(F.col(text))).alias("unit"))
-    return unit.select(F.inline(tk.neighbours(tk.alnum_tokens(F.col("unit")))))
+    unit = spread(df.select(text)).select(F.explode(units(F.col(text))).alias("unit"))
+    tokens = unit.select(tk.alnum_tokens(F.col("unit")).alias("tokens"))
+    return tokens.select(F.inline(tk.neighbours(F.col("tokens"))))
 
 
 def bigram_count(df: DataFrame, text: str, units: Callable[[Column], Column] = tk.sentences) -> DataFrame:
@@ -73,7 +74,7 @@ def pairs_with(pairs: DataFrame, word: str) -> DataFrame:
 def token_table(df: DataFrame, doc: str, text: str,
                 tokenizer: Callable[[Column], Column] = tk.alnum_tokens) -> DataFrame:
     """Corpus form: one row per document, position (from 0) and token."""
-    return spread(df).select(F.col(doc), F.posexplode(tokenizer(F.col(text))).alias("pos", "token"))
+    return spread(df.select(doc, text)).select(F.col(doc), F.posexplode(tokenizer(F.col(text))).alias("pos", "token"))
 
 
 def adjacent_pairs(token_rows: DataFrame, doc: str) -> DataFrame:
