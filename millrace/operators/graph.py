@@ -12,6 +12,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from millrace.operators.joins import salted_join
 from millrace.session import freeze
 
 PROPS = "map<string,string>"
@@ -90,10 +91,12 @@ def triples(nodes: DataFrame, edges: DataFrame) -> DataFrame:
 
 
 def _between(nodes: DataFrame, edges: DataFrame, src_label: str, type: str, dst_label: str) -> DataFrame:
-    """Edges of one type between nodes of the given labels, as (src, dst)."""
-    typed = edges.filter(F.col("type") == type).select("src", "dst")
-    return (typed.join(ids_with(nodes, src_label).withColumnRenamed("id", "src"), "src", "left_semi")
-            .join(ids_with(nodes, dst_label).withColumnRenamed("id", "dst"), "dst", "left_semi"))
+    """Edges of one type between nodes of the given labels, as (src, dst, n): parallel edges are counted."""
+    typed = edges.filter(F.col("type") == type).groupBy("src", "dst").agg(F.count(F.lit(1)).alias("n"))
+    from_src = ids_with(nodes, src_label).withColumnRenamed("id", "src")
+    to_dst = ids_with(nodes, dst_label).withColumnRenamed("id", "dst")
+    kept = salted_join(typed, from_src, ["src"], "left_semi", F.col("dst"))
+    return salted_join(kept, to_dst, ["dst"], "left_semi", F.col("src"))
 
 
 def co_actors(nodes: DataFrame, edges: DataFrame, label: str, type: str, target: str) -> DataFrame:
@@ -103,8 +106,8 @@ def co_actors(nodes: DataFrame, edges: DataFrame, label: str, type: str, target:
     all its sources.
     """
     acting = _between(nodes, edges, label, type, target)
-    shared = acting.groupBy("dst").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("dst")
-    found = acting.join(shared, "dst", "left_semi").select(F.col("src").alias("id")).distinct()
+    shared = acting.groupBy("dst").agg(F.sum("n").alias("edges")).filter("edges > 1").select("dst")
+    found = salted_join(acting, shared, ["dst"], "left_semi", F.col("src")).select(F.col("src").alias("id")).distinct()
     return nodes.join(found, "id", "left_semi").select("id", "name")
 
 
@@ -113,15 +116,15 @@ def directors_of_cast(nodes: DataFrame, edges: DataFrame, director: tuple[str, s
     """(d:director)-[:type]->(m:target)<-[:type]-(:actor), distinct d; each pair is (label, edge type)."""
     directing = _between(nodes, edges, director[0], director[1], target)
     cast = _between(nodes, edges, actor[0], actor[1], target).select("dst").distinct()
-    found = directing.join(cast, "dst", "left_semi").select(F.col("src").alias("id")).distinct()
+    found = salted_join(directing, cast, ["dst"], "left_semi", F.col("src")).select(F.col("src").alias("id")).distinct()
     return nodes.join(found, "id", "left_semi").select("id", "name")
 
 
 def detach_delete(nodes: DataFrame, edges: DataFrame, where: Column) -> tuple[DataFrame, DataFrame]:
     """Delete the matching nodes and every edge that touches one."""
     doomed = nodes.filter(where).select("id")
-    kept_edges = (edges.join(doomed.withColumnRenamed("id", "src"), "src", "left_anti")
-                  .join(doomed.withColumnRenamed("id", "dst"), "dst", "left_anti"))
+    kept_edges = salted_join(edges, doomed.withColumnRenamed("id", "src"), ["src"], "left_anti", F.col("dst"))
+    kept_edges = salted_join(kept_edges, doomed.withColumnRenamed("id", "dst"), ["dst"], "left_anti", F.col("src"))
     return nodes.filter(~F.coalesce(where, F.lit(False))), kept_edges.select("src", "dst", "type", "props")
 
 
@@ -131,12 +134,13 @@ def traverse(edges: DataFrame, start: DataFrame, type: str, max_depth: int = 10)
     Breadth-first: each round joins the edges with the newest ring only, and drops what was seen. The
     rings are frozen, so the plan stays short and a lost executor does not redo earlier rounds.
     """
-    steps = edges.filter(F.col("type") == type).select("src", "dst")
+    steps = freeze(edges.filter(F.col("type") == type).select("src", "dst").distinct())
     ring = freeze(start.select("id").distinct())
     rings = [ring]
     for _ in range(max_depth):
         seen = reduce(DataFrame.union, rings)
-        ahead = steps.join(ring.withColumnRenamed("id", "src"), "src", "left_semi").select(F.col("dst").alias("id"))
+        here = ring.withColumnRenamed("id", "src")
+        ahead = salted_join(steps, here, ["src"], "left_semi", F.col("dst")).select(F.col("dst").alias("id"))
         ring = freeze(ahead.distinct().join(seen, "id", "left_anti"))
         if ring.isEmpty():
             break

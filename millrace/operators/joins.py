@@ -1,15 +1,37 @@
 """Joins: vocabularies, participants, lookups and lexicons.
 
 Every side that can be reduced first is: a semi-join needs each key once, a count needs no pairs. What is
-left joins many rows to one row per key, the shape in which AQE splits a hot partition by itself.
+left joins many rows to one row per key. Where an aggregate on the same key follows, the key is salted;
+where none follows, AQE splits a hot partition by itself.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+def salted_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str, salt_by: Column,
+                salts: int = 16) -> DataFrame:
+    """Join rows whose keys may be hot to a table with one row per key; NULL keys match each other.
+
+    The left rows of a key go to ``salts`` tasks by a hash of another column, and each right row is
+    sent to all of them. Spark's own choice of a broadcast for a small right side still applies.
+    """
+    a = left.withColumn("_salt", F.pmod(F.hash(salt_by), F.lit(salts))).alias("a")
+    b = right.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))).alias("b")
+    condition = F.col("a._salt") == F.col("b._salt")
+    for key in keys:
+        condition = condition & F.col(f"a.{key}").eqNullSafe(F.col(f"b.{key}"))
+    joined = a.join(b, condition, how)
+    if how in ("left_semi", "left_anti"):
+        return joined.drop("_salt")
+    added = [F.col(f"b.{c}") for c in right.columns if c not in keys]
+    return joined.select(*[F.col(f"a.{c}") for c in left.columns], *added)
+
+
 def merge_vocabularies(left: DataFrame, right: DataFrame) -> DataFrame:
     """Full outer join of two (word, n) tables: word, left_n, right_n, NULL where a side lacks the word."""
     a, b = left.alias("a"), right.alias("b")
@@ -38,17 +60,19 @@ def co_participants(edges: DataFrame, src: str, dst: str) -> DataFrame:
     A shared target is one whose smallest and largest source differ. That needs one combined row per
     target, where a self-join would make every pair of a popular target.
     """
+    links = edges.select(src, dst).distinct()
     shared = (
         edges.groupBy(dst).agg(F.min(src).alias("_lo"), F.max(src).alias("_hi"))
         .filter(F.col("_lo") != F.col("_hi")).select(dst)
     )
-    return edges.select(src, dst).join(shared, dst, "left_semi").select(src).distinct()
+    return salted_join(links, shared, [dst], "left_semi", F.col(src)).select(src).distinct()
 
 
 def reaching_targets_of(edges: DataFrame, src: str, dst: str, others: DataFrame, other_dst: str) -> DataFrame:
     """Distinct sources with an edge to a target that also has an edge in ``others``."""
+    links = edges.select(src, dst).distinct()
     targets = others.select(F.col(other_dst).alias(dst)).distinct()
-    return edges.select(src, dst).join(targets, dst, "left_semi").select(src).distinct()
+    return salted_join(links, targets, [dst], "left_semi", F.col(src)).select(src).distinct()
 
 
 def double_lookup(links: DataFrame, src_key: str, dst_key: str, src: DataFrame, dst: DataFrame,

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from millrace.operators.joins import salted_join
 from millrace.operators.ordered import quantiles, value_counts
 
 QUARTILES = {"q1": 0.25, "median": 0.5, "q3": 0.75}
@@ -29,12 +30,9 @@ def fences(df: DataFrame, by: Sequence[str], value: str, reach: float = 1.5) ->
         (F.col("q3") + spread).alias("high_fence"))
 
 
-def _with_fences(df: DataFrame, box: DataFrame, by: Sequence[str]) -> DataFrame:
-    a, b = df.alias("a"), box.drop("n").alias("b")
-    condition = F.lit(True)
-    for key in by:
-        condition = condition & F.col(f"a.{key}").eqNullSafe(F.col(f"b.{key}"))
-    return a.join(b, condition).select("a.*", "b.low_fence", "b.high_fence")
+def _with_fences(df: DataFrame, box: DataFrame, by: Sequence[str], value: str) -> DataFrame:
+    limits = box.select(*by, "low_fence", "high_fence")
+    return salted_join(df, limits, by, "inner", F.col(value))
 
 
 def boxplot_stats(df: DataFrame, by: Sequence[str], value: str) -> DataFrame:
@@ -44,7 +42,7 @@ def boxplot_stats(df: DataFrame, by: Sequence[str], value: str) -> DataFrame:
     not from the rows.
     """
     box = fences(df, by, value)
-    placed = _with_fences(value_counts(df, by, value), box, by)
+    placed = _with_fences(value_counts(df, by, value), box, by, value)
     inside = F.col(value).between(F.col("low_fence"), F.col("high_fence"))
     whiskers = placed.groupBy(*by).agg(
         F.min(F.when(inside, F.col(value))).alias("low_whisker"),
@@ -60,7 +58,7 @@ def boxplot_stats(df: DataFrame, by: Sequence[str], value: str) -> DataFrame:
 
 def outliers(df: DataFrame, by: Sequence[str], value: str) -> DataFrame:
     """The rows outside the fences of their group."""
-    placed = _with_fences(df, fences(df, by, value), by)
+    placed = _with_fences(df, fences(df, by, value), by, value)
     return placed.filter(~F.col(value).between(F.col("low_fence"), F.col("high_fence"))).drop("low_fence", "high_fence")
 
 

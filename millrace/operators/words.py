@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from millrace.functions import tokens as tk
 from millrace.operators.ordered import next_in_group, rank_top
-from millrace.session import spread
 
 
 def count_by(df: DataFrame, *keys: str, name: str = "n") -> DataFrame:
@@ -19,17 +18,27 @@ def count_by(df: DataFrame, *keys: str, name: str = "n") -> DataFrame:
 def tokens_of(df: DataFrame, text: str, tokenizer: Callable[[Column], Column] = tk.alnum_tokens,
               keep: Sequence[str] = (), name: str = "word") -> DataFrame:
     """One row per token, with the columns ``keep``."""
-    return spread(df.select(*keep, text)).select(*keep, F.explode(tokenizer(F.col(text))).alias(name))
+    return df.select(*keep, F.explode(tokenizer(F.col(text))).alias(name))
 
 
 def word_count(df: DataFrame, text: str, tokenizer: Callable[[Column], Column] = tk.alnum_tokens) -> DataFrame:
     return count_by(tokens_of(df, text, tokenizer), "word")
 
 
+def rule_words(df: DataFrame, text: str, rule: Callable[[Column], Column], name: str = "word") -> DataFrame:
+    """One row per blank-separated token that the rule leaves something of.
+
+    The rule runs inside the token array: a filter on an exploded column would make Spark run it twice.
+    """
+    def words(column: Column) -> Column:
+        return F.array_remove(F.transform(tk.blank_tokens(column), rule), "")
+
+    return tokens_of(df, text, words, name=name)
+
+
 def fragment_word_count(df: DataFrame, text: str, stopwords: Sequence[str] = tuple(tk.STOPWORDS_V2)) -> DataFrame:
     """Count first fragments of blank-separated tokens, without stop words and the two reserved words."""
-    raw = tokens_of(df, text, tk.blank_tokens, name="token")
-    words = raw.select(tk.first_fragment(F.col("token")).alias("word")).filter(F.col("word") != "")
+    words = rule_words(df, text, tk.first_fragment)
     return count_by(drop_words(words, "word", [*stopwords, *tk.RESERVED_WORDS]), "word")
 
 
@@ -41,7 +50,8 @@ def drop_words(df: DataFrame, word: str, stopwords: Sequence[str]) -> DataFrame:
 def recount(counts: DataFrame, normalize: Callable[[Column], Column], stopwords: Sequence[str],
             word: str = "word", n: str = "n") -> DataFrame:
     """Normalize already counted words and add the counts of words that become equal."""
-    merged = counts.select(normalize(F.col(word)).alias("word"), F.col(n).alias("n")).filter(F.col("word") != "")
+    normal = F.array_remove(F.array(normalize(F.col(word))), "")
+    merged = counts.select(F.explode(normal).alias("word"), F.col(n).alias("n"))
     return drop_words(merged, "word", stopwords).groupBy("word").agg(F.sum("n").alias("n"))
 
 
@@ -57,7 +67,7 @@ def frequency_of_frequency(counts: DataFrame) -> DataFrame:
 
 def bigrams(df: DataFrame, text: str, units: Callable[[Column], Column] = tk.sentences) -> DataFrame:
     """One row per adjacent word pair inside a unit (a sentence, or with ``tokens.lines`` a line)."""
-    unit = spread(df.select(text)).select(F.explode(units(F.col(text))).alias("unit"))
+    unit = df.select(F.explode(units(F.col(text))).alias("unit"))
     tokens = unit.select(tk.alnum_tokens(F.col("unit")).alias("tokens"))
     return tokens.select(F.inline(tk.neighbours(F.col("tokens"))))
 
@@ -74,7 +84,7 @@ def pairs_with(pairs: DataFrame, word: str) -> DataFrame:
 def token_table(df: DataFrame, doc: str, text: str,
                 tokenizer: Callable[[Column], Column] = tk.alnum_tokens) -> DataFrame:
     """Corpus form: one row per document, position (from 0) and token."""
-    return spread(df.select(doc, text)).select(F.col(doc), F.posexplode(tokenizer(F.col(text))).alias("pos", "token"))
+    return df.select(F.col(doc), F.posexplode(tokenizer(F.col(text))).alias("pos", "token"))
 
 
 def adjacent_pairs(token_rows: DataFrame, doc: str) -> DataFrame:
@@ -92,7 +102,7 @@ def conditional_frequency(df: DataFrame, condition: str, tokens: Column, samples
         (F.size(tokens) - F.size(F.array_remove(tokens, s))).cast("bigint").alias(s)
         for s in samples
     ]
-    counted = spread(df).select(condition, *per_row)
+    counted = df.select(condition, *per_row)
     return counted.groupBy(condition).agg(*[F.coalesce(F.sum(s), F.lit(0)).alias(s) for s in samples])
 
 
@@ -104,25 +114,22 @@ def concordance(df: DataFrame, doc: str, tokens: Column, word: str, width: int =
     """
     half = (width - len(word) - 2) // 2
     reach = width // 4
-    found = (
-        spread(df)
-        .select(F.col(doc), tokens.alias("tokens"))
-        .withColumn("hits", F.filter(F.transform("tokens", lambda t, i: F.when(F.lower(t) == word.lower(), i)),
-                                     lambda i: i.isNotNull()))
-        .filter(F.size("hits") > 0)
-    )
-    shown = found.select(
-        doc, "tokens", F.size("hits").cast("bigint").alias("matches"),
-        F.posexplode(F.slice("hits", 1, lines)).alias("_line", "at"),
-    )
-    start = F.greatest(F.col("at") - reach, F.lit(0))
-    before = F.array_join(F.slice("tokens", start + 1, F.col("at") - start), " ")
-    after = F.array_join(F.slice("tokens", F.col("at") + 2, F.lit(reach - 1)), " ")
-    return shown.select(
-        doc,
-        (F.col("_line") + 1).cast("bigint").alias("line"),
-        "matches",
-        F.right(F.concat(F.lit(" " * half), before), F.lit(half)).alias("left_context"),
-        F.get("tokens", F.col("at")).alias("keyword"),
-        F.left(after, F.lit(half)).alias("right_context"),
-    )
+    tokenized = df.select(F.col(doc), tokens.alias("tokens"))
+    found = tokenized.select(
+        doc, "tokens",
+        F.filter(F.transform("tokens", lambda t, i: F.when(F.lower(t) == word.lower(), i)),
+                 lambda i: i.isNotNull()).alias("hits"))
+
+    def line(at: Column, nr: Column) -> Column:
+        start = F.greatest(at - reach, F.lit(0))
+        before = F.array_join(F.slice("tokens", start + 1, at - start), " ")
+        after = F.array_join(F.slice("tokens", at + 2, F.lit(reach - 1)), " ")
+        return F.struct(
+            (nr + 1).cast("bigint").alias("line"),
+            F.size("hits").cast("bigint").alias("matches"),
+            F.right(F.concat(F.lit(" " * half), before), F.lit(half)).alias("left_context"),
+            F.get("tokens", at).alias("keyword"),
+            F.left(after, F.lit(half)).alias("right_context"),
+        )
+
+    return found.select(doc, F.inline(F.transform(F.slice("hits", 1, lines), line)))

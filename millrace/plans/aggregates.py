@@ -109,7 +109,7 @@ def _words_sql(condition: str) -> str:
 
 
 def _words(t, condition: str):
-    return tokens_of(t.documents.filter(condition), "text").distinct()
+    return tokens_of(t.texts("lang", "text").filter(condition), "text").distinct()
 
 
 @plan(_words_sql(IS_EN))
@@ -130,5 +130,5 @@ def set_intersect(t):
 @plan(f"""SELECT word, count(*) AS n FROM (SELECT unnest({DOC_ALNUM}) AS word FROM documents
       UNION ALL SELECT unnest({DOC_ALNUM}) FROM conversations) GROUP BY word""")
 def set_union_all(t):
-    both = t.documents.select("text").unionByName(t.conversations.select("text"))
+    both = t.texts("text").unionByName(t.conversations.select("text"))
     return word_count(both, "text")

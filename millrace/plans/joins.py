@@ -12,8 +12,8 @@ from millrace.plans.words import DOC_ALNUM
 
 
 def vocabularies(t):
-    english = t.documents.filter(F.col("lang") == "en")
-    other = t.documents.filter(F.col("lang") != "en")
+    texts = t.texts("lang", "text")
+    english, other = texts.filter(F.col("lang") == "en"), texts.filter(F.col("lang") != "en")
     return word_count(english, "text"), word_count(other, "text")
 
 

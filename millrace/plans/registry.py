@@ -7,6 +7,8 @@ from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
 
+from millrace.session import spread
+
 
 class Tables:
     """The given Parquet tables of one folder, read on first use of their name."""
@@ -18,6 +20,10 @@ class Tables:
     def path(self, name: str) -> str:
         return f"{self.folder}/{name}.parquet"
 
+    def texts(self, *columns: str) -> DataFrame:
+        """Columns of ``documents``, on all cores even when the file has few splits."""
+        return spread(self.documents.select(*columns))
+
     def __getattr__(self, name: str) -> DataFrame:
         return self.spark.read.parquet(self.path(name))
 

@@ -143,20 +143,20 @@ def register_temp_view(t):
 
 @plan(f"SELECT word || chr(9) || n AS value FROM ({COUNTS})")
 def sink_text(t):
-    counts = word_count(t.documents, "text").orderBy("word")
+    counts = word_count(t.texts("text"), "text").orderBy("word")
     return files.read_lines(t.spark, files.write_lines(counts, scratch_path(t.spark, "counts")))
 
 
 @plan(f"""SELECT word, n FROM (SELECT word, n, row_number() OVER (ORDER BY n DESC, word) AS rank FROM ({COUNTS})) WHERE rank <= 20""")
 def sink_top_n_report(t):
-    counts = word_count(t.documents, "text")
+    counts = word_count(t.texts("text"), "text")
     path = files.write_report(counts, scratch_path(t.spark, "top"), [F.desc("n"), F.asc("word")], 20)
     return files.read_delimited(t.spark, path, "word STRING, n BIGINT")
 
 
 @plan(f"""SELECT word, n FROM (SELECT word, n, row_number() OVER (ORDER BY n DESC, word) AS rank FROM ({FRAGMENT_COUNTS})) WHERE rank <= 200""")
 def sink_top_n_report_200(t):
-    counts = fragment_word_count(t.documents, "text", tk.STOPWORDS_V2)
+    counts = fragment_word_count(t.texts("text"), "text", tk.STOPWORDS_V2)
     path = files.write_report(counts, scratch_path(t.spark, "top200"), [F.desc("n"), F.asc("word")], 200)
     return files.read_delimited(t.spark, path, "word STRING, n BIGINT")
 

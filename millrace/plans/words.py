@@ -47,35 +47,29 @@ PAIR_COUNTS = f"SELECT w1, w2, count(*) AS n FROM ({SENTENCE_PAIRS}) GROUP BY w1
 
 @plan(COUNTS)
 def word_count(t):
-    return w.word_count(t.documents, "text")
+    return w.word_count(t.texts("text"), "text")
 
 
 @plan(COUNTS)
 def tok_alnum(t):
-    return w.count_by(w.tokens_of(t.documents, "text", tk.alnum_tokens), "word")
+    return w.count_by(w.tokens_of(t.texts("text"), "text", tk.alnum_tokens), "word")
 
 
 @plan(f"SELECT word, count(*) AS n FROM ({FRAGMENTS}) WHERE word <> '' GROUP BY word")
 def tok_first_fragment(t):
-    raw = w.tokens_of(t.documents, "text", tk.blank_tokens, name="token")
-    words = raw.select(tk.first_fragment(F.col("token")).alias("word"))
-    return w.count_by(words.filter("word <> ''"), "word")
+    return w.count_by(w.rule_words(t.texts("text"), "text", tk.first_fragment), "word")
 
 
 @plan(f"SELECT word, count(*) AS n FROM (SELECT {FRAGMENT_V2.format(t='token')} AS word FROM ({RAW_TOKENS})) "
       "WHERE word <> '' GROUP BY word")
 def tok_first_fragment_v2(t):
-    raw = w.tokens_of(t.documents, "text", tk.blank_tokens, name="token")
-    words = raw.select(tk.first_fragment_v2(F.col("token")).alias("word"))
-    return w.count_by(words.filter("word <> ''"), "word")
+    return w.count_by(w.rule_words(t.texts("text"), "text", tk.first_fragment_v2), "word")
 
 
 @plan(f"SELECT word, count(*) AS n FROM (SELECT lower(regexp_extract(token, '^([a-zA-Z]+)', 1)) AS word "
       f"FROM ({RAW_TOKENS})) WHERE word <> '' GROUP BY word")
 def tok_alpha_prefix(t):
-    raw = w.tokens_of(t.documents, "text", tk.blank_tokens, name="token")
-    words = raw.select(tk.alpha_prefix(F.col("token")).alias("word"))
-    return w.count_by(words.filter("word <> ''"), "word")
+    return w.count_by(w.rule_words(t.texts("text"), "text", tk.alpha_prefix), "word")
 
 
 @plan("SELECT doc_id, s AS sentence FROM (SELECT doc_id, unnest(string_split_regex(text, '[.?!]')) AS s FROM documents)")
@@ -85,24 +79,24 @@ def split_sentences(t):
 
 @plan(FRAGMENT_COUNTS)
 def word_count_fragments(t):
-    return w.fragment_word_count(t.documents, "text")
+    return w.fragment_word_count(t.texts("text"), "text")
 
 
 @plan(f"SELECT word, n FROM ({COUNTS}) WHERE word NOT IN ({quoted(tk.STOPWORDS)})")
 def filter_stopwords(t):
-    return w.drop_words(w.word_count(t.documents, "text"), "word", tk.STOPWORDS)
+    return w.drop_words(w.word_count(t.texts("text"), "text"), "word", tk.STOPWORDS)
 
 
 @plan(f"SELECT word, n FROM ({COUNTS}) WHERE word NOT IN ({quoted(tk.STOPWORDS_V2)})")
 def filter_stopwords_v2(t):
-    return w.drop_words(w.word_count(t.documents, "text"), "word", tk.STOPWORDS_V2)
+    return w.drop_words(w.word_count(t.texts("text"), "text"), "word", tk.STOPWORDS_V2)
 
 
 @plan(f"""SELECT word, CAST(sum(n) AS BIGINT) AS n
       FROM (SELECT {FRAGMENT_V2.format(t='token')} AS word, n FROM ({RAW_COUNTS}))
       WHERE word <> '' AND word NOT IN ({quoted(tk.STOPWORDS)}) GROUP BY word""")
 def reaggregate_counts(t):
-    raw = w.count_by(w.tokens_of(t.documents, "text", tk.blank_tokens), "word")
+    raw = w.count_by(w.tokens_of(t.texts("text"), "text", tk.blank_tokens), "word")
     return w.recount(raw, tk.first_fragment_v2, tk.STOPWORDS)
 
 
@@ -110,39 +104,39 @@ def reaggregate_counts(t):
       FROM (SELECT lower(regexp_extract(token, '^([a-zA-Z]+)', 1)) AS word, n FROM ({RAW_COUNTS}))
       WHERE word <> '' AND word NOT IN ({quoted(tk.STOPWORDS)}) GROUP BY word""")
 def reaggregate_counts_prefix(t):
-    raw = w.count_by(w.tokens_of(t.documents, "text", tk.blank_tokens), "word")
+    raw = w.count_by(w.tokens_of(t.texts("text"), "text", tk.blank_tokens), "word")
     return w.recount(raw, tk.alpha_prefix, tk.STOPWORDS)
 
 
 @plan(f"SELECT n, count(*) AS words FROM ({COUNTS}) GROUP BY n")
 def freq_of_freq(t):
-    return w.frequency_of_frequency(w.word_count(t.documents, "text"))
+    return w.frequency_of_frequency(w.word_count(t.texts("text"), "text"))
 
 
 @plan(f"SELECT n, count(*) AS words FROM ({FRAGMENT_COUNTS}) GROUP BY n")
 def chained_jobs(t):
-    return w.fragment_word_count(t.documents, "text").transform(w.frequency_of_frequency)
+    return w.fragment_word_count(t.texts("text"), "text").transform(w.frequency_of_frequency)
 
 
 @plan(PAIR_COUNTS)
 def bigram_count(t):
-    return w.bigram_count(t.documents, "text")
+    return w.bigram_count(t.texts("text"), "text")
 
 
 @plan(f"SELECT w1, w2, count(*) AS n FROM ({LINE_PAIRS}) GROUP BY w1, w2")
 def bigram_count_line(t):
-    return w.bigram_count(t.documents, "text", tk.lines)
+    return w.bigram_count(t.texts("text"), "text", tk.lines)
 
 
 @plan(f"SELECT count(*) AS pairs, CAST(sum(n) AS BIGINT) AS occurrences FROM ({PAIR_COUNTS})")
 def bigram_total(t):
-    counted = w.bigram_count(t.documents, "text")
+    counted = w.bigram_count(t.texts("text"), "text")
     return counted.agg(F.count(F.lit(1)).alias("pairs"), F.sum("n").alias("occurrences"))
 
 
 @plan(f"SELECT w1, w2, n FROM ({PAIR_COUNTS}) WHERE w1 = 'with' OR w2 = 'with'")
 def filter_token_equals(t):
-    return w.pairs_with(w.bigram_count(t.documents, "text"), "with")
+    return w.pairs_with(w.bigram_count(t.texts("text"), "text"), "with")
 
 
 @plan(f"""
@@ -150,26 +144,26 @@ def filter_token_equals(t):
          p AS (SELECT doc_id, tk, unnest(range(1, len(tk))) AS i FROM t WHERE len(tk) > 1)
     SELECT doc_id, CAST(i - 1 AS INTEGER) AS pos, tk[i] AS w1, tk[i + 1] AS w2 FROM p""")
 def adjacent_pairs(t):
-    return w.adjacent_pairs(w.token_table(t.documents, "doc_id", "text"), "doc_id")
+    return w.adjacent_pairs(w.token_table(t.texts("doc_id", "text"), "doc_id", "text"), "doc_id")
 
 
 @plan(f"SELECT count(*) AS total FROM ({COUNTS}) WHERE lower(word) LIKE 't%' AND length(word) >= 4 AND n > 25")
 def filter_like_length(t):
-    counts = w.word_count(t.documents, "text")
+    counts = w.word_count(t.texts("text"), "text")
     kept = counts.filter(F.lower("word").like("t%") & (F.length("word") >= 4) & (F.col("n") > 25))
     return kept.agg(F.count(F.lit(1)).alias("total"))
 
 
 @plan(f"SELECT word, n FROM ({COUNTS}) WHERE length(word) > 7 AND n > 85")
 def filter_long_frequent_words(t):
-    counts = w.word_count(t.documents, "text")
+    counts = w.word_count(t.texts("text"), "text")
     return counts.filter((F.length("word") > 7) & (F.col("n") > 85))
 
 
 @plan(f"""SELECT word, n, row_number() OVER (ORDER BY n DESC, word) AS rank
       FROM ({COUNTS}) WHERE length(word) > 7""")
 def rank_words_by_freq(t):
-    counts = w.word_count(t.documents, "text").filter(F.length("word") > 7)
+    counts = w.word_count(t.texts("text"), "text").filter(F.length("word") > 7)
     return global_rank(counts, [F.desc("n"), F.asc("word")])
 
 
@@ -181,7 +175,7 @@ CASED = ["The", "and", "That", "with", "zebra"]
     f"CAST(sum(len(list_filter(tk, lambda x: x = '{s}'))) AS BIGINT) AS \"{s}\"" for s in CASED)
     + f" FROM (SELECT source, {BLANK.format(t='text')} AS tk FROM documents) GROUP BY source")
 def cond_freq_table(t):
-    return w.conditional_frequency(t.documents, "source", tk.blank_tokens(F.col("text")), CASED)
+    return w.conditional_frequency(t.texts("source", "text"), "source", tk.blank_tokens(F.col("text")), CASED)
 
 
 @plan("SELECT source, " + ", ".join(
@@ -189,7 +183,7 @@ def cond_freq_table(t):
     + f" FROM (SELECT source, {BLANK.format(t='lower(text)')} AS tk FROM documents) GROUP BY source")
 def cond_freq_table_folded(t):
     return w.conditional_frequency(
-        t.documents, "source", tk.blank_tokens(F.lower("text")), [s.lower() for s in CASED])
+        t.texts("source", "text"), "source", tk.blank_tokens(F.lower("text")), [s.lower() for s in CASED])
 
 
 @plan(f"""
@@ -204,12 +198,12 @@ def cond_freq_table_folded(t):
            left(array_to_string(tk[i + 1:i + 18], ' '), 36) AS right_context
     FROM s""")
 def kwic_concordance(t):
-    return w.concordance(t.documents, "doc_id", tk.blank_tokens(F.col("text")), "with")
+    return w.concordance(t.texts("doc_id", "text"), "doc_id", tk.blank_tokens(F.col("text")), "with")
 
 
 @plan(f"SELECT word, n, row_number() OVER (ORDER BY n DESC, word) AS rank FROM ({COUNTS}) ORDER BY rank LIMIT 20")
 def top_k(t):
-    return w.top_words(w.word_count(t.documents, "text"), 20)
+    return w.top_words(w.word_count(t.texts("text"), "text"), 20)
 
 
 @plan(f"""SELECT word, n, row_number() OVER (ORDER BY n DESC, word) AS rank
@@ -218,23 +212,23 @@ def top_k(t):
             WHERE word <> '' AND word NOT IN ({quoted(tk.STOPWORDS)}) GROUP BY word)
       ORDER BY rank LIMIT 200""")
 def top_k_reaggregated(t):
-    raw = w.count_by(w.tokens_of(t.documents, "text", tk.blank_tokens), "word")
+    raw = w.count_by(w.tokens_of(t.texts("text"), "text", tk.blank_tokens), "word")
     return w.top_words(w.recount(raw, tk.first_fragment_v2, tk.STOPWORDS), 200)
 
 
 @plan(f"SELECT w1, w2, n, row_number() OVER (ORDER BY n DESC, w1, w2) AS rank FROM ({PAIR_COUNTS}) ORDER BY rank LIMIT 20")
 def top_k_bigrams(t):
-    return rank_top(w.bigram_count(t.documents, "text"), [F.desc("n"), F.asc("w1"), F.asc("w2")], 20)
+    return rank_top(w.bigram_count(t.texts("text"), "text"), [F.desc("n"), F.asc("w1"), F.asc("w2")], 20)
 
 
 @plan(f"SELECT word, n, row_number() OVER (ORDER BY word) AS rank FROM ({COUNTS})")
 def sort_by_key(t):
-    return global_rank(w.word_count(t.documents, "text"), [F.asc("word")])
+    return global_rank(w.word_count(t.texts("text"), "text"), [F.asc("word")])
 
 
 @plan(f"SELECT n, word, row_number() OVER (ORDER BY n DESC, word) AS rank FROM ({FRAGMENT_COUNTS})")
 def sort_by_count_desc(t):
-    counts = w.fragment_word_count(t.documents, "text").select("n", "word")
+    counts = w.fragment_word_count(t.texts("text"), "text").select("n", "word")
     return global_rank(counts, [F.desc("n"), F.asc("word")])
 
 
@@ -243,10 +237,10 @@ def sort_by_count_desc(t):
             FROM (SELECT {FRAGMENT_V2.format(t='token')} AS word, n FROM ({RAW_COUNTS}))
             WHERE word <> '' AND word NOT IN ({quoted(tk.STOPWORDS)}) GROUP BY word)""")
 def sort_count_desc_word_asc(t):
-    raw = w.count_by(w.tokens_of(t.documents, "text", tk.blank_tokens), "word")
+    raw = w.count_by(w.tokens_of(t.texts("text"), "text", tk.blank_tokens), "word")
     return global_rank(w.recount(raw, tk.first_fragment_v2, tk.STOPWORDS), [F.desc("n"), F.asc("word")])
 
 
 @plan(f"SELECT n, word FROM ({FRAGMENT_COUNTS})")
 def swap_key_value(t):
-    return w.fragment_word_count(t.documents, "text").select("n", "word")
+    return w.fragment_word_count(t.texts("text"), "text").select("n", "word")

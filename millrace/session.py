@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -64,25 +63,23 @@ def scratch_name(label: str) -> str:
 
 
 def freeze(df: DataFrame) -> DataFrame:
-    """Cut lineage with a reliable checkpoint, so that a lost executor re-reads rows it cannot recompute alike."""
-    spark = df.sparkSession
-    folder = shared_dir(spark)
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(folder)
-    return df.checkpoint()
+    """Cut lineage by a table in the shared folder, written once and read back.
+
+    A lost executor re-reads these rows instead of recomputing them, and a reader that needs a few of
+    the columns reads no others.
+    """
+    path = scratch_path(df.sparkSession, "frozen")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Repartition only when the scan has fewer splits than the cluster has cores.
+def spread(scan: DataFrame, *keys: str) -> DataFrame:
+    """Repartition a plain scan, but only when it has fewer splits than the cluster has cores.
 
     Text work costs far more CPU than the scan, so a small file with one split would keep one core busy.
     With more splits than cores, which is every large input, the rows stay where they are.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
-        return df
-    return df.repartition(cores, *keys)
-
-
-def local_master() -> str:
-    return f"local[{os.environ.get('BENCH_CPUS', '*')}]"
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    if scan.rdd.getNumPartitions() >= cores:
+        return scan
+    return scan.repartition(cores, *keys)
