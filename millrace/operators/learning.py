@@ -8,11 +8,18 @@ from collections.abc import Sequence
 import numpy as np
 from pyspark.ml import PipelineModel
 from pyspark.ml.feature import OneHotEncoder, VectorAssembler
-from pyspark.ml.regression import DecisionTreeRegressionModel, DecisionTreeRegressor, LinearRegression
+from pyspark.ml.functions import vector_to_array
+from pyspark.ml.regression import (
+    DecisionTreeRegressionModel,
+    DecisionTreeRegressor,
+    LinearRegression,
+    LinearRegressionModel,
+)
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions.scalars import hash_fraction
+from millrace.operators.matrix import gram
 from millrace.operators.ordered import global_rank
 
 
@@ -50,13 +57,25 @@ def split_label(key: Column, train: float = 0.9, seed: int = 42) -> Column:
     return F.when(hash_fraction(key, seed) < train, "train").otherwise("test")
 
 
+def _descend(xx: np.ndarray, xy: np.ndarray, n: int, step: float, iterations: int, tolerance: float
+             ) -> tuple[list[float], int]:
+    """Gradient descent on the sums of x·x and x·y; the step shrinks with the root of the iteration."""
+    weights = np.zeros(len(xy))
+    for i in range(1, iterations + 1):
+        moved = weights - step / math.sqrt(i) * (xx @ weights - xy) / n
+        settled = i > 1 and np.linalg.norm(moved - weights) < tolerance * max(np.linalg.norm(moved), 1.0)
+        weights = moved
+        if settled:
+            break
+    return [float(w) for w in weights], i
+
+
 def linear_sgd(df: DataFrame, features: Sequence[str], label: str, step: float, iterations: int = 100,
                tolerance: float = 0.001) -> tuple[list[float], int]:
     """Full-batch gradient descent without intercept: weights and the number of iterations run.
 
     The gradient of the squared error needs only the sums of x·x and x·y, so one pass over the data
-    serves all iterations; they run on the (features x features) sums. The step shrinks with the square
-    root of the iteration, and descent stops once the weights move less than the tolerance.
+    serves all iterations. Descent stops once the weights move less than the tolerance.
     """
     x = [F.col(c).cast("double") for c in features]
     y = F.col(label).cast("double")
@@ -66,21 +85,42 @@ def linear_sgd(df: DataFrame, features: Sequence[str], label: str, step: float,
     n, rest = row[0], np.array([v or 0.0 for v in row[1:]])
     if not n:
         raise ValueError("no rows to fit")
-    xx, xy = rest[: d * d].reshape(d, d), rest[d * d:]
-    weights = np.zeros(d)
-    for i in range(1, iterations + 1):
-        moved = weights - step / math.sqrt(i) * (xx @ weights - xy) / n
-        settled = i > 1 and np.linalg.norm(moved - weights) < tolerance * max(np.linalg.norm(moved), 1.0)
-        weights = moved
-        if settled:
-            break
-    return [float(w) for w in weights], i
+    return _descend(rest[: d * d].reshape(d, d), rest[d * d:], n, step, iterations, tolerance)
+
+
+def linear_sgd_vectors(df: DataFrame, features: str, label: str, step: float, iterations: int = 100,
+                       tolerance: float = 0.001, widest: int = 512) -> tuple[list[float], int]:
+    """``linear_sgd`` over an assembled vector column, such as one-hot categories beside numbers.
+
+    The cells of the (features x features) sums come to the driver, so the width is checked first;
+    wider models go to ``linear_fit_vectors``, which keeps the vectors on the executors.
+    """
+    rows = df.select(F.array_append(vector_to_array(features), F.col(label).cast("double")).alias("row"))
+    shape = rows.agg(F.max(F.size("row")).alias("width"), F.count("row").alias("n")).first()
+    if not shape["n"]:
+        raise ValueError("no rows to fit")
+    if shape["width"] > widest:
+        raise ValueError(f"{shape['width']} columns exceed {widest}")
+    sums = np.zeros((shape["width"], shape["width"]))
+    for cell in gram(rows, "row").collect():
+        sums[cell["i"], cell["j"]] = cell["v"]
+    return _descend(sums[:-1, :-1], sums[:-1, -1], shape["n"], step, iterations, tolerance)
+
+
+def linear_fit_vectors(df: DataFrame, features: str, label: str) -> LinearRegressionModel:
+    """Least squares without intercept over a vector column, on the executors."""
+    return LinearRegression(featuresCol=features, labelCol=label, fitIntercept=False).fit(df)
 
 
 def linear_fit(df: DataFrame, features: Sequence[str], label: str) -> list[float]:
     """Least squares without intercept."""
-    model = LinearRegression(featuresCol="features", labelCol=label, fitIntercept=False).fit(assemble(df, features))
-    return [float(w) for w in model.coefficients]
+    return [float(w) for w in linear_fit_vectors(assemble(df, features), "features", label).coefficients]
+
+
+def predict_vectors(features: str, weights: Sequence[float]) -> Column:
+    """Dot product of a vector column with fixed weights."""
+    products = F.zip_with(vector_to_array(features), F.array(*[F.lit(w) for w in weights]), lambda x, w: x * w)
+    return F.aggregate(products, F.lit(0.0), lambda total, p: total + p)
 
 
 def predict_linear(features: Sequence[str], weights: Sequence[float]) -> Column:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from millrace.operators.joins import salted_join
 from millrace.operators.ordered import quantiles, value_counts
+from millrace.session import freeze
 
 QUARTILES = {"q1": 0.25, "median": 0.5, "q3": 0.75}
 
@@ -41,7 +42,7 @@ def boxplot_stats(df: DataFrame, by: Sequence[str], value: str) -> DataFrame:
     Quartiles are the linear quantiles. The whiskers come from the distinct values with their counts,
     not from the rows.
     """
-    box = fences(df, by, value)
+    box = freeze(fences(df, by, value))
     placed = _with_fences(value_counts(df, by, value), box, by, value)
     inside = F.col(value).between(F.col("low_fence"), F.col("high_fence"))
     whiskers = placed.groupBy(*by).agg(
@@ -117,9 +118,9 @@ def histogram(df: DataFrame, value: str, bins: int | None = None) -> DataFrame:
     count = F.lit(bins) if bins else F.ceil(F.log2(F.count("v").cast("double")) + 1)
     shape = number.agg(F.min("v").alias("lo"), F.max("v").alias("hi"), count.cast("bigint").alias("bins"))
     shape = shape.withColumn("width", (F.col("hi") - F.col("lo")) / F.col("bins"))
-    limits = shape.select(F.struct("lo", "width", "bins")).scalar()
-    at = F.when(limits["width"] > 0, _at_break(F.col("v"), limits["lo"], limits["width"])).otherwise(0)
-    counted = number.groupBy(F.least(at, limits["bins"] - 1).alias("bin")).agg(F.count(F.lit(1)).alias("y"))
+    limited = number.withColumn("s", shape.select(F.struct("lo", "width", "bins")).scalar())
+    at = F.when(F.col("s.width") > 0, _at_break(F.col("v"), F.col("s.lo"), F.col("s.width"))).otherwise(0)
+    counted = limited.groupBy(F.least(at, F.col("s.bins") - 1).alias("bin")).agg(F.count(F.lit(1)).alias("y"))
     every = shape.select(F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("bins") - 1)).alias("bin"), "lo", "width")
     return every.join(counted, "bin", "left").select(
         "bin", (F.col("lo") + F.col("bin") * F.col("width")).alias("x"), F.col("width").alias("dx"),
@@ -129,11 +130,11 @@ def histogram(df: DataFrame, value: str, bins: int | None = None) -> DataFrame:
 def quantile_bins(df: DataFrame, value: str, bins: int) -> DataFrame:
     """Add ``bin``: how many of the k/bins quantiles are at or below the value."""
     probs = {f"t{k}": k / bins for k in range(1, bins)}
-    cuts = quantiles(df, [], value, probs).select(F.struct(*probs)).scalar()
+    limited = df.withColumn("_cuts", quantiles(df, [], value, probs).select(F.struct(*probs)).scalar())
     passed = F.lit(0)
     for name in probs:
-        passed = passed + F.when(F.col(value) >= cuts[name], 1).otherwise(0)
-    return df.withColumn("bin", passed)
+        passed = passed + F.when(F.col(value) >= F.col(f"_cuts.{name}"), 1).otherwise(0)
+    return limited.withColumn("bin", passed).drop("_cuts")
 
 
 def quantize(x: Column, low: float, high: float, bins: int) -> Column:

@@ -57,6 +57,46 @@ def group_count_topk(t):
     return rel.top_groups(t.lineitem, "l_orderkey", F.count("l_linenumber").alias("total"))
 
 
+PER_ORDER = "SELECT l_orderkey, l_returnflag, count(l_quantity) AS n FROM {lineitem} GROUP BY l_orderkey, l_returnflag"
+
+
+@plan("SELECT l_returnflag, count(*) AS n FROM lineitem GROUP BY l_returnflag")
+def group_count_sql(t):
+    return t.spark.sql("SELECT l_returnflag, count(*) AS n FROM {lineitem} GROUP BY l_returnflag", lineitem=t.lineitem)
+
+
+@plan("""SELECT l_returnflag, max(l_extendedprice) AS max_price, min(l_extendedprice) AS min_price,
+             round(avg(l_extendedprice), 6) AS avg_price FROM lineitem GROUP BY l_returnflag""")
+def group_max_min_avg_sql(t):
+    return t.spark.sql("""SELECT l_returnflag, max(l_extendedprice) AS max_price, min(l_extendedprice) AS min_price,
+        round(avg(l_extendedprice), 6) AS avg_price FROM {lineitem} GROUP BY l_returnflag""", lineitem=t.lineitem)
+
+
+@plan("""SELECT l_returnflag, max(n) AS max_n, min(n) AS min_n, avg(n) AS avg_n
+      FROM (SELECT l_orderkey, l_returnflag, count(*) AS n FROM lineitem GROUP BY ALL) GROUP BY l_returnflag""")
+def agg_two_level_sql(t):
+    return t.spark.sql("SELECT l_returnflag, max(n) AS max_n, min(n) AS min_n, avg(n) AS avg_n FROM {per_order} GROUP BY l_returnflag",
+                       per_order=t.spark.sql(PER_ORDER, lineitem=t.lineitem))
+
+
+@plan("""SELECT l_orderkey, sum(l_quantity) AS total FROM lineitem GROUP BY l_orderkey ORDER BY total DESC, l_orderkey LIMIT 10""")
+def group_sum_topk_sql(t):
+    return t.spark.sql("""SELECT l_orderkey, sum(l_quantity) AS total FROM {lineitem} GROUP BY l_orderkey
+        ORDER BY total DESC, l_orderkey LIMIT 10""", lineitem=t.lineitem)
+
+
+@plan("""SELECT l_orderkey, count(*) AS total FROM lineitem GROUP BY l_orderkey ORDER BY total DESC, l_orderkey LIMIT 10""")
+def group_count_topk_sql(t):
+    return t.spark.sql("""SELECT l_orderkey, count(l_linenumber) AS total FROM {lineitem} GROUP BY l_orderkey
+        ORDER BY total DESC, l_orderkey LIMIT 10""", lineitem=t.lineitem)
+
+
+@plan("SELECT l_orderkey, count(*) AS count FROM lineitem GROUP BY l_orderkey HAVING count(*) = 5")
+def filter_expr_string_sql(t):
+    counted = t.lineitem.groupBy("l_orderkey").count()
+    return t.spark.sql("SELECT * FROM {counted} WHERE count = 5", counted=counted)
+
+
 @plan("""SELECT l_partkey, segment, string_agg(CAST(l_orderkey AS VARCHAR), ',' ORDER BY l_orderkey) AS items
       FROM (SELECT l_partkey, l_orderkey,
                    (row_number() OVER (PARTITION BY l_partkey ORDER BY l_orderkey) - 1) // 100000 AS segment FROM lineitem)

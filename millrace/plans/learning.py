@@ -107,6 +107,15 @@ def ml_linear_errors(t):
     return errors.select(F.round("mse", 0).alias("mse"), F.round("mae", 2).alias("mae"), F.round("rmsle", 6).alias("rmsle"))
 
 
+@plan()
+def ml_linear_onehot(t):
+    """Price of a part from its one-hot brand and type and its size, by gradient descent."""
+    encoded, _ = ml.one_hot(t.part, ["p_brand", "p_type"])
+    rows = ml.assemble(encoded, ["p_brand_vec", "p_type_vec", "p_size"])
+    weights, _ = ml.linear_sgd_vectors(rows, "features", "p_retailprice", step=0.001)
+    return rows.select("p_partkey", "p_retailprice", F.round(ml.predict_vectors("features", weights), 6).alias("predicted"))
+
+
 def _tree(t):
     rows = ml.with_indices(_split(t), ["l_returnflag", "l_linestatus"])
     features = ["l_returnflag_index", "l_linestatus_index", "l_quantity", "l_discount", "l_tax"]

@@ -4,7 +4,7 @@ import pytest
 from conftest import listed
 from pyspark.sql import functions as F
 
-from millrace.session import scratch_name, scratch_path
+from millrace.session import freeze, scratch_name, scratch_path
 from millrace.sources import files, tables
 from millrace.streaming import topics as tp
 from millrace.streaming import windows as win
@@ -162,3 +162,11 @@ def test_empty_stream_gives_an_empty_table(spark, rows):
 def test_broker_connector_is_only_needed_when_opened(spark):
     with pytest.raises(Exception, match="(?i)kafka"):
         tp.open_topics(spark, "localhost:9092", "topic")
+
+
+def test_frozen_rows_keep_schema_and_values(rows):
+    df = rows([("a", 1, [1.5]), (None, 2, None)], "k string, v int, a array<double>")
+    frozen = freeze(df)
+    assert frozen.schema == df.schema
+    assert listed(frozen) == listed(df)
+    assert "Scan parquet" in frozen._jdf.queryExecution().executedPlan().toString() or frozen.inputFiles()
