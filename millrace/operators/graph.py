@@ -99,16 +99,21 @@ def _between(nodes: DataFrame, edges: DataFrame, src_label: str, type: str, dst_
     return salted_join(kept, to_dst, ["dst"], "left_semi", F.col("src"))
 
 
+def _named(nodes: DataFrame, label: str, found: DataFrame) -> DataFrame:
+    """The found nodes; naming their label again spares the nodes of all other labels the join."""
+    return nodes.filter(F.array_contains("labels", label)).join(found, "id", "left_semi").select("id", "name")
+
+
 def co_actors(nodes: DataFrame, edges: DataFrame, label: str, type: str, target: str) -> DataFrame:
     """(a:label)-[:type]->(m:target)<-[:type]-(:label), distinct a.
 
     The two edges must differ, the two nodes need not: a target with two or more such edges qualifies
     all its sources.
     """
-    acting = _between(nodes, edges, label, type, target)
+    acting = freeze(_between(nodes, edges, label, type, target))  # read twice
     shared = acting.groupBy("dst").agg(F.sum("n").alias("edges")).filter("edges > 1").select("dst")
     found = salted_join(acting, shared, ["dst"], "left_semi", F.col("src")).select(F.col("src").alias("id")).distinct()
-    return nodes.join(found, "id", "left_semi").select("id", "name")
+    return _named(nodes, label, found)
 
 
 def directors_of_cast(nodes: DataFrame, edges: DataFrame, director: tuple[str, str], actor: tuple[str, str],
@@ -117,7 +122,7 @@ def directors_of_cast(nodes: DataFrame, edges: DataFrame, director: tuple[str, s
     directing = _between(nodes, edges, director[0], director[1], target)
     cast = _between(nodes, edges, actor[0], actor[1], target).select("dst").distinct()
     found = salted_join(directing, cast, ["dst"], "left_semi", F.col("src")).select(F.col("src").alias("id")).distinct()
-    return nodes.join(found, "id", "left_semi").select("id", "name")
+    return _named(nodes, director[0], found)
 
 
 def detach_delete(nodes: DataFrame, edges: DataFrame, where: Column) -> tuple[DataFrame, DataFrame]:

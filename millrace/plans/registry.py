@@ -25,7 +25,9 @@ class Tables:
         return spread(self.documents.select(*columns))
 
     def __getattr__(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(self.path(name))
+        frame = self.spark.read.parquet(self.path(name))
+        self.__dict__[name] = frame  # the footer is read once per query
+        return frame
 
 
 class Plan(NamedTuple):
