@@ -12,6 +12,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from millrace.operators.ordered import same_keys
+
 
 def salted_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str, salt_by: Column,
                 salts: int = 16) -> DataFrame:
@@ -22,10 +24,7 @@ def salted_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str
     """
     a = left.withColumn("_salt", F.pmod(F.hash(salt_by), F.lit(salts))).alias("a")
     b = right.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))).alias("b")
-    condition = F.col("a._salt") == F.col("b._salt")
-    for key in keys:
-        condition = condition & F.col(f"a.{key}").eqNullSafe(F.col(f"b.{key}"))
-    joined = a.join(b, condition, how)
+    joined = a.join(b, (F.col("a._salt") == F.col("b._salt")) & same_keys(keys), how)
     if how in ("left_semi", "left_anti"):
         return joined.drop("_salt")
     added = [F.col(f"b.{c}") for c in right.columns if c not in keys]

@@ -17,11 +17,11 @@ from millrace.session import freeze
 _SLOT_BITS = (1 << 33) - 1
 
 
-def match_keys(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
-    """Equality on the keys in which NULL equals NULL."""
+def same_keys(keys: Sequence[str], left: str = "a", right: str = "b") -> Column:
+    """Equality of the keys of two aliased frames, in which NULL equals NULL."""
     condition = F.lit(True)
     for key in keys:
-        condition = condition & left[key].eqNullSafe(right[key])
+        condition = condition & F.col(f"{left}.{key}").eqNullSafe(F.col(f"{right}.{key}"))
     return condition
 
 
@@ -40,7 +40,7 @@ def _run_offsets(placed: DataFrame, by: Sequence[str], amount: Column, total: st
     runs = placed.groupBy("_run", *by).agg(F.sum(amount).alias("_amount"))
     group = Window.partitionBy(*by)
     earlier = group.orderBy("_run").rowsBetween(Window.unboundedPreceding, -1)
-    columns = ["_run", *by, F.coalesce(F.sum("_amount").over(earlier), F.lit(0)).alias("_offset")]
+    columns = ["_run", *by, "_amount", F.coalesce(F.sum("_amount").over(earlier), F.lit(0)).alias("_offset")]
     if total:
         columns.append(F.sum("_amount").over(group).alias(total))
     return runs.select(*columns)
@@ -48,9 +48,7 @@ def _run_offsets(placed: DataFrame, by: Sequence[str], amount: Column, total: st
 
 def _with_offsets(placed: DataFrame, offsets: DataFrame, by: Sequence[str]) -> DataFrame:
     a, b = placed.alias("a"), offsets.alias("b")
-    condition = F.col("a._run") == F.col("b._run")
-    for key in by:
-        condition = condition & F.col(f"a.{key}").eqNullSafe(F.col(f"b.{key}"))
+    condition = (F.col("a._run") == F.col("b._run")) & same_keys(by)
     extra = [c for c in offsets.columns if c not in ("_run", *by)]
     return a.join(b, condition).select("a.*", *[F.col(f"b.{c}") for c in extra])
 
@@ -65,7 +63,7 @@ def running_sum(df: DataFrame, by: Sequence[str], order: Sequence[str | Column],
     placed = in_sorted_runs(df, [F.col(c) for c in by] + order)
     offsets = _run_offsets(placed, by, F.col(value), total)
     inside = Window.partitionBy("_run", *by).orderBy("_slot").rowsBetween(Window.unboundedPreceding, 0)
-    summed = _with_offsets(placed, offsets, by)
+    summed = _with_offsets(placed, offsets.drop("_amount"), by)
     summed = summed.withColumn(name, F.sum(value).over(inside) + F.col("_offset"))
     return summed.drop("_run", "_slot", "_offset")
 
@@ -73,7 +71,7 @@ def running_sum(df: DataFrame, by: Sequence[str], order: Sequence[str | Column],
 def global_rank(df: DataFrame, order: Sequence[Column], name: str = "rank") -> DataFrame:
     """Add the 1-based position of each row in a total order, without a one-task window."""
     placed = in_sorted_runs(df, order)
-    offsets = _run_offsets(placed, [], F.lit(1), None)
+    offsets = _run_offsets(placed, [], F.lit(1), None).drop("_amount")
     ranked = placed.join(F.broadcast(offsets), "_run")  # one row per sorted partition
     return ranked.withColumn(name, F.col("_offset") + F.col("_slot") + 1).drop("_run", "_slot", "_offset")
 
@@ -93,25 +91,40 @@ def quantiles(df: DataFrame, by: Sequence[str], value: str, probs: dict[str, flo
               extra: Sequence[Column] = ()) -> DataFrame:
     """Exact linear-interpolation quantiles per group (position ``(n-1)p`` between the two nearest values).
 
+    The totals per run tell which runs hold the wanted positions, so only those runs are shuffled again.
     ``extra`` are further aggregates over the columns ``value`` and ``n`` (its count).
     """
-    counts = value_counts(df, by, value)
-    summed = running_sum(counts, by, [value], "n", "_upto", total="_total")
+    placed = in_sorted_runs(value_counts(df, by, value), [F.col(c) for c in [*by, value]])
+    runs = _run_offsets(placed, by, F.col("n"), "_total")
 
-    def at(position: Column) -> Column:
-        here = (F.col("_upto") > position) & (F.col("_upto") - F.col("n") <= position)
-        return F.max(F.when(here, F.col(value)))
+    def position(p: float) -> Column:
+        return (F.col("_total") - 1) * F.lit(float(p))
 
-    aggregates = [F.max("_total").alias("_total"), *extra]
-    columns = []
+    def within(at: Column, start: Column, amount: Column) -> Column:
+        return (start <= at) & (at < start + amount)
+
+    wanted = [edge(position(p)) for p in probs.values() for edge in (F.floor, F.ceil)]
+    hit = F.lit(False)
+    for at in wanted:
+        hit = hit | within(at, F.col("_offset"), F.col("_amount"))
+    near = _with_offsets(placed, runs.filter(hit).drop("_amount"), by)
+    inside = Window.partitionBy("_run", *by).orderBy("_slot").rowsBetween(Window.unboundedPreceding, 0)
+    near = near.withColumn("_start", F.sum("n").over(inside) + F.col("_offset") - F.col("n"))
+
+    def value_at(at: Column) -> Column:
+        return F.max(F.when(within(at, F.col("_start"), F.col("n")), F.col(value)))
+
+    cells, columns = [F.max("_total").alias("_total")], []
     for name, p in probs.items():
-        position = (F.col("_total") - 1) * F.lit(float(p))
-        aggregates += [at(F.floor(position)).alias(f"_{name}_lo"), at(F.ceil(position)).alias(f"_{name}_hi")]
+        at = position(p)
+        cells += [value_at(F.floor(at)).alias(f"_{name}_lo"), value_at(F.ceil(at)).alias(f"_{name}_hi")]
         lo, hi = F.col(f"_{name}_lo"), F.col(f"_{name}_hi")
-        columns.append((lo + (hi - lo) * (position - F.floor(position))).alias(name))
-    picked = summed.groupBy(*by).agg(*aggregates)
-    kept = [c for c in picked.columns if not c.startswith("_")]
-    return picked.select(*kept, *columns)
+        columns.append((lo + (hi - lo) * (at - F.floor(at))).alias(name))
+    found = near.groupBy(*by).agg(*cells).select(*by, *columns)
+    if not extra:
+        return found
+    a, b = placed.groupBy(*by).agg(*extra).alias("a"), found.alias("b")
+    return a.join(b, same_keys(by)).select("a.*", *[F.col(f"b.{name}") for name in probs])
 
 
 def next_in_group(df: DataFrame, by: Sequence[str], position: str, value: str, name: str,

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.operators.joins import salted_join
-from millrace.operators.ordered import quantiles, value_counts
+from millrace.operators.ordered import quantiles, same_keys, value_counts
 from millrace.session import freeze
 
 QUARTILES = {"q1": 0.25, "median": 0.5, "q3": 0.75}
@@ -50,10 +50,7 @@ def boxplot_stats(df: DataFrame, by: Sequence[str], value: str) -> DataFrame:
         F.max(F.when(inside, F.col(value))).alias("high_whisker"),
         F.sum(F.when(inside, 0).otherwise(F.col("n"))).alias("outliers"))
     a, b = box.alias("a"), whiskers.alias("b")
-    condition = F.lit(True)
-    for key in by:
-        condition = condition & F.col(f"a.{key}").eqNullSafe(F.col(f"b.{key}"))
-    return a.join(b, condition).select("a.*", "b.low_whisker", "b.high_whisker", "b.outliers").drop(
+    return a.join(b, same_keys(by)).select("a.*", "b.low_whisker", "b.high_whisker", "b.outliers").drop(
         "low_fence", "high_fence")
 
 
