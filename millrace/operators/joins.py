@@ -15,18 +15,27 @@ from pyspark.sql import functions as F
 from millrace.operators.ordered import same_keys
 
 
+def broadcasts(df: DataFrame) -> bool:
+    """Whether Spark's size estimate of a frame is within its own limit for broadcast joins."""
+    limit = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) <= limit
+
+
 def salted_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str, salt_by: Column,
                 salts: int = 16) -> DataFrame:
     """Join rows whose keys may be hot to a table with one row per key; NULL keys match each other.
 
-    The left rows of a key go to ``salts`` tasks by a hash of another column, and each right row is
-    sent to all of them. Spark's own choice of a broadcast for a small right side still applies.
+    A right side that Spark will broadcast needs no salt, as its left rows do not move. Else the left rows
+    of a key go to ``salts`` tasks by a hash of another column, and each right row is sent to all of them.
     """
-    a = left.withColumn("_salt", F.pmod(F.hash(salt_by), F.lit(salts))).alias("a")
-    b = right.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))).alias("b")
-    joined = a.join(b, (F.col("a._salt") == F.col("b._salt")) & same_keys(keys), how)
+    a, b, matched = left.alias("a"), right.alias("b"), same_keys(keys)
+    if not broadcasts(right):
+        a = left.withColumn("_salt", F.pmod(F.hash(salt_by), F.lit(salts))).alias("a")
+        b = right.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))).alias("b")
+        matched = (F.col("a._salt") == F.col("b._salt")) & matched
+    joined = a.join(b, matched, how)
     if how in ("left_semi", "left_anti"):
-        return joined.drop("_salt")
+        return joined.select(*[F.col(f"a.{c}") for c in left.columns])
     added = [F.col(f"b.{c}") for c in right.columns if c not in keys]
     return joined.select(*[F.col(f"a.{c}") for c in left.columns], *added)
 

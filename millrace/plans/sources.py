@@ -201,11 +201,11 @@ def table_schema_guard(t):
     return t.spark.createDataFrame(steps, "step STRING, result STRING, n BIGINT")
 
 
-PERSONS = [("person-1", "Nick", "Boston"), ("person-2", "Joe", "Cambridge"), ("person-3", "Mary", "Newton")]
+PERSONS = [("person-1", "Ada", "Leith"), ("person-2", "Bram", "Delft"), ("person-3", "Caro", "Ghent")]
 
 
 @plan("""SELECT CAST(c_custkey AS VARCHAR) AS id, c_name AS name, c_mktsegment AS city FROM customer
-      UNION ALL VALUES ('person-1', 'Nick', 'Boston'), ('person-2', 'Joe', 'Cambridge'), ('person-3', 'Mary', 'Newton')""")
+      UNION ALL VALUES ('person-1', 'Ada', 'Leith'), ('person-2', 'Bram', 'Delft'), ('person-3', 'Caro', 'Ghent')""")
 def rows_from_literals(t):
     """Literal rows inserted into a table of given rows, then a full scan."""
     base = t.customer.select(F.col("c_custkey").cast("string").alias("id"), F.col("c_name").alias("name"),

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from millrace.functions import scalars as sc
 from millrace.operators import charts, graph, joins, learning, matrix, relational, stats
 from millrace.operators.keyed import upsert
+from millrace.session import freeze
 
 LEFT = [("ark", 3), ("bell", 2), ("cup", 9)]
 RIGHT = [("bell", 7), ("dove", 1)]
@@ -29,6 +30,26 @@ def test_vocabulary_joins(vocabularies):
     assert listed(joins.only_in_left(*vocabularies)) == listed(vocabularies[0].join(vocabularies[1], "word", "left_anti"))
 
 
+@pytest.mark.parametrize("limit", ["-1", "10485760"])
+@pytest.mark.parametrize("how", ["inner", "left_semi", "left_anti"])
+def test_salted_join_with_a_hot_key(spark, rows, how, limit):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    try:
+        left = rows([("hot" if i % 3 else f"k{i % 7}", i) for i in range(400)] + [(None, -1)], "k string, i int")
+        right = freeze(rows([("hot", 1), ("k3", 2), (None, 3)], "k string, w int"))  # a frame of known size
+        got = joins.salted_join(left, right, ["k"], how, F.col("i"))
+        assert joins.broadcasts(right) == (limit != "-1")
+        known = {"hot": 1, "k3": 2, None: 3}
+        data = [tuple(r) for r in left.collect()]
+        expected = {"inner": [(k, i, known[k]) for k, i in data if k in known],
+                    "left_semi": [r for r in data if r[0] in known],
+                    "left_anti": [r for r in data if r[0] not in known]}[how]
+        assert listed(got) == sorted(expected, key=repr)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
 def test_co_participants_need_another_source(rows):
     edges = rows([("a", 1), ("a", 1), ("b", 2), ("c", 2), ("d", 3)], "src string, dst int")
     assert listed(joins.co_participants(edges, "src", "dst")) == [("b",), ("c",)]
