@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from millrace.functions.scalars import hash_fraction
 from millrace.operators.matrix import gram
 from millrace.operators.ordered import global_rank
+from millrace.session import freeze
 
 
 def category_index(df: DataFrame, column: str) -> DataFrame:
@@ -132,7 +133,10 @@ def predict_linear(features: Sequence[str], weights: Sequence[float]) -> Column:
 
 def tree_fit(df: DataFrame, features: Sequence[str], label: str, depth: int = 5, bins: int = 32
              ) -> tuple[DecisionTreeRegressionModel, DataFrame]:
-    """A variance tree over features that are all treated as numbers; also the assembled rows."""
-    rows = assemble(df, features)
+    """A variance tree over features that are all treated as numbers; also the assembled rows.
+
+    Fitting reads its rows several times, so they are frozen once instead of being encoded each time.
+    """
+    rows = freeze(assemble(df.select(*features, label), features).select("features", label))
     tree = DecisionTreeRegressor(featuresCol="features", labelCol=label, maxDepth=depth, maxBins=bins, seed=42)
     return tree.fit(rows), rows
