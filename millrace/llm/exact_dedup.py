@@ -22,14 +22,13 @@ def digests(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Data
                         F.unhex(F.sha2("norm", 256)).alias("sha"))
 
 
-def collisions(docs: DataFrame, rows: DataFrame, groups: DataFrame, doc_id: str, text: str) -> DataFrame:
+def collisions(docs: DataFrame, rows: DataFrame, several: DataFrame, doc_id: str, text: str) -> DataFrame:
     """The rows whose bytes differ from the text that their group keeps, regrouped by their bytes.
 
     Texts travel once, keyed by the raw text's hash; only members of groups of two or more come out of that
     join, and each is then compared with the one text of its group. A hot group is split by AQE on both joins,
     since the other side has one row per distinct text.
     """
-    several = groups.where("group_size > 1")
     keys = rows.join(several, "digest").groupBy("raw_key", "digest").agg(F.min("keep_id").alias("keep_id"))
     texts = docs.select(F.col(doc_id).alias("doc_id"), F.xxhash64(filled(text)).alias("raw_key"),
                         F.col(text).alias("text"))
@@ -56,18 +55,21 @@ def exact_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     text, one is ``kept``. An empty table gives no rows. Other columns are not read, so none can clash.
     """
     rows = freeze(digests(docs, doc_id, text))
-    groups = rows.groupBy("digest").agg(F.min("doc_id").alias("keep_id"), F.count("*").alias("group_size"))
-    odd = collisions(docs, rows, groups, doc_id, text)
+    # Frozen, so that both sides of its joins are plain exchanges, which AQE splits where a group is hot.
+    several = freeze(rows.groupBy("digest").agg(F.min("doc_id").alias("keep_id"), F.count("*").alias("group_size"))
+                     .where("group_size > 1"))
+    odd = collisions(docs, rows, several, doc_id, text)
     size_of_odd = odd.groupBy("digest").agg(F.count("*").alias("n_odd"))
     classed = (
-        rows.join(groups, "digest")
+        rows.join(several, "digest", "left")
         .join(size_of_odd, "digest", "left")
         .join(odd.withColumnsRenamed({"doc_id": "odd_id", "digest": "odd_digest", "sha": "odd_sha"}),
               F.col("doc_id").eqNullSafe(F.col("odd_id")) & (F.col("digest") == F.col("odd_digest"))
               & (F.col("sha") == F.col("odd_sha")), "left")
-        .select("doc_id", F.col("sha"),
-                F.when(F.col("odd_size").isNull(), F.col("keep_id")).otherwise(F.col("odd_keep_id")).alias("keep_id"),
-                F.coalesce("odd_size", F.col("group_size") - F.coalesce("n_odd", F.lit(0))).alias("group_size"))
+        .select("doc_id", "sha",
+                F.when(F.col("odd_size").isNotNull(), F.col("odd_keep_id"))
+                .when(F.col("group_size").isNotNull(), F.col("keep_id")).otherwise(F.col("doc_id")).alias("keep_id"),
+                F.coalesce("odd_size", F.col("group_size") - F.coalesce("n_odd", F.lit(0)), F.lit(1)).alias("group_size"))
     )
     return one_kept(classed).select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("sha")).alias("text_sha256"))
 
