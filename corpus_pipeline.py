@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from millrace.llm import exact_dedup, mixing, quality, secrets, sharding  # noqa: F401
+from millrace.llm import exact_dedup, language, mixing, pieces, quality, secrets, sharding, toxicity  # noqa: F401
 from millrace.llm.base import QUERIES
 
 LLM_QUERIES = QUERIES

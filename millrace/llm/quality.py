@@ -40,7 +40,7 @@ def repeated_words(words: Column) -> Column:
     def windows(w):
         n = F.size(w) - 2
         bits = F.length(F.bin(n))
-        packed = F.array_sort(F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.call_function(
+        packed = F.sort_array(F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.call_function(
             "shiftleft", F.xxhash64(w[i], w[i + 1], w[i + 2]), bits).bitwiseOR(i.cast("long"))))
 
         def meet(k):
@@ -54,7 +54,7 @@ def repeated_words(words: Column) -> Column:
         return bind(packed, meet)
 
     def exact(w, places):
-        said = F.array_sort(F.transform(places, lambda p: F.struct(
+        said = F.sort_array(F.transform(places, lambda p: F.struct(
             F.concat_ws(" ", w[p], w[p + 1], w[p + 2]).alias("w"), p.alias("p"))))
         return bind(said, lambda s: F.transform(
             F.filter(s, lambda x, i: ((i > 0) & (x["w"] == F.get(s, i - 1)["w"]))
@@ -113,7 +113,7 @@ def fit_groups(rows: DataFrame, lang: str, source: str, least: int) -> DataFrame
                 F.struct(F.when(F.col("pooled") >= least, F.col("a.fit_lang")).alias("lang"),
                          F.when(F.col("pooled") >= least, F.col("a.own_source")).alias("source")).alias("fit_group"))
     )
-    return rows.join(named, ["fit_lang", "fit_source"]).drop("fit_lang", "fit_source")
+    return rows.join(freeze(named), ["fit_lang", "fit_source"]).drop("fit_lang", "fit_source")
 
 
 def spread_of(rows: DataFrame) -> DataFrame:
