@@ -90,15 +90,21 @@ class PieceTransducer:
                 self.byte_ids[value], self.out[i] = i, bytes([value])
             elif kind in (NORMAL, USER):
                 self.arcs[text] = i
+        #: what may still become a piece, with its number where it is one
+        self.starts: dict[str, int | None] = {}
+        for text in self.arcs:
+            for end in range(1, len(text)):
+                self.starts.setdefault(text[:end], None)
+            self.starts[text] = self.arcs[text]
         self.worst = max((self.weight[i] for i in self.arcs.values()), default=0.0) + 10.0
-        self.longest = max(map(len, self.arcs), default=1)
         if any(re.search(f"[^{SPACE_MARK}]{SPACE_MARK}", text) for text in self.arcs):
             raise ValueError("a piece goes on over a space")
         lone = "".join(re.escape(c) for c in "\n\t\r" if not any(c in text for text in self.arcs))
         self.parts = re.compile(f"[{lone}]|{SPACE_MARK}*[^{SPACE_MARK}{lone}]+|{SPACE_MARK}+" if lone
                                 else f"{SPACE_MARK}*[^{SPACE_MARK}]+|{SPACE_MARK}+")
         self.paths: dict[str, tuple[int, ...]] = {}
-        self.pairs: dict[tuple[str, str], bool] = {}
+        self.older: dict[str, tuple[int, ...]] = {}
+        self.pairs: dict[int, bool] = {}  # known arcs of the BPE transducer
         self.made: dict[str, tuple[str, str] | None] = {}
 
     def halves(self, piece: str) -> tuple[str, str] | None:
@@ -123,21 +129,14 @@ class PieceTransducer:
         return len(piece) == 1 or self.halves(piece) is not None
 
     def follows(self, before: str, after: str) -> bool:
-        """Whether the BPE transducer has an arc from the state ``before`` to ``after``.
+        """Whether the BPE transducer has an arc from the state ``before`` (empty: the start) to ``after``."""
+        return self.alone(after) and (not before or self.border_stands(before, after))
 
-        Undo the merges of both pieces, the latest first. The border between them stands unless two symbols that
+    def border_stands(self, left: str, right: str) -> bool:
+        """Undo the merges of both pieces, the latest first. The border between them stands unless two symbols that
         touch it form a piece that ranks before the merge that took one of them away; at equal ranks the place
         further left is merged first.
         """
-        key = before, after
-        known = self.pairs.get(key)
-        if known is None:
-            if len(self.pairs) >= self.memo_size:
-                self.pairs.clear()
-            known = self.pairs[key] = self.alone(after) and self.border_stands(before, after)
-        return known
-
-    def border_stands(self, left: str, right: str) -> bool:
         limit = (float("inf"), 0)
         while True:
             joined = self.arcs.get(left + right)
@@ -153,35 +152,66 @@ class PieceTransducer:
                 limit, right = (of_right, 1), self.halves(right)[0]
 
     def shortest(self, part: str) -> tuple[int, ...]:
-        """Compose one part with the piece arcs and return the labels of the least path."""
-        n, bpe = len(part), self.kind == BPE
-        # for each place: weight of the least path to it, its last piece, and where that piece starts
-        cost, last, back = [0.0] + [float("inf")] * n, [""] * (n + 1), [0] * (n + 1)
-        for end in range(1, n + 1):
-            for start in range(max(0, end - self.longest), end):
-                if cost[start] == float("inf"):
+        """Compose one part with the arcs and return the labels of the least path."""
+        last, back = self.bpe_path(part) if self.kind == BPE else self.unigram_path(part)
+        labels: list[list[int]] = []
+        end = len(part)
+        while end:
+            number = self.arcs.get(last[end])
+            labels.append([self.byte_ids[b] for b in last[end].encode()] if number is None else [number])
+            end = back[end]
+        return tuple(i for piece in reversed(labels) for i in piece)
+
+    def bpe_path(self, part: str) -> tuple[list[str], list[int]]:
+        """Last piece and its start on the one path to each place: arcs weigh nothing, missing ones are infinite.
+
+        States are piece numbers plus one; -1 is a character without a piece, which merges with nothing.
+        """
+        n, starts, pairs = len(part), self.starts, self.pairs
+        state, last, back = [0] * (n + 1), [""] * (n + 1), [0] * (n + 1)
+        for start in range(n):
+            if state[n]:
+                break  # the path to the end is known
+            before = state[start] << 20
+            for end in range(start + 1, n + 1):
+                piece = part[start:end]
+                number = starts.get(piece, -1)
+                if number is None and end - start > 1 or state[end]:
                     continue
+                if number == -1 or number is None:
+                    if end - start == 1 and piece not in self.arcs:
+                        state[end], last[end], back[end] = -1, piece, start
+                    if number == -1:
+                        break
+                    continue
+                known = pairs.get(before + number)
+                if known is None:
+                    if len(pairs) >= self.memo_size:
+                        pairs.clear()
+                    known = pairs[before + number] = self.follows(last[start] if state[start] > 0 else "", piece)
+                if known:
+                    state[end], last[end], back[end] = number + 1, piece, start
+        return last, back
+
+    def unigram_path(self, part: str) -> tuple[list[str], list[int]]:
+        """Last piece and its start on the least path to each place; a character without a piece weighs the worst."""
+        n = len(part)
+        cost, last, back = [0.0] + [float("inf")] * n, [""] * (n + 1), [0] * (n + 1)
+        for start in range(n):
+            for end in range(start + 1, n + 1):
                 piece = part[start:end]
-                number = self.arcs.get(piece)
-                if number is None:
-                    if end - start > 1 or (not bpe and part[start] in self.arcs):
-                        continue
-                    weight = 1.0 if bpe else self.worst
-                elif not bpe:
-                    weight = self.weight[number]
-                elif (self.follows(last[start], piece) if start else self.alone(piece)):
-                    weight = 1.0
-                else:
+                number = self.starts.get(piece, -1)
+                if (number == -1 or number is None) and end - start == 1:
+                    weight = self.worst
+                elif number == -1:
+                    break
+                elif number is None:
                     continue
+                else:
+                    weight = self.weight[number]
                 if cost[start] + weight < cost[end]:
                     cost[end], last[end], back[end] = cost[start] + weight, piece, start
-        labels: list[int] = []
-        end = n
-        while end:
-            number = self.arcs.get(last[end])
-            labels[:0] = [self.byte_ids[b] for b in last[end].encode()] if number is None else [number]
-            end = back[end]
-        return tuple(labels)
+        return last, back
 
     def encode(self, text: str) -> list[int]:
         """Piece ids of a text; none for an empty one."""
@@ -192,9 +222,11 @@ class PieceTransducer:
         for part in self.parts.findall(self.prefix + text.replace(" ", SPACE_MARK)):
             path = paths.get(part)
             if path is None:
-                path = self.shortest(part)
+                path = self.older.get(part) or self.shortest(part)
                 if len(paths) >= self.memo_size:
-                    paths.clear()
+                    # parts that were used since the last turn are found among the older ones
+                    self.older = paths
+                    paths = self.paths = {}
                 if len(part) <= 64:
                     paths[part] = path
             labels += path

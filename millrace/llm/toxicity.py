@@ -1,14 +1,17 @@
 """Toxicity by class-conditional Kneser-Ney models with shared backoff counts.
 
-Each class has a bigram model that backs off to the class's own continuation counts, and from there to the
-continuation counts of both classes together. A document's evidence is the difference of its two log-likelihoods per
-word; a small logistic fit turns it into a probability.
+A word is a pair of symbols, its stem (the first letters) and its ending, so that inflected and rare forms of an
+expression share what is known of the stem. Each class has a bigram model of these pairs: an ending after its stem
+backs off to the continuation counts of both classes together, and a stem to the counts of both classes. Passages of
+a document are compared by their log-likelihoods per word under the two models; a small logistic fit turns the
+strongest passages and the whole text into a probability.
 """
 
 from __future__ import annotations
 
 import re
 import zlib
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -18,153 +21,136 @@ from pyspark.sql import functions as F
 from millrace.llm.base import query, read
 from millrace.session import freeze
 
-#: Word numbers: hashes of this many bits, so every table of the model has a fixed size, however large the corpus.
-WORD_BITS = 18
+#: Symbols and pairs are hashed to so many bits, so every table has a fixed size, however large the corpus.
+SYMBOL_BITS = 18
 PAIR_BITS = 20
-DISCOUNT = 0.75
+STEM = 5
+#: Taken from each count of a class, so that what a class has seen a few times is left to the shared counts.
+DISCOUNT = 3.0
+#: Words of the passages whose likelihoods are compared; 0 is the whole text.
+PASSAGES = (1, 3, 0)
 #: Most labelled rows the logistic fit reads; everything else is counted over all training rows.
 MOST_FIT_ROWS = 20_000
 
 _WORDS = re.compile(r"\w+")
 
 
-def word_numbers(text: str | None, memo: dict[str, int]) -> np.ndarray:
-    """The hashed numbers of the lower-case words of a whole text (null: none)."""
-    words = _WORDS.findall(text.lower()) if text else []
-    numbers = []
-    for word in words:
-        number = memo.get(word)
-        if number is None:
-            if len(memo) >= 200_000:
-                memo.clear()
-            number = memo[word] = zlib.crc32(word.encode()) & ((1 << WORD_BITS) - 1)
-        numbers.append(number)
-    return np.array(numbers, np.int32)
+def words_of(text: str | None) -> list[str]:
+    return _WORDS.findall(text.lower()) if text else []
 
 
-def pair_numbers(words: np.ndarray) -> np.ndarray:
-    first, second = words[:-1].astype(np.uint64), words[1:].astype(np.uint64)
-    mixed = (first << np.uint64(WORD_BITS) | second) * np.uint64(0x9E3779B97F4A7C15)
-    return (mixed >> np.uint64(64 - PAIR_BITS)).astype(np.int64)
+def symbols(word: str) -> tuple[int, int]:
+    mask = (1 << SYMBOL_BITS) - 1
+    return zlib.crc32(word[:STEM].encode()) & mask, zlib.crc32(word[STEM:].encode()) & mask
 
 
-def numbered(docs: DataFrame) -> DataFrame:
-    """``doc_id`` and the word numbers of ``text`` as packed 32-bit integers."""
-
-    def run(batches):
-        memo: dict[str, int] = {}
-        for batch in batches:
-            packed = [word_numbers(t, memo).tobytes() for t in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(packed, pa.binary())], ["doc_id", "words"])
-
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, words binary")
+def pair_number(stem, ending):
+    """The hashed number of a pair; takes numbers or arrays."""
+    mixed = (np.uint64(stem) << np.uint64(SYMBOL_BITS) | np.uint64(ending)) * np.uint64(0x9E3779B97F4A7C15)
+    return mixed >> np.uint64(64 - PAIR_BITS)
 
 
-def bigrams(rows: DataFrame) -> DataFrame:
-    """``toxic, first, second, n`` over all rows (``words``, ``toxic``), counted per batch before the shuffle."""
+def pair_counts(rows: DataFrame) -> DataFrame:
+    """``toxic, stem, ending, pair, n`` over all words of ``rows`` (``text, toxic``), counted per batch first."""
 
     def run(batches):
         for batch in batches:
-            toxic = np.array(batch.column(1).to_pylist(), np.int64)
-            texts = [np.frombuffer(w, np.int32).astype(np.int64) for w in batch.column(0).to_pylist()]
-            keys = [(t << (2 * WORD_BITS)) | (w[:-1] << WORD_BITS) | w[1:] for t, w in zip(toxic, texts) if len(w) > 1]
-            if keys:
-                key, n = np.unique(np.concatenate(keys), return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(n.astype(np.int32))], ["key", "n"])
-
-    mask = (1 << WORD_BITS) - 1
-    counted = rows.select("words", "toxic").mapInArrow(run, "key long, n int").groupBy("key").agg(F.sum("n").alias("n"))
-    return counted.select(F.shiftright("key", 2 * WORD_BITS).cast("int").alias("toxic"),
-                          F.shiftright("key", WORD_BITS).bitwiseAND(mask).cast("int").alias("first"),
-                          F.col("key").bitwiseAND(mask).cast("int").alias("second"), "n")
+            found = (Counter(), Counter())
+            for text, toxic in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                found[toxic].update(words_of(text))
+            for toxic, words in enumerate(found):
+                if words:
+                    stems, endings = np.array([symbols(w) for w in words], np.int64).T
+                    with np.errstate(over="ignore"):
+                        pairs = pair_number(stems.astype(np.uint64), endings.astype(np.uint64)).astype(np.int32)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(np.full(len(stems), toxic, np.int32)), pa.array(stems.astype(np.int32)),
+                         pa.array(endings.astype(np.int32)), pa.array(pairs), pa.array(words.values(), pa.int64())],
+                        ["toxic", "stem", "ending", "pair", "n"])
+
+    return (rows.select("text", "toxic").mapInArrow(run, "toxic int, stem int, ending int, pair int, n long")
+            .groupBy("toxic", "stem", "ending", "pair").agg(F.sum("n").alias("n")))
 
 
 class KneserNey:
-    """Tables of both classes: pairs, contexts (words before another) and continuations, each of fixed size."""
+    """Tables of both classes, each of fixed size, and the log-likelihoods they give."""
 
     def __init__(self):
-        words, pairs = 1 << WORD_BITS, 1 << PAIR_BITS
-        self.pairs = np.zeros((2, pairs), np.float32)
-        self.context_n = np.zeros((2, words), np.float32)
-        self.context_kinds = np.zeros((2, words), np.float32)
-        self.continued = np.zeros((2, words), np.float32)
-        self.weights = np.zeros(4)
-
-    def ready(self) -> None:
-        """Class distributions over words: discounted continuations, backed off to both classes' counts."""
-        shared = self.continued.sum(axis=0)
-        kinds = max(1.0, float((shared > 0).sum()))
-        floor = 1.0 / (1 << WORD_BITS)
-        total = max(1.0, float(shared.sum()))
-        shared = np.maximum(shared - DISCOUNT, 0) / total + DISCOUNT * kinds / total * floor
-        if not self.continued.any():
-            shared = np.full_like(shared, floor)
-        self.word = np.empty_like(self.continued)
-        for c in (0, 1):
-            total = float(self.continued[c].sum())
-            if total:
-                kinds = float((self.continued[c] > 0).sum())
-                self.word[c] = np.maximum(self.continued[c] - DISCOUNT, 0) / total + DISCOUNT * kinds / total * shared
-            else:
-                self.word[c] = shared
-
-    def log_ratio(self, words: np.ndarray) -> float:
-        """Toxic less ordinary log-likelihood per word; 0 for a text without words."""
-        if not len(words):
-            return 0.0
+        size = 1 << SYMBOL_BITS
+        self.pairs = np.zeros((2, 1 << PAIR_BITS), np.float32)  # words
+        self.stems = np.zeros((2, size), np.float32)  # words with the stem
+        self.kinds = np.zeros((2, size), np.float32)  # distinct endings of the stem
+        self.continued = np.zeros((2, size), np.float32)  # distinct stems before the ending
+        self.weights = np.zeros(2 + len(PASSAGES))
+        self.memo: dict[str, float] = {}
+
+    def ready(self) -> KneserNey:
+        """Shared distributions of stems and endings, and what each class leaves to them."""
+        floor = 1.0 / (1 << SYMBOL_BITS)
+        self.shared = []
+        for table in (self.stems, self.continued):
+            both = table.sum(axis=0)
+            total = max(1.0, float(both.sum()))
+            self.shared.append(np.maximum(both - 0.75, 0) / total + np.minimum(both, 0.75).sum() / total * floor
+                               if both.any() else np.full_like(both, floor))
+        self.total = np.maximum(1.0, self.stems.sum(axis=1))
+        left = np.minimum(self.stems, DISCOUNT).sum(axis=1) / self.total
+        self.left = np.where(self.stems.any(axis=1), left, 1.0)
+        return self
+
+    def word(self, word: str) -> float:
+        """Toxic less ordinary log-likelihood of one word."""
+        known = self.memo.get(word)
+        if known is not None:
+            return known
+        stem, ending = symbols(word)
+        with np.errstate(over="ignore"):
+            pair = int(pair_number(stem, ending))
         logs = []
         for c in (0, 1):
-            lower = self.word[c][words]
-            likely = lower.copy()
-            if len(words) > 1:
-                first, n = words[:-1], self.context_n[c][words[:-1]]
-                # a hashed pair cannot be more frequent than its context
-                pair = np.minimum(self.pairs[c][pair_numbers(words)], n)
-                known = n > 0
-                n = np.maximum(n, 1)
-                backed = np.minimum(DISCOUNT * self.context_kinds[c][first] / n, 1.0)
-                likely[1:] = np.where(known, np.maximum(pair - DISCOUNT, 0) / n + backed * lower[1:], lower[1:])
-            logs.append(np.log(np.maximum(likely, 1e-30)).sum())
-        return float((logs[1] - logs[0]) / len(words))
-
-    def features(self, words: np.ndarray) -> np.ndarray:
-        ratio, length = self.log_ratio(words), np.log1p(len(words))
-        return np.array([1.0, ratio, length, ratio * length])
-
-    def score(self, words: np.ndarray) -> float:
-        return float(1 / (1 + np.exp(-np.clip(self.features(words) @ self.weights, -30, 30))))
+            n = float(self.stems[c, stem])
+            likely = max(n - DISCOUNT, 0) / self.total[c] + self.left[c] * self.shared[0][stem]
+            after = self.shared[1][ending]
+            if n:
+                # a hashed pair is not more frequent than its stem
+                seen = min(float(self.pairs[c, pair]), n)
+                held = max(seen - DISCOUNT, 0) / n
+                lost = min(1.0, min(DISCOUNT * float(self.kinds[c, stem]), n) / n)
+                after = held + lost * after
+            logs.append(np.log(max(likely, 1e-30)) + np.log(max(after, 1e-30)))
+        if len(self.memo) >= 200_000:
+            self.memo.clear()
+        ratio = self.memo[word] = float(logs[1] - logs[0])
+        return ratio
+
+    def features(self, text: str | None) -> np.ndarray:
+        """1, the length, and the greatest log-likelihood ratio per word of the passages of each size."""
+        ratios = np.array([self.word(w) for w in words_of(text)] or [0.0])
+        run = np.concatenate([[0.0], np.cumsum(ratios)])
+        out = [1.0, np.log1p(len(ratios))]
+        for size in PASSAGES:
+            size = min(size or len(ratios), len(ratios))
+            out.append(float((run[size:] - run[:-size]).max() / size))
+        return np.array(out)
+
+    def score(self, text: str | None) -> float:
+        return float(1 / (1 + np.exp(-np.clip(self.features(text) @ self.weights, -30, 30))))
+
+    def __getstate__(self):
+        return self.__dict__ | {"memo": {}}
 
 
 def tables(rows: DataFrame) -> KneserNey:
     """Count all training rows. At most one row per class and table entry comes to the driver, whatever the corpus."""
-    counted = freeze(bigrams(rows))
+    counted = freeze(pair_counts(rows))
     model = KneserNey()
-    mixed = F.call_function("shiftleft", F.col("first").cast("long"), F.lit(WORD_BITS)).bitwiseOR(F.col("second").cast("long"))
-    for table, key, what in ((model.context_n, "first", F.sum("n")), (model.context_kinds, "first", F.count("*")),
-                             (model.continued, "second", F.count("*"))):
-        for toxic, at, n in _entries(counted.groupBy("toxic", F.col(key).alias("at")).agg(what.cast("float").alias("n"))):
-            table[toxic, at] = n
-
-    def hashed(batches):
-        for batch in batches:
-            pairs = batch.column(1).to_numpy(zero_copy_only=False).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array((pairs >> np.uint64(64 - PAIR_BITS)).astype(np.int32)), batch.column(2)],
-                ["toxic", "at", "n"])
-
-    pairs = counted.select("toxic", mixed.alias("pair"), "n").mapInArrow(hashed, "toxic int, at int, n long")
-    for toxic, at, n in _entries(pairs.groupBy("toxic", "at").agg(F.sum("n").cast("float").alias("n"))):
-        model.pairs[toxic, at] = n
-    model.ready()
-    return model
-
-
-def _entries(table: DataFrame):
-    """Columns of a table of bounded size, class by class, as arrays."""
-    for toxic in (0, 1):
-        part = table.where(F.col("toxic") == toxic).select("at", "n").toArrow()
-        yield toxic, part.column(0).to_numpy(), part.column(1).to_numpy()
+    for table, key, what in ((model.pairs, "pair", F.sum("n")), (model.stems, "stem", F.sum("n")),
+                             (model.kinds, "stem", F.count("*")), (model.continued, "ending", F.count("*"))):
+        summed = counted.groupBy("toxic", F.col(key).alias("at")).agg(what.cast("float").alias("n"))
+        for toxic in (0, 1):
+            part = summed.where(F.col("toxic") == toxic).select("at", "n").toArrow()
+            table[toxic, part.column(0).to_numpy()] = part.column(1).to_numpy()
+    return model.ready()
 
 
 def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-3, steps: int = 30) -> np.ndarray:
@@ -191,24 +177,23 @@ def train(docs: DataFrame, labels: DataFrame, most_fit_rows: int = MOST_FIT_ROWS
     turn = F.xxhash64("doc_id")
     sample = freeze(known.where(F.pmod(turn, F.lit(8)) == 0).orderBy(turn, "doc_id").limit(most_fit_rows))
     counted = known.join(F.broadcast(sample.select("doc_id")), "doc_id", "left_anti")
-    model = tables(numbered(docs).join(counted, "doc_id"))
+    model = tables(docs.join(counted, "doc_id"))
     shared = docs.sparkSession.sparkContext.broadcast(model)
+    width = len(model.weights)
 
     def evidence(batches):
         for batch in batches:
-            rows = [shared.value.features(np.frombuffer(w, np.int32)) for w in batch.column(0).to_pylist()]
-            parts = np.array(rows, float).reshape(-1, 4)
-            yield pa.RecordBatch.from_arrays([*[pa.array(parts[:, i]) for i in range(4)], batch.column(1)],
-                                             ["a", "b", "c", "d", "toxic"])
-
-    fitted = numbered(docs.join(F.broadcast(sample), "doc_id").select("doc_id", "text")).join(
-        F.broadcast(sample), "doc_id").select("words", "toxic")
-    # Bounded by ``most_fit_rows``; rows of documents that repeat an id count once each.
-    found = fitted.mapInArrow(evidence, "a double, b double, c double, d double, toxic int").limit(
-        4 * most_fit_rows).toArrow()
-    x = np.column_stack([found.column(i).to_numpy() for i in range(4)]) if found.num_rows else np.zeros((0, 4))
-    model.weights = logistic(x, found.column(4).to_numpy().astype(float))
-    shared.unpersist()
+            rows = [shared.value.features(t) for t in batch.column(0).to_pylist()]
+            parts = np.array(rows, float).reshape(-1, width)
+            yield pa.RecordBatch.from_arrays([*[pa.array(parts[:, i]) for i in range(width)], batch.column(1)],
+                                             [*[f"x{i}" for i in range(width)], "toxic"])
+
+    schema = ", ".join(f"x{i} double" for i in range(width)) + ", toxic int"
+    # Bounded by ``most_fit_rows``, also where documents repeat an id.
+    found = (docs.join(F.broadcast(sample), "doc_id").select("text", "toxic").mapInArrow(evidence, schema)
+             .limit(most_fit_rows).toArrow())
+    x = np.column_stack([found.column(i).to_numpy() for i in range(width)])
+    model.weights = logistic(x, found.column(width).to_numpy().astype(float))
     return model
 
 
@@ -220,9 +205,8 @@ def score(docs: DataFrame, model: KneserNey, least: float = 0.3) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):
-        memo: dict[str, int] = {}
         for batch in batches:
-            scores = [shared.value.score(word_numbers(t, memo)) for t in batch.column(1).to_pylist()]
+            scores = [shared.value.score(t) for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(scores, pa.float64())], ["doc_id", "score"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
@@ -235,5 +219,5 @@ def toxicity(spark, folder):
     docs = read(spark, folder, "documents", "doc_id", "text")
     fold = F.crc32(F.col("doc_id").cast("string")) % 4
     labels = read(spark, folder, "labels", "doc_id", "toxic").where(fold != 2)
-    model = train(docs, labels)
+    model = train(docs.where(fold != 2), labels)
     return score(docs, model).select("doc_id", F.coalesce(fold == 2, F.lit(False)).alias("held_out"), "score", "predicted")
