@@ -1,8 +1,57 @@
-"""The corpus pipeline and the registry of the text operators."""
+"""A training corpus from raw documents: five stages, each written as Parquet and read again by the next."""
 
 from __future__ import annotations
 
-from millrace.llm import exact_dedup, language, mixing, pieces, quality, secrets, sharding, toxicity  # noqa: F401
-from millrace.llm.base import QUERIES
+from pyspark.sql import DataFrame, SparkSession
+
+from millrace.llm import (  # noqa: F401
+    exact_dedup,
+    language,
+    mixing,
+    near_dup,
+    pieces,
+    quality,
+    secrets,
+    sharding,
+    toxicity,
+)
+from millrace.llm.base import QUERIES, query, read
+from millrace.session import freeze
+
+#: The last stage's encoding has no SQL; ``tests/llm`` holds the stages against brute force.
+ORACLE_SQL = None
+
+
+def good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return quality.keep_good(docs)
+
+
+def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return exact_dedup.drop_exact_copies(docs)
+
+
+def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return near_dup.drop_near_copies(docs)
+
+
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return mixing.repeat(docs)
+
+
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """``doc_id, source, lang, token_ids`` of every copy that the mix took."""
+    return pieces.encode(docs.select("doc_id", "source", "lang", "text")).drop("text")
+
+
+STAGES = [("quality", good), ("exact", exact), ("near", near), ("mix", mix), ("encode", encode)]
+
+
+@query("pipeline", ORACLE_SQL)
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    for _, stage in STAGES:
+        docs = freeze(stage(spark, docs, sf_dir))
+    return docs
+
 
 LLM_QUERIES = QUERIES

@@ -177,7 +177,8 @@ def train(docs: DataFrame, labels: DataFrame, most_fit_rows: int = MOST_FIT_ROWS
     turn = F.xxhash64("doc_id")
     sample = freeze(known.where(F.pmod(turn, F.lit(8)) == 0).orderBy(turn, "doc_id").limit(most_fit_rows))
     counted = known.join(F.broadcast(sample.select("doc_id")), "doc_id", "left_anti")
-    model = tables(docs.join(counted, "doc_id"))
+    # Labels grow with the corpus: the same shuffled join at every size, never a broadcast.
+    model = tables(docs.join(counted.hint("merge"), "doc_id"))
     shared = docs.sparkSession.sparkContext.broadcast(model)
     width = len(model.weights)
 
