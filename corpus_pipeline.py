@@ -11,6 +11,7 @@ from millrace.llm import (  # noqa: F401
     near_dup,
     pieces,
     quality,
+    repeats,
     secrets,
     sharding,
     toxicity,
