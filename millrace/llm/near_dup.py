@@ -69,15 +69,19 @@ def labels_of(hashes: np.ndarray, multiply: np.ndarray, add: np.ndarray) -> np.n
     return least
 
 
+def raw_key(text: str):
+    return F.unhex(F.md5(filled(text)))
+
+
 def keyed(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """``doc_id, text, words_key``: the key is the MD5 of the words, null where there is none."""
+    """``doc_id, raw_key, words_key``: MD5 of the text and of its words, the latter null where there is none."""
     said = F.regexp_replace(F.regexp_replace(filled(text), f"{SPACE}+", " "), "^ | $", "")
-    return docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), F.when(
-        said != "", F.unhex(F.md5(said))).alias("words_key"))
+    return docs.select(F.col(doc_id).alias("doc_id"), raw_key(text).alias("raw_key"),
+                       F.when(said != "", F.unhex(F.md5(said))).alias("words_key"))
 
 
 def forest(docs: DataFrame, trees: int = TREES, recall: float = RECALL, threshold: float = THRESHOLD) -> DataFrame:
-    """``words_key, prefixes``: each text's prefix in every tree, hashed to a long. Input: ``words_key, text``."""
+    """``raw_key, prefixes``: each text's prefix in every tree, hashed to a long. Input: ``raw_key, text``."""
     depth = depth_for(threshold, trees, recall)
     draw = np.random.default_rng(11)
     multiply = draw.integers(1, 2**63, trees * depth, np.uint64) * np.uint64(2) + np.uint64(1)
@@ -98,9 +102,9 @@ def forest(docs: DataFrame, trees: int = TREES, recall: float = RECALL, threshol
                         prefix ^= prefix >> np.uint64(31)
                     found.append(prefix.view(np.int64))
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array(found, pa.list_(pa.int64()))], ["words_key", "prefixes"])
+                    [part.column(0), pa.array(found, pa.list_(pa.int64()))], ["raw_key", "prefixes"])
 
-    return docs.select("words_key", "text").mapInArrow(run, "words_key binary, prefixes array<long>")
+    return docs.select("raw_key", "text").mapInArrow(run, "raw_key binary, prefixes array<long>")
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -195,18 +199,20 @@ def jaccard_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     has no shingle, no link and a class of its own. Repeated rows are copies of each other. Only the id and the text
     are read, so other columns cannot clash; an empty table gives no rows.
     """
-    rows = freeze(keyed(docs, doc_id, text).select("doc_id", "words_key"))
-    texts = (rows.where("words_key IS NOT NULL").groupBy("words_key")
-             .agg(F.min("doc_id").alias("one_id"), F.count("*").alias("copies")))
-    signed = freeze(forest(keyed(docs, doc_id, text).where("words_key IS NOT NULL"), threshold=threshold)
-                    .dropDuplicates(["words_key"]))
+    rows = freeze(keyed(docs, doc_id, text))
+    texts = freeze(rows.where("words_key IS NOT NULL").groupBy("words_key")
+                   .agg(F.min(F.struct("doc_id", "raw_key")).alias("one"), F.count("*").alias("copies"))
+                   .select("words_key", F.col("one.doc_id").alias("one_id"), F.col("one.raw_key").alias("one_key"), "copies"))
+    whole = docs.select(F.col(doc_id).alias("this_id"), raw_key(text).alias("raw_key"), filled(text).alias("text"))
+    signed = freeze(forest(whole, threshold=threshold).dropDuplicates(["raw_key"])
+                    .join(texts, F.col("raw_key") == F.col("one_key")).select("words_key", "prefixes"))
     leaves = signed.select("words_key", F.posexplode("prefixes").alias("tree", "prefix"))
     shared = freeze(leaves.groupBy("tree", "prefix").agg(F.min("words_key").alias("b"), F.count("*").alias("n"))
                     .where("n > 1").drop("n"))
     proposed = leaves.join(shared, ["tree", "prefix"]).select(F.col("words_key").alias("a"), "b").distinct()
     found = freeze(components(proposed).join(texts, F.col("node") == F.col("words_key")).drop("node"))
-    whole = keyed(docs, doc_id, text).withColumnsRenamed({"doc_id": "this_id", "words_key": "this_key"})
-    bodies = freeze(whole.join(found, (F.col("this_key") == F.col("words_key"))
+    # The same shuffled join at every size: the candidates grow with the corpus.
+    bodies = freeze(whole.join(found.hint("merge"), (F.col("raw_key") == F.col("one_key"))
                                & F.col("this_id").eqNullSafe(F.col("one_id")))
                     .select(F.col("root").alias("component"), "words_key", "copies", "text"))
     sizes = bodies.groupBy("component").agg(F.greatest(
@@ -223,7 +229,7 @@ def jaccard_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         F.coalesce("root", "words_key").alias("class_key")))
     named = known.groupBy("class_key").agg(F.min("one_id").alias("class_id"), F.sum("copies").alias("class_size"))
     judged = freeze(known.join(named, "class_key").select("words_key", "class_id", "n_links", "class_size"))
-    return rows.join(judged, "words_key", "left").select(
+    return rows.drop("raw_key").join(judged, "words_key", "left").select(
         "doc_id", F.when(F.col("words_key").isNull(), F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"),
         F.coalesce("n_links", F.lit(0)).alias("n_links"), F.coalesce("class_size", F.lit(1)).alias("class_size"))
 
