@@ -6,7 +6,8 @@ windows sample equal places, which a cover by residues of positions gives only p
 1.3 % of all places instead of 11 %. A sample's bucket holds all places with the same ``GRAM`` bytes. A run is the
 maximal row of window starts with one sample; its rank is the hash of all bytes its windows cover. Runs of equal rank
 are repeated as a whole. Only in buckets with unequal runs, where passages begin or end, are single windows compared,
-one run for each rank.
+one run for each rank: the bytes of these runs meet by bucket, one bucket at a time; a bucket with many ranks is
+instead spread over all tasks by the hashes of its windows.
 """
 
 from __future__ import annotations
@@ -25,6 +26,8 @@ LENGTH = 200
 GRAM = 50
 #: Window starts handled together, so that a very long text takes bounded memory.
 CHUNK = (1 << 20) - 2048
+#: Ranks of a bucket whose bytes may meet in one task; larger buckets are compared by hashes of single windows.
+MOST_RANKS = 500
 _BASE = 0x9E3779B97F4A7C15 | 1
 
 
@@ -140,6 +143,82 @@ def windows_of(joined: DataFrame, length: int) -> DataFrame:
     return joined.mapInArrow(run, f"doc_id {kind}, crc long, start long, open boolean, h1 long, h2 long")
 
 
+def regions_of(joined: DataFrame, length: int) -> DataFrame:
+    """``bucket, doc_id, crc, start, open, bytes`` of the listed runs (``runs``: bucket, start, n, open)."""
+
+    def run(batches):
+        for batch in batches:
+            for at in range(0, batch.num_rows, 200):
+                part = batch.slice(at, 200)
+                row, buckets, starts, flags, regions = [], [], [], [], []
+                for i, (text, runs) in enumerate(zip(part.column(2).to_pylist(), part.column(3).to_pylist())):
+                    data = text.encode()
+                    for r in runs:
+                        row.append(i)
+                        buckets.append(r["bucket"])
+                        starts.append(r["start"])
+                        flags.append(r["open"])
+                        regions.append(data[r["start"] : r["start"] + r["n"] + length - 1])
+                which = pa.array(row, pa.int32())
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(buckets, pa.int64()), part.column(0).take(which), part.column(1).take(which),
+                     pa.array(starts, pa.int64()), pa.array(flags, pa.bool_()), pa.array(regions, pa.binary())],
+                    ["bucket", "doc_id", "crc", "start", "open", "bytes"])
+
+    kind = joined.schema["doc_id"].dataType.simpleString()
+    return joined.mapInArrow(
+        run, f"bucket long, doc_id {kind}, crc long, start long, open boolean, bytes binary")
+
+
+def compared(regions: DataFrame, length: int) -> DataFrame:
+    """Spans ``doc_id, crc, start, stop`` of the open runs' windows that occur twice in their bucket.
+
+    Rows come sorted by bucket, and a task holds one bucket at a time.
+    """
+    doc_type = regions.schema["doc_id"].dataType.simpleString()
+
+    def spans(rows):
+        if len(rows) < 2:
+            return
+        seen: dict[bytes, int] = {}
+        for *_, data in rows:
+            for s in range(len(data) - length + 1):
+                window = data[s : s + length]
+                seen[window] = seen.get(window, 0) + 1
+        for doc_id, crc, start, is_open, data in rows:
+            first = None
+            for s in range(len(data) - length + 2) if is_open else ():
+                again = s <= len(data) - length and seen[data[s : s + length]] > 1
+                if again and first is None:
+                    first = s
+                elif not again and first is not None:
+                    yield doc_id, crc, start + first, start + s - 1 + length
+                    first = None
+
+    def run(batches):
+        bucket, rows = None, []
+        kind = None
+        for batch in batches:
+            kind = batch.schema.field("doc_id").type
+            found = []
+            for b, *row in zip(*[c.to_pylist() for c in batch.columns]):
+                if b != bucket:
+                    found += spans(rows)
+                    bucket, rows = b, []
+                rows.append(row)
+            yield as_batch(found, kind)
+        if rows:
+            yield as_batch(list(spans(rows)), kind)
+
+    def as_batch(found, kind):
+        columns = list(zip(*found)) or [(), (), (), ()]
+        return pa.RecordBatch.from_arrays(
+            [pa.array(columns[0], kind), *[pa.array(c, pa.int64()) for c in columns[1:]]], ["doc_id", "crc", "start", "stop"])
+
+    sorted_rows = regions.repartition("bucket").sortWithinPartitions("bucket")
+    return sorted_rows.mapInArrow(run, f"doc_id {doc_type}, crc long, start long, stop long")
+
+
 def same_text(a: DataFrame, b: DataFrame):
     return a.doc_id.eqNullSafe(b.doc_id) & (a.crc == b.crc)
 
@@ -150,24 +229,32 @@ def repeated_spans(texts: DataFrame, length: int = LENGTH) -> DataFrame:
     ranked = runs.groupBy("bucket", "rank").agg(F.count("*").alias("same"))
     # a bucket is alive with two runs; it needs windows where it has unequal runs and one of them is alone
     alive = freeze(ranked.groupBy("bucket").agg(
-        F.sum("same").alias("all"), ((F.count("*") > 1) & (F.min("same") == 1)).alias("mixed"))
-        .where("all > 1").select("bucket", "mixed"))
+        F.sum("same").alias("all"), ((F.count("*") > 1) & (F.min("same") == 1)).alias("mixed"),
+        (F.count("*") > MOST_RANKS).alias("large")).where("all > 1").select("bucket", "mixed", "large"))
     live = freeze(runs.join(alive, "bucket"))
     counts = live.groupBy("bucket", "rank").agg(
-        F.count("*").alias("same"), F.max("mixed").alias("mixed"), F.min(F.struct("doc_id", "crc", "start", "n")).alias("one"))
+        F.count("*").alias("same"), F.max("mixed").alias("mixed"), F.max("large").alias("large"), F.min(F.struct("doc_id", "crc", "start", "n")).alias("one"))
     counts = freeze(counts)
     whole = live.join(counts.where("same > 1").select("bucket", "rank"), ["bucket", "rank"]).select(
         "doc_id", "crc", "start", (F.col("start") + F.col("n") + (length - 1)).alias("stop"))
-    chosen = counts.where("mixed").select("one.*", (F.col("same") == 1).alias("open")).groupBy("doc_id", "crc").agg(
-        F.collect_list(F.struct("start", "n", "open")).alias("runs"))
-    chosen = freeze(chosen)
-    met = texts.join(chosen, same_text(texts, chosen)).select(texts.doc_id, texts.crc, texts.text, "runs")
-    # rows that repeat a text give its windows twice, and these are repeated indeed
-    windows = freeze(windows_of(met, length))
-    again = windows.groupBy("h1", "h2").agg(F.count("*").alias("same")).where("same > 1").drop("same")
-    single = windows.where("open").join(again, ["h1", "h2"]).select(
-        "doc_id", "crc", "start", (F.col("start") + length).alias("stop"))
-    return whole.unionByName(single)
+    chosen = freeze(counts.where("mixed").select("bucket", "large", "one.*", (F.col("same") == 1).alias("open"))
+                    .groupBy("doc_id", "crc").agg(
+        F.collect_list(F.when(~F.col("large"), F.struct("bucket", "start", "n", "open"))).alias("runs"),
+        F.collect_list(F.when(F.col("large"), F.struct("start", "n", "open"))).alias("large_runs")))
+    # The same shuffled join at every size: the runs grow with the corpus. Rows that repeat a text give its runs
+    # twice, and these are repeated indeed.
+    met = texts.join(chosen.hint("merge"), same_text(texts, chosen)).select(
+        texts.doc_id, texts.crc, texts.text, "runs", "large_runs")
+    small = compared(regions_of(met.select("doc_id", "crc", "text", "runs"), length), length)
+    few = chosen.where(F.size("large_runs") > 0).drop("runs")
+    windows = freeze(windows_of(texts.join(few, same_text(texts, few)).select(
+        texts.doc_id, texts.crc, texts.text, F.col("large_runs").alias("runs")), length)) if few.limit(1).count() else None
+    spans = whole.unionByName(small)
+    if windows is not None:
+        again = windows.groupBy("h1", "h2").agg(F.count("*").alias("same")).where("same > 1").drop("same")
+        spans = spans.unionByName(windows.where("open").join(again, ["h1", "h2"]).select(
+            "doc_id", "crc", "start", (F.col("start") + length).alias("stop")))
+    return spans
 
 
 def cut(data: bytes, spans) -> tuple[int, int, bytes]:
@@ -199,7 +286,7 @@ def without_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     spans = repeated_spans(texts, length).distinct().groupBy("doc_id", "crc").agg(
         F.collect_list(F.struct("start", "stop")).alias("spans"))
     spans = freeze(spans)
-    joined = texts.join(spans, same_text(texts, spans), "left").select(texts.doc_id, texts.text, "spans")
+    joined = texts.join(spans.hint("merge"), same_text(texts, spans), "left").select(texts.doc_id, texts.text, "spans")
 
     def run(batches):
         for batch in batches:
