@@ -231,7 +231,7 @@ def repeated_spans(texts: DataFrame, length: int = LENGTH) -> DataFrame:
     alive = freeze(ranked.groupBy("bucket").agg(
         F.sum("same").alias("all"), ((F.count("*") > 1) & (F.min("same") == 1)).alias("mixed"),
         (F.count("*") > MOST_RANKS).alias("large")).where("all > 1").select("bucket", "mixed", "large"))
-    live = freeze(runs.join(alive, "bucket"))
+    live = freeze(runs.join(alive.hint("merge"), "bucket"))
     counts = live.groupBy("bucket", "rank").agg(
         F.count("*").alias("same"), F.max("mixed").alias("mixed"), F.max("large").alias("large"), F.min(F.struct("doc_id", "crc", "start", "n")).alias("one"))
     counts = freeze(counts)
