@@ -131,13 +131,13 @@ def quantile_bins(df: DataFrame, value: str, bins: int) -> DataFrame:
     passed = F.lit(0)
     for name in probs:
         passed = passed + F.when(F.col(value) >= F.col(f"_cuts.{name}"), 1).otherwise(0)
-    return limited.withColumn("bin", passed).drop("_cuts")
+    return limited.withColumn("bin", F.when(F.col(value).isNotNull(), passed)).drop("_cuts")
 
 
 def quantize(x: Column, low: float, high: float, bins: int) -> Column:
     """Equal-width bin of [low, high], values outside go to the first or last bin."""
     at = F.floor((x - F.lit(float(low))) * F.lit(bins / (high - low)))
-    return F.greatest(F.lit(0), F.least(F.lit(bins - 1), at)).cast("int")
+    return F.when(x.isNotNull(), F.greatest(F.lit(0), F.least(F.lit(bins - 1), at)).cast("int"))
 
 
 def threshold(x: Column, cuts: Sequence[float]) -> Column:

@@ -15,8 +15,8 @@ from millrace.streaming import windows as win
 
 
 def event_stream(t):
-    """The events file as a stream."""
-    return tp.open_files(t.spark, t.folder, t.events.schema, pathGlobFilter="events.parquet")
+    """The events table as a stream, be it one file or a folder of part files: the pattern matches either."""
+    return tp.open_files(t.spark, f"{t.folder}/event[s].parquet", t.events.schema)
 
 
 def _update(t, stream, keys):
