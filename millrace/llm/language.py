@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import re
-from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -18,47 +17,66 @@ PROFILE = 300
 LONGEST = 4
 #: The profiles are shared with all workers, so the number of languages is bounded; beyond it the fit fails.
 MOST_LANGUAGES = 1000
+#: Words counted together, so that a very long text takes bounded memory.
+CHUNK = 100_000
 
 _LETTERS = re.compile(r"[^\W\d_]+")
 
 
-def grams(word: str, longest: int = LONGEST) -> list[str]:
-    padded = f" {word} "
-    return [padded[i : i + n] for n in range(1, longest + 1) for i in range(len(padded) - n + 1) if padded[i : i + n] != " "]
+def gram_keys(words: list[str], longest: int = LONGEST) -> np.ndarray:
+    """All n-grams of the padded words as longs, 16 bits a letter from the top; letters count by their lower 16 bits.
 
+    Neighbouring words share a blank, and an n-gram with a blank inside belongs to no word.
+    """
+    if not 1 <= longest <= 4:
+        raise ValueError("n-grams have 1 to 4 letters")
+    letters = np.frombuffer(f" {' '.join(words)} ".encode("utf-32-le"), np.uint32).astype(np.int64) & 0xFFFF
+    blank = letters == 32
+    found = [letters[~blank] << 48]
+    key, inside = letters << 48, np.zeros(len(letters), bool)
+    for n in range(2, longest + 1):
+        size = len(letters) - n + 1
+        key = key[:size] | letters[n - 1 :] << (64 - 16 * n)
+        if n > 2:
+            inside = inside[:size] | blank[n - 2 : n - 2 + size]
+            found.append(key[~inside[:size]])
+        else:
+            found.append(key)
+    return np.concatenate(found)
+
+
+def gram_counts(words: list[str], longest: int = LONGEST) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct n-grams in ascending order and their counts."""
+    if len(words) <= CHUNK:
+        return np.unique(gram_keys(words, longest) if words else np.zeros(0, np.int64), return_counts=True)
+    keys, counts = np.zeros(0, np.int64), np.zeros(0, np.int64)
+    for at in range(0, len(words), CHUNK):
+        more = np.unique(gram_keys(words[at : at + CHUNK], longest), return_counts=True)
+        keys, at_key = np.unique(np.concatenate([keys, more[0]]), return_inverse=True)
+        counts = np.bincount(at_key, np.concatenate([counts, more[1]]), len(keys)).astype(np.int64)
+    return keys, counts
+
+
+def profiles(docs: DataFrame, size: int = PROFILE, longest: int = LONGEST) -> DataFrame:
+    """``lang, gram, place``: the ``size`` most frequent n-grams of each language of ``docs``; ties by the n-gram.
 
-def word_counts(docs: DataFrame) -> DataFrame:
-    """``lang, word, n`` over all texts of ``docs`` (``lang``, ``text``), counted per batch before the shuffle."""
+    N-grams (``gram_keys``) are counted per batch before the shuffle. Rows without a language are not read.
+    """
 
     def count(batches):
         for batch in batches:
-            found: dict[str, Counter] = {}
+            found: dict[str, list[str]] = {}
             for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 if text:
-                    found.setdefault(lang, Counter()).update(_LETTERS.findall(text.lower()))
+                    found.setdefault(lang, []).extend(_LETTERS.findall(text.lower()))
             for lang, words in found.items():
+                keys, counts = gram_counts(words, longest)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([lang] * len(words), pa.string()), pa.array(words.keys(), pa.string()),
-                     pa.array(words.values(), pa.int64())], ["lang", "word", "n"])
+                    [pa.array([lang] * len(keys), pa.string()), pa.array(keys), pa.array(counts, pa.int64())],
+                    ["lang", "gram", "n"])
 
-    return (docs.select("lang", "text").mapInArrow(count, "lang string, word string, n long")
-            .groupBy("lang", "word").agg(F.sum("n").alias("n")))
-
-
-def profiles(docs: DataFrame, size: int = PROFILE, longest: int = LONGEST) -> DataFrame:
-    """``lang, gram, place``: the ``size`` most frequent n-grams of each language of ``docs``; ties by the n-gram.
-
-    N-grams are taken from the distinct words, weighted by the words' counts. Rows without a language are not read.
-    """
-    padded = F.concat(F.lit(" "), F.col("word"), F.lit(" "))
-    cut = F.flatten(F.transform(F.sequence(F.lit(1), F.lit(longest)), lambda n: F.transform(
-        F.sequence(F.lit(1), F.greatest(F.lit(1), F.char_length("padded") - n + 1)),
-        lambda i: F.substr(F.col("padded"), i, n))))
-    counted = (
-        word_counts(docs.where("lang IS NOT NULL")).withColumn("padded", padded)
-        .select("lang", "n", F.explode(cut).alias("gram")).where("gram != ' '")
-        .groupBy("lang", "gram").agg(F.sum("n").alias("n"))
-    )
+    counted = (docs.where("lang IS NOT NULL").select("lang", "text").mapInArrow(count, "lang string, gram long, n long")
+               .groupBy("lang", "gram").agg(F.sum("n").alias("n")))
     place = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "gram")) - 1
     return counted.withColumn("place", place).where(F.col("place") < size).select("lang", "gram", "place")
 
@@ -66,43 +84,31 @@ def profiles(docs: DataFrame, size: int = PROFILE, longest: int = LONGEST) -> Da
 class RankOrder:
     """The profiles as one table of places, n-grams by languages."""
 
-    def __init__(self, rows: list[tuple[str, str, int]], size: int = PROFILE, longest: int = LONGEST):
+    def __init__(self, rows: list[tuple[str, int, int]], size: int = PROFILE, longest: int = LONGEST):
         self.size, self.longest = size, longest
         self.langs = sorted({lang for lang, _, _ in rows})
-        self.index: dict[str, int] = {}
-        for _, gram, _ in rows:
-            self.index.setdefault(gram, len(self.index))
-        self.places = np.full((len(self.index) + 1, len(self.langs)), -1, np.int32)  # the last row: unknown n-grams
+        self.grams = np.unique(np.array([gram for _, gram, _ in rows], np.int64))
+        self.places = np.full((len(self.grams) + 1, len(self.langs)), -1, np.int32)  # the last row: unknown n-grams
         column = {lang: i for i, lang in enumerate(self.langs)}
         for lang, gram, place in rows:
-            self.places[self.index[gram], column[lang]] = place
-        self.memo: dict[str, list[str]] = {}
+            self.places[np.searchsorted(self.grams, gram), column[lang]] = place
 
-    def profile(self, text: str) -> list[str]:
+    def profile(self, text: str) -> np.ndarray:
         """The document's most frequent n-grams, ties by the n-gram."""
-        counts: dict[str, int] = {}
-        for word, n in Counter(_LETTERS.findall(text.lower())).items():
-            cut = self.memo.get(word)
-            if cut is None:
-                if len(self.memo) >= 50_000:
-                    self.memo.clear()
-                cut = grams(word, self.longest)
-                if len(word) <= 32:
-                    self.memo[word] = cut
-            for gram in cut:
-                counts[gram] = counts.get(gram, 0) + n
-        if len(counts) > self.size:
-            values = np.fromiter(counts.values(), np.int64, len(counts))
-            least = np.partition(values, -self.size)[-self.size]
-            counts = {gram: n for gram, n in counts.items() if n >= least}
-        return [gram for gram, _ in sorted(counts.items(), key=lambda x: (-x[1], x[0]))][: self.size]
+        keys, counts = gram_counts(_LETTERS.findall(text.lower()), self.longest)
+        if len(keys) > self.size:
+            frequent = counts >= np.partition(counts, -self.size)[-self.size]
+            keys, counts = keys[frequent], counts[frequent]
+        return keys[np.argsort(-counts, kind="stable")[: self.size]]
 
     def predict(self, text: str | None) -> tuple[str, float]:
         """Language and score: one less the share of the greatest distance; ``und`` and 0 without a letter."""
-        top = self.profile(text) if text else []
-        if not top or not self.langs:
+        top = self.profile(text) if text else ()
+        if not len(top) or not self.langs:
             return "und", 0.0
-        rows = self.places[[self.index.get(gram, len(self.index)) for gram in top]]
+        at = np.searchsorted(self.grams, top)
+        at[self.grams[np.minimum(at, len(self.grams) - 1)] != top] = len(self.grams)
+        rows = self.places[at]
         apart = np.where(rows < 0, self.size, np.abs(rows - np.arange(len(top))[:, None])).sum(axis=0)
         best = int(apart.argmin())
         return self.langs[best], float(1 - apart[best] / (self.size * len(top)))

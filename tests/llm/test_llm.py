@@ -6,7 +6,7 @@ from collections import Counter
 
 import pytest
 
-from millrace.llm import exact_dedup, near_dup, pieces, quality, repeats, secrets
+from millrace.llm import exact_dedup, language, near_dup, pieces, quality, repeats, secrets
 
 WORDS = "the quick brown fox jumps over a lazy dog while seven wizards brew odd potions near cold rivers".split()
 LONG = " ".join(WORDS[i * 7 % 17] + str(i % 23) for i in range(120))
@@ -77,3 +77,30 @@ def test_pieces_agree_with_the_library():
     for text in [t or "" for _, t in ROWS] + ["  two  spaces\n\ttab 漢字 😀 ▁▁▁▁▁ ", " " * 40 + "x", "ab" * 200]:
         assert ours.encode(text) == library.encode(text)
         assert ours.decode(ours.encode(text)) == text.replace("▁", " ")
+
+
+def test_gram_counts_against_slices(monkeypatch):
+    words = "a été été lazy o 漢字".split()
+    want = Counter(p[i : i + n] for w in words for p in [f" {w} "] for n in range(1, 5)
+                   for i in range(len(p) - n + 1) if p[i : i + n] != " ")
+
+    def key(gram):
+        return sum(ord(c) << 48 - 16 * i for i, c in enumerate(gram))
+
+    for chunk in (100, 2):
+        monkeypatch.setattr(language, "CHUNK", chunk)
+        keys, counts = language.gram_counts(words)
+        assert dict(zip(keys.astype("uint64").tolist(), counts.tolist())) == {key(g): n for g, n in want.items()}
+    assert not len(language.gram_counts([])[0])
+
+
+def test_language_profiles(rows):
+    texts = [("en", "the cat and the dog"), ("fr", "le chat et le chien"), (None, "zzz"), ("fr", None), ("en", "")]
+    learned = rows([(lang, t, 1) for lang, t in texts], "lang string, text string, n int")
+    model = language.fit(learned)
+    asked = rows([(1, "the dog"), (2, "le chien"), (3, None), (4, "12 _ !"), (1, "the dog"), (5, "漢")], "doc_id int, text string")
+    got = sorted((r.doc_id, r.lang_pred) for r in language.identify(asked, model).collect())
+    assert got == [(1, "en"), (1, "en"), (2, "fr"), (3, "und"), (4, "und"), (5, "en")]
+    nothing = language.fit(learned.limit(0))
+    assert {r.lang_pred for r in language.identify(asked, nothing).collect()} == {"und"}
+    assert language.identify(asked.limit(0), model).count() == 0
