@@ -11,11 +11,13 @@ from pyspark.sql import functions as F
 def newest_per_key(df: DataFrame, keys: Sequence[str], version: str) -> DataFrame:
     """The row with the highest version of each key.
 
-    ``max_by`` keeps one row per key and task before the shuffle, so a key written very often costs no
-    more than any other. A window over the key would gather all its versions.
+    Of equal versions the row whose other columns sort last stays; a NULL version is the lowest one. So all
+    columns must have an order, which maps have not. The maximum keeps one row per key and task before the
+    shuffle, so a key written very often costs no more than any other. A window over the key would gather
+    all its versions.
     """
     rest = [c for c in df.columns if c not in keys]
-    newest = F.max_by(F.struct(*rest), F.col(version)).alias("_newest")
+    newest = F.max(F.struct(version, *[c for c in rest if c != version])).alias("_newest")
     return df.groupBy(*keys).agg(newest).select(*keys, *[F.col(f"_newest.{c}").alias(c) for c in rest])
 
 

@@ -20,23 +20,24 @@ from pyspark.sql import functions as F
 
 from millrace.functions.scalars import hash_fraction
 from millrace.operators.matrix import gram
-from millrace.operators.ordered import global_rank
+from millrace.operators.ordered import global_rank, same_keys
 from millrace.session import freeze
 
 
 def category_index(df: DataFrame, column: str) -> DataFrame:
-    """Distinct values in ascending order with their index from 0.
+    """Distinct values in ascending order with their index from 0; NULL is a level of its own, the last.
 
     The index stays a table, so the number of categories is not limited by the driver.
     """
-    values = df.filter(F.col(column).isNotNull()).select(column).distinct()
-    return global_rank(values, [F.asc(column)], "_rank").select(column, (F.col("_rank") - 1).alias(f"{column}_index"))
+    values = df.select(column).distinct()
+    return global_rank(values, [F.asc_nulls_last(column)], "_rank").select(column, (F.col("_rank") - 1).alias(f"{column}_index"))
 
 
 def with_indices(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Add ``<column>_index`` for each categorical column."""
+    """Add ``<column>_index`` for each categorical column; every row stays."""
     for column in columns:
-        df = df.join(category_index(df, column), column)
+        a, b = df.alias("a"), category_index(df, column).alias("b")
+        df = a.join(b, same_keys([column])).select("a.*", f"b.{column}_index")
     return df
 
 

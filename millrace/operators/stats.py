@@ -15,12 +15,14 @@ QUARTILES = {"q1": 0.25, "median": 0.5, "q3": 0.75}
 
 
 def numeric_summary(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Minimum, quartiles, mean and maximum of each column, exact, one row per column."""
+    """Minimum, quartiles, mean and maximum of each column, exact, one row per column, of NULLs where it has no value."""
     long = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
     long = long.unpivot([], list(columns), "column", "value")
     mean = F.sum(F.col("value") * F.col("n")) / F.sum("n")
-    return quantiles(long, ["column"], "value", QUARTILES, extra=[
+    found = quantiles(long, ["column"], "value", QUARTILES, extra=[
         F.min("value").alias("min"), F.max("value").alias("max"), mean.alias("mean")])
+    names = df.sparkSession.range(1).select(F.explode(F.array(*[F.lit(c) for c in columns])).alias("column"))
+    return names.join(found, "column", "left")
 
 
 def fences(df: DataFrame, by: Sequence[str], value: str, reach: float = 1.5) -> DataFrame:
@@ -55,8 +57,11 @@ def boxplot_stats(df: DataFrame, by: Sequence[str], value: str) -> DataFrame:
 
 
 def outliers(df: DataFrame, by: Sequence[str], value: str) -> DataFrame:
-    """The rows outside the fences of their group."""
-    placed = _with_fences(df, fences(df, by, value), by, value)
+    """The rows outside the fences of their group.
+
+    The fences are frozen, so their size is known and a few of them do not make the rows move.
+    """
+    placed = _with_fences(df, freeze(fences(df, by, value)), by, value)
     return placed.filter(~F.col(value).between(F.col("low_fence"), F.col("high_fence"))).drop("low_fence", "high_fence")
 
 
@@ -95,9 +100,16 @@ def covariance_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def regression_errors(pairs: DataFrame, actual: str, predicted: str) -> DataFrame:
-    """Mean squared error, mean absolute error and root mean squared log error."""
+    """Mean squared error, mean absolute error and root mean squared log error.
+
+    A value below -1 has no logarithm and makes the last one NaN; at -1 it is infinite.
+    """
+    def log1p(name):
+        x = F.col(name)
+        return F.when(x < -1, float("nan")).when(x == -1, float("-inf")).otherwise(F.log1p(x))
+
     gap = F.col(predicted) - F.col(actual)
-    log_gap = F.log1p(predicted) - F.log1p(actual)
+    log_gap = log1p(predicted) - log1p(actual)
     return pairs.agg(F.avg(gap * gap).alias("mse"), F.avg(F.abs(gap)).alias("mae"),
                      F.sqrt(F.avg(log_gap * log_gap)).alias("rmsle"))
 
@@ -110,8 +122,11 @@ def array_stats(df: DataFrame, value: str) -> DataFrame:
 
 
 def histogram(df: DataFrame, value: str, bins: int | None = None) -> DataFrame:
-    """Counts over equal bins of [min, max], the last bin closed; by default ceil(log2 n + 1) bins."""
-    number = df.filter(F.col(value).isNotNull()).select(F.col(value).cast("double").alias("v"))
+    """Counts over equal bins of [min, max], the last bin closed; by default ceil(log2 n + 1) bins.
+
+    NULL and NaN are in no bin.
+    """
+    number = df.select(F.col(value).cast("double").alias("v")).filter("v IS NOT NULL AND NOT isnan(v)")
     count = F.lit(bins) if bins else F.ceil(F.log2(F.count("v").cast("double")) + 1)
     shape = number.agg(F.min("v").alias("lo"), F.max("v").alias("hi"), count.cast("bigint").alias("bins"))
     shape = shape.withColumn("width", (F.col("hi") - F.col("lo")) / F.col("bins"))

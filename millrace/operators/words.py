@@ -113,7 +113,7 @@ def concordance(df: DataFrame, doc: str, tokens: Column, word: str, width: int =
     tokens joined by blanks; matching ignores case.
     """
     half = (width - len(word) - 2) // 2
-    reach = width // 4
+    reach = half // 2 + 1  # a token and its blank take two characters at least
     tokenized = df.select(F.col(doc), tokens.alias("tokens"))
     found = tokenized.select(
         doc, "tokens",
@@ -123,7 +123,7 @@ def concordance(df: DataFrame, doc: str, tokens: Column, word: str, width: int =
     def line(at: Column, nr: Column) -> Column:
         start = F.greatest(at - reach, F.lit(0))
         before = F.array_join(F.slice("tokens", start + 1, at - start), " ")
-        after = F.array_join(F.slice("tokens", at + 2, F.lit(reach - 1)), " ")
+        after = F.array_join(F.slice("tokens", at + 2, F.lit(reach)), " ")
         return F.struct(
             (nr + 1).cast("bigint").alias("line"),
             F.size("hits").cast("bigint").alias("matches"),

@@ -193,9 +193,9 @@ def cond_freq_table_folded(t):
                       unnest(hits[1:25]) AS i, unnest(range(1, least(len(hits), 25) + 1)) AS line
                FROM h WHERE len(hits) > 0)
     SELECT doc_id, line, matches,
-           right(repeat(' ', 36) || array_to_string(tk[greatest(i - 19, 1):i - 1], ' '), 36) AS left_context,
+           right(repeat(' ', 36) || array_to_string(tk[1:i - 1], ' '), 36) AS left_context,
            tk[i] AS keyword,
-           left(array_to_string(tk[i + 1:i + 18], ' '), 36) AS right_context
+           left(array_to_string(tk[i + 1:len(tk)], ' '), 36) AS right_context
     FROM s""")
 def kwic_concordance(t):
     return w.concordance(t.texts("doc_id", "text"), "doc_id", tk.blank_tokens(F.col("text")), "with")

@@ -90,3 +90,10 @@ def test_newest_per_key(rows):
     data = [("hot", i, f"v{i}") for i in range(500)] + [("a", 3, "x"), ("a", 9, None)]
     got = newest_per_key(rows(data, "k string, version int, v string").repartition(5), ["k"], "version")
     assert listed(got) == sorted([("hot", 499, "v499"), ("a", 9, None)], key=repr)
+
+
+def test_newest_per_key_with_ties_and_null_versions(rows):
+    data = [("t", 1, "a"), ("t", 1, "b"), ("n", None, "only"), ("m", None, "x"), ("m", 0, "y")]
+    for order in (data, data[::-1]):
+        got = newest_per_key(rows(order, "k string, version int, v string"), ["k"], "version")
+        assert listed(got) == sorted([("t", 1, "b"), ("n", None, "only"), ("m", 0, "y")], key=repr)

@@ -175,6 +175,22 @@ def test_histogram_last_bin_is_closed(rows):
     assert stats.histogram(df, "v").count() == math.ceil(math.log2(5) + 1)
 
 
+def test_histogram_without_nan_and_null(rows):
+    df = rows([(1.0,), (float("nan"),), (None,), (2.0,)], "v double")
+    assert listed(stats.histogram(df, "v", 1)) == [(0, 1.0, 1.0, 2)]
+
+
+def test_summary_of_a_column_of_nulls(rows):
+    df = rows([(1.0, None), (3.0, None)], "a double, b double")
+    got = {r["column"]: (r["min"], r["median"], r["mean"]) for r in stats.numeric_summary(df, ["a", "b"]).collect()}
+    assert got == {"a": (1.0, 2.0, 2.0), "b": (None, None, None)}
+
+
+def test_null_category_is_the_last_level(rows):
+    df = rows([("x", 1), (None, 2), ("a", 3), (None, 4)], "c string, v int")
+    assert listed(learning.with_indices(df, ["c"]).select("v", "c_index")) == [(1, 1), (2, 2), (3, 0), (4, 2)]
+
+
 def test_bins(rows):
     df = rows([(-1.0,), (0.0,), (5.0,), (10.0,), (11.0,)], "v double")
     assert [r[0] for r in df.select(stats.quantize(F.col("v"), 0, 10, 5)).collect()] == [0, 0, 2, 4, 4]
@@ -185,6 +201,8 @@ def test_bins(rows):
 def test_regression_errors(rows):
     got = stats.regression_errors(rows([(1.0, 2.0), (3.0, 3.0)], "a double, p double"), "a", "p").first()
     assert tuple(got) == pytest.approx((0.5, 0.5, math.sqrt((math.log(3) - math.log(2)) ** 2 / 2)))
+    got = stats.regression_errors(rows([(1.0, -2.0), (3.0, 3.0)], "a double, p double"), "a", "p").first()
+    assert got["mse"] == 4.5 and math.isnan(got["rmsle"])
 
 
 def test_pie_angles_fill_the_circle(rows):

@@ -100,3 +100,9 @@ def test_concordance_context_width_and_limit(rows):
     assert lines[0]["left_context"] == " " * 37
     assert lines[1]["left_context"] == " ".join(words[11:30])[-37:]
     assert lines[1]["right_context"] == " ".join(words[31:49])[:37]
+
+
+def test_concordance_fills_its_width_with_one_letter_words(rows):
+    docs = rows([(1, " ".join(["x"] * 60 + ["may"] + ["y"] * 60))], "doc int, text string")
+    line = w.concordance(docs, "doc", tk.blank_tokens(F.col("text")), "may").first()
+    assert line["left_context"] == (" ".join("x" * 60))[-37:] and line["right_context"] == (" ".join("y" * 60))[:37]
