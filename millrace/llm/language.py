@@ -77,8 +77,9 @@ def profiles(docs: DataFrame, size: int = PROFILE, longest: int = LONGEST) -> Da
 
     counted = (docs.where("lang IS NOT NULL").select("lang", "text").mapInArrow(count, "lang string, gram long, n long")
                .groupBy("lang", "gram").agg(F.sum("n").alias("n")))
-    place = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "gram")) - 1
-    return counted.withColumn("place", place).where(F.col("place") < size).select("lang", "gram", "place")
+    # A bare row number lets every task keep its own first ``size`` rows before they move.
+    nth = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "gram"))
+    return counted.withColumn("nth", nth).where(F.col("nth") <= size).select("lang", "gram", (F.col("nth") - 1).alias("place"))
 
 
 class RankOrder:
