@@ -116,58 +116,57 @@ def sampled(texts: DataFrame, length: int) -> DataFrame:
     return texts.mapInArrow(run, f"doc_id {kind}, crc long, start long, n int, bucket long, rank long")
 
 
-def windows_of(joined: DataFrame, length: int) -> DataFrame:
-    """``doc_id, crc, start, open, h1, h2`` of every window of the listed runs (``runs``: start, n, open)."""
-
-    def run(batches):
-        for batch in batches:
-            for at in range(0, batch.num_rows, 50):
-                part = batch.slice(at, 50)
-                row, starts, flags, hashes = [], [], [], []
-                for i, (text, runs) in enumerate(zip(part.column(2).to_pylist(), part.column(3).to_pylist())):
-                    data = text.encode()
-                    for r in runs:
-                        for s in range(r["start"], r["start"] + r["n"]):
-                            row.append(i)
-                            starts.append(s)
-                            flags.append(r["open"])
-                            hashes.append(hashlib.blake2b(data[s : s + length], digest_size=16).digest())
-                which = pa.array(row, pa.int32())
-                both = np.frombuffer(b"".join(hashes), np.int64).reshape(-1, 2)
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0).take(which), part.column(1).take(which), pa.array(starts, pa.int64()),
-                     pa.array(flags, pa.bool_()), pa.array(both[:, 0]), pa.array(both[:, 1])],
-                    ["doc_id", "crc", "start", "open", "h1", "h2"])
-
-    kind = joined.schema["doc_id"].dataType.simpleString()
-    return joined.mapInArrow(run, f"doc_id {kind}, crc long, start long, open boolean, h1 long, h2 long")
-
-
 def regions_of(joined: DataFrame, length: int) -> DataFrame:
-    """``bucket, doc_id, crc, start, open, bytes`` of the listed runs (``runs``: bucket, start, n, open)."""
+    """``bucket, large, doc_id, crc, start, open, bytes`` of the listed runs (``runs``: bucket, large, start, n, open)."""
 
     def run(batches):
         for batch in batches:
             for at in range(0, batch.num_rows, 200):
                 part = batch.slice(at, 200)
-                row, buckets, starts, flags, regions = [], [], [], [], []
+                row, buckets, larges, starts, flags, regions = [], [], [], [], [], []
                 for i, (text, runs) in enumerate(zip(part.column(2).to_pylist(), part.column(3).to_pylist())):
                     data = text.encode()
                     for r in runs:
                         row.append(i)
                         buckets.append(r["bucket"])
+                        larges.append(r["large"])
                         starts.append(r["start"])
                         flags.append(r["open"])
                         regions.append(data[r["start"] : r["start"] + r["n"] + length - 1])
                 which = pa.array(row, pa.int32())
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(buckets, pa.int64()), part.column(0).take(which), part.column(1).take(which),
-                     pa.array(starts, pa.int64()), pa.array(flags, pa.bool_()), pa.array(regions, pa.binary())],
-                    ["bucket", "doc_id", "crc", "start", "open", "bytes"])
+                    [pa.array(buckets, pa.int64()), pa.array(larges, pa.bool_()), part.column(0).take(which),
+                     part.column(1).take(which), pa.array(starts, pa.int64()), pa.array(flags, pa.bool_()),
+                     pa.array(regions, pa.binary())],
+                    ["bucket", "large", "doc_id", "crc", "start", "open", "bytes"])
 
     kind = joined.schema["doc_id"].dataType.simpleString()
     return joined.mapInArrow(
-        run, f"bucket long, doc_id {kind}, crc long, start long, open boolean, bytes binary")
+        run, f"bucket long, large boolean, doc_id {kind}, crc long, start long, open boolean, bytes binary")
+
+
+def windows_of(regions: DataFrame, length: int) -> DataFrame:
+    """``doc_id, crc, start, open, h1, h2`` of every window of the regions (``doc_id, crc, start, open, bytes``)."""
+
+    def run(batches):
+        for batch in batches:
+            for at in range(0, batch.num_rows, 500):
+                part = batch.slice(at, 500)
+                row, starts, hashes = [], [], []
+                for i, (start, data) in enumerate(zip(part.column(2).to_pylist(), part.column(4).to_pylist())):
+                    for s in range(len(data) - length + 1):
+                        row.append(i)
+                        starts.append(start + s)
+                        hashes.append(hashlib.blake2b(data[s : s + length], digest_size=16).digest())
+                which = pa.array(row, pa.int32())
+                both = np.frombuffer(b"".join(hashes), np.int64).reshape(-1, 2)
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0).take(which), part.column(1).take(which), pa.array(starts, pa.int64()),
+                     part.column(3).take(which), pa.array(both[:, 0]), pa.array(both[:, 1])],
+                    ["doc_id", "crc", "start", "open", "h1", "h2"])
+
+    kind = regions.schema["doc_id"].dataType.simpleString()
+    return regions.mapInArrow(run, f"doc_id {kind}, crc long, start long, open boolean, h1 long, h2 long")
 
 
 def compared(regions: DataFrame, length: int) -> DataFrame:
@@ -238,22 +237,17 @@ def repeated_spans(texts: DataFrame, length: int = LENGTH) -> DataFrame:
     whole = live.join(counts.where("same > 1").select("bucket", "rank"), ["bucket", "rank"]).select(
         "doc_id", "crc", "start", (F.col("start") + F.col("n") + (length - 1)).alias("stop"))
     chosen = freeze(counts.where("mixed").select("bucket", "large", "one.*", (F.col("same") == 1).alias("open"))
-                    .groupBy("doc_id", "crc").agg(
-        F.collect_list(F.when(~F.col("large"), F.struct("bucket", "start", "n", "open"))).alias("runs"),
-        F.collect_list(F.when(F.col("large"), F.struct("start", "n", "open"))).alias("large_runs")))
-    # The same shuffled join at every size: the runs grow with the corpus. Rows that repeat a text give its runs
-    # twice, and these are repeated indeed.
-    met = texts.join(chosen.hint("merge"), same_text(texts, chosen)).select(
-        texts.doc_id, texts.crc, texts.text, "runs", "large_runs")
-    small = compared(regions_of(met.select("doc_id", "crc", "text", "runs"), length), length)
-    few = chosen.where(F.size("large_runs") > 0).drop("runs")
-    windows = freeze(windows_of(texts.join(few, same_text(texts, few)).select(
-        texts.doc_id, texts.crc, texts.text, F.col("large_runs").alias("runs")), length)) if few.limit(1).count() else None
-    spans = whole.unionByName(small)
-    if windows is not None:
-        again = windows.groupBy("h1", "h2").agg(F.count("*").alias("same")).where("same > 1").drop("same")
-        spans = spans.unionByName(windows.where("open").join(again, ["h1", "h2"]).select(
-            "doc_id", "crc", "start", (F.col("start") + length).alias("stop")))
+                    .groupBy("doc_id", "crc")
+                    .agg(F.collect_list(F.struct("bucket", "large", "start", "n", "open")).alias("runs")))
+    # The texts meet their chosen runs once, in the same shuffled join at every size: the runs grow with the corpus.
+    # Rows that repeat a text give its runs twice, and these are repeated indeed.
+    met = texts.join(chosen.hint("merge"), same_text(texts, chosen)).select(texts.doc_id, texts.crc, texts.text, "runs")
+    regions = freeze(regions_of(met, length))
+    small = compared(regions.where("NOT large").drop("large"), length)
+    windows = freeze(windows_of(regions.where("large").select("doc_id", "crc", "start", "open", "bytes"), length))
+    again = windows.groupBy("h1", "h2").agg(F.count("*").alias("same")).where("same > 1").drop("same")
+    spans = whole.unionByName(small).unionByName(windows.where("open").join(again.hint("merge"), ["h1", "h2"]).select(
+        "doc_id", "crc", "start", (F.col("start") + length).alias("stop")))
     return spans
 
 

@@ -39,7 +39,9 @@ def test_jaccard_classes(docs):
     assert got[9, 9] == 1
 
 
-def test_repeats(docs):
+@pytest.mark.parametrize("most_ranks", [500, 1])
+def test_repeats(docs, monkeypatch, most_ranks):
+    monkeypatch.setattr(repeats, "MOST_RANKS", most_ranks)
     data = [(t or "").encode() for _, t in ROWS]
     seen = Counter(d[i : i + 200] for d in data for i in range(len(d) - 199))
     want = []
