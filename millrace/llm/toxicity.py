@@ -5,32 +5,41 @@ expression share what is known of the stem. Each class has a bigram model of the
 backs off to the continuation counts of both classes together, and a stem to the counts of both classes. Passages of
 a document are compared by their log-likelihoods per word under the two models; a small logistic fit turns the
 strongest passages and the whole text into a probability.
+
+Counts are tables keyed by the stems and endings themselves and grow with the corpus. The likelihood ratios of the most
+frequent words are broadcast; every other word meets its ratio in a join, so that the same word has the same ratio
+either way.
 """
 
 from __future__ import annotations
 
 import re
-import zlib
 from collections import Counter
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm.base import query, read
 from millrace.session import freeze
 
-#: Symbols and pairs are hashed to so many bits, so every table has a fixed size, however large the corpus.
-SYMBOL_BITS = 18
-PAIR_BITS = 20
 STEM = 5
-#: Taken from each count of a class, so that what a class has seen a few times is left to the shared counts.
-DISCOUNT = 3.0
-#: Words of the passages whose likelihoods are compared; 0 is the whole text.
-PASSAGES = (1, 3, 0)
+#: Taken from a count of a class of 1, of 2 and of more, so that what a class has seen a few times is left to the shared counts.
+DISCOUNTS = (1.0, 2.0, 3.0)
+SHARED_DISCOUNTS = (0.75, 0.75, 0.75)
+#: Words of the longest of the compared passages; the others are one word and the whole text.
+PASSAGE = 3
+#: Most words whose ratios are broadcast. This decides by which way a word meets its ratio, not the ratio.
+MOST_COMMON = 1 << 19
 #: Most labelled rows the logistic fit reads; everything else is counted over all training rows.
 MOST_FIT_ROWS = 20_000
+#: Texts whose words are looked up together.
+TEXTS_AT_ONCE = 500
+#: 1, the length, and the log-likelihood ratios per word of the strongest word, the strongest passage and the whole text.
+FEATURES = 5
 
 _WORDS = re.compile(r"\w+")
 
@@ -39,118 +48,221 @@ def words_of(text: str | None) -> list[str]:
     return _WORDS.findall(text.lower()) if text else []
 
 
-def symbols(word: str) -> tuple[int, int]:
-    mask = (1 << SYMBOL_BITS) - 1
-    return zlib.crc32(word[:STEM].encode()) & mask, zlib.crc32(word[STEM:].encode()) & mask
+def stem_of(word: str) -> Column:
+    return F.substring(word, 1, STEM)
 
 
-def pair_number(stem, ending):
-    """The hashed number of a pair; takes numbers or arrays."""
-    mixed = (np.uint64(stem) << np.uint64(SYMBOL_BITS) | np.uint64(ending)) * np.uint64(0x9E3779B97F4A7C15)
-    return mixed >> np.uint64(64 - PAIR_BITS)
+def ending_of(word: str) -> Column:
+    return F.expr(f"substring({word}, {STEM + 1})")
 
 
-def pair_counts(rows: DataFrame) -> DataFrame:
-    """``toxic, stem, ending, pair, n`` over all words of ``rows`` (``text, toxic``), counted per batch first."""
+def word_counts(rows: DataFrame) -> DataFrame:
+    """``stem, ending, n0, n1``: words of ordinary and toxic ``rows`` (``text, toxic``), counted per batch first."""
 
     def run(batches):
         for batch in batches:
             found = (Counter(), Counter())
             for text, toxic in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 found[toxic].update(words_of(text))
-            for toxic, words in enumerate(found):
-                if words:
-                    stems, endings = np.array([symbols(w) for w in words], np.int64).T
-                    with np.errstate(over="ignore"):
-                        pairs = pair_number(stems.astype(np.uint64), endings.astype(np.uint64)).astype(np.int32)
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.full(len(stems), toxic, np.int32)), pa.array(stems.astype(np.int32)),
-                         pa.array(endings.astype(np.int32)), pa.array(pairs), pa.array(words.values(), pa.int64())],
-                        ["toxic", "stem", "ending", "pair", "n"])
-
-    return (rows.select("text", "toxic").mapInArrow(run, "toxic int, stem int, ending int, pair int, n long")
-            .groupBy("toxic", "stem", "ending", "pair").agg(F.sum("n").alias("n")))
-
-
-class KneserNey:
-    """Tables of both classes, each of fixed size, and the log-likelihoods they give."""
-
-    def __init__(self):
-        size = 1 << SYMBOL_BITS
-        self.pairs = np.zeros((2, 1 << PAIR_BITS), np.float32)  # words
-        self.stems = np.zeros((2, size), np.float32)  # words with the stem
-        self.kinds = np.zeros((2, size), np.float32)  # distinct endings of the stem
-        self.continued = np.zeros((2, size), np.float32)  # distinct stems before the ending
-        self.weights = np.zeros(2 + len(PASSAGES))
-        self.memo: dict[str, float] = {}
-
-    def ready(self) -> KneserNey:
-        """Shared distributions of stems and endings, and what each class leaves to them."""
-        floor = 1.0 / (1 << SYMBOL_BITS)
-        self.shared = []
-        for table in (self.stems, self.continued):
-            both = table.sum(axis=0)
-            total = max(1.0, float(both.sum()))
-            self.shared.append(np.maximum(both - 0.75, 0) / total + np.minimum(both, 0.75).sum() / total * floor
-                               if both.any() else np.full_like(both, floor))
-        self.total = np.maximum(1.0, self.stems.sum(axis=1))
-        left = np.minimum(self.stems, DISCOUNT).sum(axis=1) / self.total
-        self.left = np.where(self.stems.any(axis=1), left, 1.0)
-        return self
-
-    def word(self, word: str) -> float:
-        """Toxic less ordinary log-likelihood of one word."""
-        known = self.memo.get(word)
-        if known is not None:
-            return known
-        stem, ending = symbols(word)
-        with np.errstate(over="ignore"):
-            pair = int(pair_number(stem, ending))
-        logs = []
-        for c in (0, 1):
-            n = float(self.stems[c, stem])
-            likely = max(n - DISCOUNT, 0) / self.total[c] + self.left[c] * self.shared[0][stem]
-            after = self.shared[1][ending]
-            if n:
-                # a hashed pair is not more frequent than its stem
-                seen = min(float(self.pairs[c, pair]), n)
-                held = max(seen - DISCOUNT, 0) / n
-                lost = min(1.0, min(DISCOUNT * float(self.kinds[c, stem]), n) / n)
-                after = held + lost * after
-            logs.append(np.log(max(likely, 1e-30)) + np.log(max(after, 1e-30)))
-        if len(self.memo) >= 200_000:
-            self.memo.clear()
-        ratio = self.memo[word] = float(logs[1] - logs[0])
-        return ratio
-
-    def features(self, text: str | None) -> np.ndarray:
-        """1, the length, and the greatest log-likelihood ratio per word of the passages of each size."""
-        ratios = np.array([self.word(w) for w in words_of(text)] or [0.0])
-        run = np.concatenate([[0.0], np.cumsum(ratios)])
-        out = [1.0, np.log1p(len(ratios))]
-        for size in PASSAGES:
-            size = min(size or len(ratios), len(ratios))
-            out.append(float((run[size:] - run[:-size]).max() / size))
-        return np.array(out)
-
-    def score(self, text: str | None) -> float:
-        return float(1 / (1 + np.exp(-np.clip(self.features(text) @ self.weights, -30, 30))))
-
-    def __getstate__(self):
-        return self.__dict__ | {"memo": {}}
-
-
-def tables(rows: DataFrame) -> KneserNey:
-    """Count all training rows. At most one row per class and table entry comes to the driver, whatever the corpus."""
-    counted = freeze(pair_counts(rows))
-    model = KneserNey()
-    for table, key, what in ((model.pairs, "pair", F.sum("n")), (model.stems, "stem", F.sum("n")),
-                             (model.kinds, "stem", F.count("*")), (model.continued, "ending", F.count("*"))):
-        summed = counted.groupBy("toxic", F.col(key).alias("at")).agg(what.cast("float").alias("n"))
-        for toxic in (0, 1):
-            part = summed.where(F.col("toxic") == toxic).select("at", "n").toArrow()
-            table[toxic, part.column(0).to_numpy()] = part.column(1).to_numpy()
-    return model.ready()
+            words = list(found[0] | found[1])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(words, pa.string()), *[pa.array([f[w] for w in words], pa.int64()) for f in found]],
+                ["word", "n0", "n1"])
+
+    return (rows.select("text", "toxic").mapInArrow(run, "word string, n0 long, n1 long")
+            .groupBy(stem_of("word").alias("stem"), ending_of("word").alias("ending"))
+            .agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1")))
+
+
+class Smoothing(NamedTuple):
+    """A distribution's total, the discounts of its counts, and the share that they leave."""
+
+    total: float
+    discounts: tuple[float, float, float]
+    left: float
+
+    def less(self, n: Column) -> Column:
+        """What is taken from a count."""
+        one, two, more = map(F.lit, self.discounts)
+        return F.when(n <= 0, 0.0).when(n == 1, one).when(n == 2, two).otherwise(more)
+
+    def kept(self, n: Column) -> Column:
+        return (n - self.less(n)) / F.lit(max(self.total, 1.0))
+
+
+def count_of_counts(n: Column) -> Column:
+    """``total, c1, c2, c3, c4, kinds``: the sum of ``n``, how often it is 1 to 4, and how often it is not 0."""
+    return F.struct(F.sum(n).alias("total"), *[F.count_if(n == i).alias(f"c{i}") for i in (1, 2, 3, 4)],
+                    F.count_if(n > 0).alias("kinds"))
+
+
+def smoothing(said, discounts: tuple[float, float, float]) -> Smoothing:
+    total = float(said.total or 0)
+    taken = said.c1 * discounts[0] + said.c2 * discounts[1] + (said.kinds - said.c1 - said.c2) * discounts[2]
+    return Smoothing(total, discounts, taken / total if total else 1.0)
+
+
+class Tables(NamedTuple):
+    """Counts of both classes as frozen tables, and what their distributions leave to the shared ones."""
+
+    counts: DataFrame  # stem, ending, n0, n1
+    stems: DataFrame  # stem; of each class the words with the stem, and its endings seen once, twice, more often
+    endings: DataFrame  # ending, continued: distinct stems before it in each class, added
+    pairs: tuple[Smoothing, Smoothing]
+    firsts: tuple[Smoothing, Smoothing]
+    shared: tuple[Smoothing, Smoothing]  # of stems and of endings
+    unseen: tuple[float, float]  # shared likelihood of one stem and of one ending before any count
+
+
+def tables(rows: DataFrame) -> Tables:
+    """Count all training rows; only totals come to the driver."""
+    counts = freeze(word_counts(rows))
+    stems = freeze(counts.groupBy("stem").agg(*[
+        what for c in "01" for n in [F.col(f"n{c}")] for what in (
+            F.sum(n).alias(f"s{c}"), F.count_if(n == 1).alias(f"one{c}"), F.count_if(n == 2).alias(f"two{c}"),
+            F.count_if(n > 2).alias(f"more{c}"))]))
+    endings = freeze(counts.groupBy("ending").agg((F.count_if(F.col("n0") > 0) + F.count_if(F.col("n1") > 0)).alias("continued")))
+    of_pairs = counts.agg(*[count_of_counts(F.col(c)).alias(c) for c in ("n0", "n1")]).first()
+    of_stems = stems.withColumn("both", F.col("s0") + F.col("s1")).agg(
+        *[count_of_counts(F.col(c)).alias(c) for c in ("s0", "s1", "both")]).first()
+    of_endings = endings.agg(count_of_counts(F.col("continued")).alias("continued")).first().continued
+    shared = (smoothing(of_stems.both, SHARED_DISCOUNTS), smoothing(of_endings, SHARED_DISCOUNTS))
+    # one kind more than was seen: a stem or an ending that no row has
+    unseen = tuple(s.left / (kinds + 1) for s, kinds in zip(shared, (of_stems.both.kinds, of_endings.kinds)))
+    return Tables(counts, stems, endings, tuple(smoothing(s, DISCOUNTS) for s in of_pairs),
+                  (smoothing(of_stems.s0, DISCOUNTS), smoothing(of_stems.s1, DISCOUNTS)), shared, unseen)
+
+
+def ratios(words: DataFrame, model: Tables) -> DataFrame:
+    """``word, ratio``: toxic less ordinary log-likelihood of the distinct ``words`` (``word``)."""
+    # The counts grow with the corpus: the same shuffled joins at every size, never a broadcast.
+    met = (words.select("word", stem_of("word").alias("stem"), ending_of("word").alias("ending"))
+           .join(model.counts.hint("merge"), ["stem", "ending"], "left")
+           .join(model.stems.hint("merge"), "stem", "left")
+           .join(model.endings.hint("merge"), "ending", "left").na.fill(0))
+    stem = model.shared[0].kept(F.col("s0") + F.col("s1")) + F.lit(model.unseen[0])
+    ending = model.shared[1].kept(F.col("continued")) + F.lit(model.unseen[1])
+    logs = []
+    for c in (0, 1):
+        n, s = F.col(f"n{c}"), F.col(f"s{c}")
+        pair, first = model.pairs[c], model.firsts[c]
+        likely = first.kept(s) + F.lit(first.left) * stem
+        lost = sum(F.col(f"{kind}{c}") * d for kind, d in zip(("one", "two", "more"), pair.discounts))
+        after = F.when(s > 0, (n - pair.less(n) + lost * ending) / s).otherwise(ending)
+        logs.append(F.log(likely) + F.log(after))
+    return met.select("word", (logs[1] - logs[0]).alias("ratio"))
+
+
+def common(model: Tables, most: int) -> tuple[list[str], np.ndarray]:
+    """The most frequent words of the training rows, at most ``most``, and their ratios."""
+    n = F.col("n0") + F.col("n1")
+    sized = model.counts.select(F.concat("stem", "ending").alias("word"), F.floor(F.log2(n) * 8).cast("int").alias("size"))
+    least, words = None, 0
+    for size, kinds in sorted(sized.groupBy("size").count().collect(), reverse=True):
+        words += kinds
+        if words > most:
+            break
+        least = size
+    if least is None:
+        return [], np.zeros(0)
+    found = ratios(sized.where(F.col("size") >= least).select("word"), model).toArrow()
+    return found.column("word").to_pylist(), found.column("ratio").to_numpy()
+
+
+def lookup(texts: list[list[str]], known: dict[str, float]):
+    """What ``known`` says of every text, and what its other words are still to add.
+
+    Of each text: words, the sum of the known ratios, the greatest, the greatest sum of a passage of known words;
+    the unknown words in order; and the passages with ``n`` of them from the ``at``-th on, with the greatest sum of
+    the known ratios in such a passage.
+    """
+    sizes = np.array([len(t) for t in texts])
+    # shorter texts are filled up to one passage with words that say nothing
+    filled = np.maximum(sizes, PASSAGE)
+    starts = np.cumsum(filled) - filled
+    flat = np.zeros(filled.sum())
+    real = np.zeros(len(flat), bool)
+    get = known.get
+    for words, start in zip(texts, starts):
+        flat[start : start + len(words)] = [get(w, np.nan) for w in words]
+        real[start : start + len(words)] = True
+    rare = np.isnan(flat)
+    flat[rare] = 0.0
+    single = np.where(real & ~rare, flat, -np.inf)
+    before = np.concatenate([[0], np.cumsum(rare)])
+    whole = np.add.reduceat(flat, starts)
+    inside = np.ones(len(flat), bool)
+    for k in range(1, PASSAGE):
+        inside[starts + filled - k] = False
+    sums = np.full(len(flat), -np.inf)
+    at = np.flatnonzero(inside)
+    sums[at] = sum(flat[at + k] for k in range(PASSAGE))
+    n = np.zeros(len(flat), np.int64)
+    n[at] = before[at + PASSAGE] - before[at]
+    passage = np.maximum.reduceat(np.where(n == 0, sums, -np.inf), starts)
+    # Passages in order have the same or a later first unknown word, and from the same one on the same or more.
+    open_at = np.flatnonzero(n)
+    text_of = np.searchsorted(starts, open_at, "right") - 1
+    first, many = before[open_at], n[open_at]
+    edges = np.flatnonzero(np.r_[True, (first[1:] != first[:-1]) | (many[1:] != many[:-1])]) if len(open_at) else open_at
+    best = np.maximum.reduceat(sums[open_at], edges) if len(open_at) else np.zeros(0)
+    text_of, first, many = text_of[edges], first[edges], many[edges]
+    bounds = np.searchsorted(text_of, np.arange(len(texts) + 1))
+    unknown = [[w for w in words if w not in known] for words in texts]
+    return (sizes, whole, np.maximum.reduceat(single, starts), passage, unknown,
+            bounds, first - before[starts][text_of], many, best)
+
+
+def evidence(docs: DataFrame, model: Tables, most_common: int = MOST_COMMON) -> DataFrame:
+    """``doc_id, x`` of every row of ``docs`` (``doc_id, text``): its features, from its whole text."""
+    words, said = common(model, most_common)
+    shared = docs.sparkSession.sparkContext.broadcast((words, said))
+    kind = docs.schema["doc_id"].dataType.simpleString()
+
+    def look(batches):
+        known = dict(zip(shared.value[0], shared.value[1].tolist()))
+        row = TaskContext.get().partitionId() << 40
+        for batch in batches:
+            for start in range(0, batch.num_rows, TEXTS_AT_ONCE):
+                part = batch.slice(start, TEXTS_AT_ONCE)
+                sizes, whole, single, passage, unknown, bounds, at, many, best = lookup(
+                    [words_of(t) for t in part.column(1).to_pylist()], known)
+                offsets = pa.array(bounds, pa.int32())
+                lists = [pa.ListArray.from_arrays(offsets, pa.array(v, t))
+                         for v, t in ((at, pa.int32()), (many, pa.int32()), (best, pa.float64()))]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.arange(row, row + part.num_rows)), part.column(0), pa.array(sizes, pa.int32()), pa.array(whole),
+                     pa.array(single), pa.array(passage), pa.array(unknown, pa.list_(pa.string())), *lists],
+                    ["row", "doc_id", "words", "whole", "single", "passage", "unknown", "at", "many", "best"])
+                row += part.num_rows
+
+    looked = freeze(docs.select("doc_id", "text").mapInArrow(
+        look, f"row long, doc_id {kind}, words int, whole double, single double, passage double, unknown array<string>, "
+              "at array<int>, many array<int>, best array<double>"))
+    each = looked.select("row", F.posexplode("unknown").alias("nth", "word"))
+    rated = ratios(each.select("word").distinct(), model)
+    added = (each.join(rated.hint("merge"), "word").groupBy("row")
+             .agg(F.transform(F.array_sort(F.collect_list(F.struct("nth", "ratio"))), lambda r: r["ratio"]).alias("added")))
+    met = looked.drop("unknown").join(added.hint("merge"), "row", "left")
+
+    def finish(batches):
+        for batch in batches:
+            out = []
+            for r in batch.to_pylist():
+                whole, single, passage, words = r["whole"], r["single"], r["passage"], max(r["words"], 1)
+                if r["added"]:
+                    late = np.array(r["added"])
+                    run = np.concatenate([[0.0], np.cumsum(late)])
+                    at, many = np.array(r["at"]), np.array(r["many"])
+                    whole, single = whole + run[-1], max(single, late.max())
+                    passage = max(passage, (run[at + many] - run[at] + np.array(r["best"])).max())
+                if not r["words"]:
+                    single = 0.0
+                out.append([1.0, np.log1p(words), single, passage / min(words, PASSAGE), whole / words])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(out, pa.list_(pa.float64()))], ["doc_id", "x"])
+
+    return met.select("doc_id", "words", "whole", "single", "passage", "at", "many", "best", "added").mapInArrow(
+        finish, f"doc_id {kind}, x array<double>")
 
 
 def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-3, steps: int = 30) -> np.ndarray:
@@ -166,8 +278,8 @@ def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-3, steps: int = 30)
     return w
 
 
-def train(docs: DataFrame, labels: DataFrame, most_fit_rows: int = MOST_FIT_ROWS) -> KneserNey:
-    """Learn from ``docs`` (``doc_id, text``) and ``labels`` (``doc_id, toxic``).
+def train(docs: DataFrame, labels: DataFrame, most_fit_rows: int = MOST_FIT_ROWS) -> tuple[Tables, DataFrame]:
+    """Learn from ``docs`` (``doc_id, text``) and ``labels`` (``doc_id, toxic``): the tables, and the ids to fit on.
 
     An eighth of the labelled ids, at most ``most_fit_rows``, fits the logistic step and is not counted; all others
     are counted. Labels without an id or value are not used, and an id labelled twice is toxic if one label says so.
@@ -178,40 +290,23 @@ def train(docs: DataFrame, labels: DataFrame, most_fit_rows: int = MOST_FIT_ROWS
     sample = freeze(known.where(F.pmod(turn, F.lit(8)) == 0).orderBy(turn, "doc_id").limit(most_fit_rows))
     counted = known.join(F.broadcast(sample.select("doc_id")), "doc_id", "left_anti")
     # Labels grow with the corpus: the same shuffled join at every size, never a broadcast.
-    model = tables(docs.join(counted.hint("merge"), "doc_id"))
-    shared = docs.sparkSession.sparkContext.broadcast(model)
-    width = len(model.weights)
-
-    def evidence(batches):
-        for batch in batches:
-            rows = [shared.value.features(t) for t in batch.column(0).to_pylist()]
-            parts = np.array(rows, float).reshape(-1, width)
-            yield pa.RecordBatch.from_arrays([*[pa.array(parts[:, i]) for i in range(width)], batch.column(1)],
-                                             [*[f"x{i}" for i in range(width)], "toxic"])
-
-    schema = ", ".join(f"x{i} double" for i in range(width)) + ", toxic int"
-    # Bounded by ``most_fit_rows``, also where documents repeat an id.
-    found = (docs.join(F.broadcast(sample), "doc_id").select("text", "toxic").mapInArrow(evidence, schema)
-             .limit(most_fit_rows).toArrow())
-    x = np.column_stack([found.column(i).to_numpy() for i in range(width)])
-    model.weights = logistic(x, found.column(width).to_numpy().astype(float))
-    return model
+    return tables(docs.join(counted.hint("merge"), "doc_id")), sample
 
 
-def score(docs: DataFrame, model: KneserNey, least: float = 0.3) -> DataFrame:
-    """``doc_id, score, predicted`` of every row, from its whole text alone.
+def score(docs: DataFrame, model: Tables, sample: DataFrame, most_fit_rows: int = MOST_FIT_ROWS, least: float = 0.3,
+          most_common: int = MOST_COMMON) -> DataFrame:
+    """``doc_id, score, predicted`` of every row, from its whole text alone; ``sample`` (``doc_id, toxic``) is fitted.
 
     A null or empty text is scored by the fit's base rate. Repeated rows get the same score.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(model)
-
-    def run(batches):
-        for batch in batches:
-            scores = [shared.value.score(t) for t in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(scores, pa.float64())], ["doc_id", "score"])
-
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, score double").withColumn(
+    seen = freeze(evidence(docs, model, most_common))
+    # Bounded by ``most_fit_rows``, also where documents repeat an id.
+    found = seen.join(F.broadcast(sample), "doc_id").select("x", "toxic").limit(most_fit_rows).toArrow()
+    x = np.array(found.column("x").to_pylist(), float).reshape(-1, FEATURES)
+    weights = logistic(x, found.column("toxic").to_numpy().astype(float))
+    said = sum(F.col("x")[i] * F.lit(float(w)) for i, w in enumerate(weights))
+    said = F.greatest(F.least(said, F.lit(30.0)), F.lit(-30.0))
+    return seen.select("doc_id", (1 / (1 + F.exp(-said))).alias("score")).withColumn(
         "predicted", (F.col("score") >= least).cast("int"))
 
 
@@ -220,5 +315,6 @@ def toxicity(spark, folder):
     docs = read(spark, folder, "documents", "doc_id", "text")
     fold = F.crc32(F.col("doc_id").cast("string")) % 4
     labels = read(spark, folder, "labels", "doc_id", "toxic").where(fold != 2)
-    model = train(docs.where(fold != 2), labels)
-    return score(docs, model).select("doc_id", F.coalesce(fold == 2, F.lit(False)).alias("held_out"), "score", "predicted")
+    model, sample = train(docs.where(fold != 2), labels)
+    return score(docs, model, sample).select(
+        "doc_id", F.coalesce(fold == 2, F.lit(False)).alias("held_out"), "score", "predicted")
