@@ -191,17 +191,23 @@ def verify(members: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
 
 
 def jaccard_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
-    """One row per document: ``doc_id, class_id, n_links, class_size``.
+    """One row per document: ``doc_id, class_id, n_links, class_size, class_key``.
 
     Two documents are linked when their sets of five-word shingles have a Jaccard similarity of at least
     ``threshold``; a text of fewer words is one shingle. ``n_links`` counts linked documents, exact copies included,
-    without listing them; a class is a connected group, named by its smallest id. A null text or one without a word
-    has no shingle, no link and a class of its own. Repeated rows are copies of each other. Only the id and the text
+    without listing them; a class is a connected group, named by its smallest id that is not null. Ids may be null or
+    repeat, so ``class_key`` (the key of its least text) tells classes apart where ids do not. A null text or one
+    without a word has no shingle, no link and a class of its own, without a key. Repeated rows are copies of each other. Only the id and the text
     are read, so other columns cannot clash; an empty table gives no rows.
     """
+    return keyed_classes(docs, doc_id, text, threshold).select("doc_id", "class_id", "n_links", "class_size", "class_key")
+
+
+def keyed_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
+    """``jaccard_classes`` with the ``raw_key`` of each row."""
     rows = freeze(keyed(docs, doc_id, text))
     texts = freeze(rows.where("words_key IS NOT NULL").groupBy("words_key")
-                   .agg(F.min(F.struct("doc_id", "raw_key")).alias("one"), F.count("*").alias("copies"))
+                   .agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "raw_key")).alias("one"), F.count("*").alias("copies"))
                    .select("words_key", F.col("one.doc_id").alias("one_id"), F.col("one.raw_key").alias("one_key"), "copies"))
     whole = docs.select(F.col(doc_id).alias("this_id"), raw_key(text).alias("raw_key"), filled(text).alias("text"))
     signed = freeze(forest(whole, threshold=threshold).dropDuplicates(["raw_key"])
@@ -228,23 +234,28 @@ def jaccard_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         "words_key", "one_id", "copies", (F.col("copies") - 1 + F.coalesce("other_links", F.lit(0))).alias("n_links"),
         F.coalesce("root", "words_key").alias("class_key")))
     named = known.groupBy("class_key").agg(F.min("one_id").alias("class_id"), F.sum("copies").alias("class_size"))
-    judged = freeze(known.join(named, "class_key").select("words_key", "class_id", "n_links", "class_size"))
-    return rows.drop("raw_key").join(judged, "words_key", "left").select(
-        "doc_id", F.when(F.col("words_key").isNull(), F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"),
+    judged = freeze(known.join(named, "class_key").select("words_key", "class_key", "class_id", "n_links", "class_size"))
+    return rows.join(judged, "words_key", "left").select(
+        "doc_id", "raw_key", "class_key", F.when(F.col("words_key").isNull(), F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"),
         F.coalesce("n_links", F.lit(0)).alias("n_links"), F.coalesce("class_size", F.lit(1)).alias("class_size"))
 
 
 def drop_near_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of ``docs`` that name a class, with all their columns: one document of each group.
+    """One row of ``docs`` of each class, with all its columns: of the class's smallest id, null last, and its least text.
 
     Of rows that repeat id and text one stays; a document without a word stays.
     """
     from pyspark.sql import Window
 
     names = docs.columns
-    alone = (jaccard_classes(docs, doc_id, text).where(F.col("doc_id").eqNullSafe(F.col("class_id")))
-             .select(F.col("doc_id").alias("__kept_id")).distinct())
-    kept = docs.withColumn("__key", F.xxhash64(filled(text))).join(alone, F.col(doc_id).eqNullSafe(F.col("__kept_id")))
+    wordless = F.col("class_key").isNull()
+    # Ids may be null or repeat: the row is found by its id and text together.
+    chosen = (keyed_classes(docs, doc_id, text)
+              .groupBy("class_key", F.when(wordless, F.col("doc_id")).alias("own_id"), F.when(wordless, F.col("raw_key")).alias("own_key"))
+              .agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "raw_key")).alias("one"))
+              .select(F.col("one.doc_id").alias("__kept_id"), F.col("one.raw_key").alias("__kept_key")))
+    kept = docs.withColumn("__key", raw_key(text)).join(
+        chosen, (F.col("__key") == F.col("__kept_key")) & F.col(doc_id).eqNullSafe(F.col("__kept_id")))
     nth = F.row_number().over(Window.partitionBy("__kept_id", "__key").orderBy("__kept_id"))
     return kept.withColumn("__nth", nth).where("__nth = 1").select(*names)
 
