@@ -27,9 +27,8 @@ from millrace.llm.base import query, read
 from millrace.session import freeze
 
 STEM = 5
-#: Taken from a count of a class of 1, of 2 and of more, so that what a class has seen a few times is left to the shared counts.
-DISCOUNTS = (1.0, 2.0, 3.0)
-SHARED_DISCOUNTS = (0.75, 0.75, 0.75)
+#: A ratio weighs n / (n + DOUBT), with n the words with its stem in the class that it speaks for: little seen is little sure.
+DOUBT = 3.0
 #: Words of the longest of the compared passages; the others are one word and the whole text.
 PASSAGE = 3
 #: Most words whose ratios are broadcast. This decides by which way a word meets its ratio, not the ratio.
@@ -96,8 +95,23 @@ def count_of_counts(n: Column) -> Column:
                     F.count_if(n > 0).alias("kinds"))
 
 
-def smoothing(said, discounts: tuple[float, float, float]) -> Smoothing:
-    total = float(said.total or 0)
+def discounts_of(c1: int, c2: int, c3: int, c4: int) -> tuple[float, float, float]:
+    """Kneser-Ney discounts of counts of 1, 2 and more, from how often the counts 1 to 4 occur.
+
+    Each is below its count, so a count is never lost as a whole, and a greater count keeps more. Without a count to estimate it from, a discount is
+    that of the count below, the first 0.75.
+    """
+    share = c1 / (c1 + 2 * c2) if c1 else 0.75
+    found, last = [], 0.75
+    for i, (n, more) in enumerate(((c1, c2), (c2, c3), (c3, c4)), 1):
+        if n and more:
+            last = min(max(i - (i + 1) * share * more / n, 0.05), (found[-1] if found else 0) + 0.95)
+        found.append(last)
+    return tuple(found)
+
+
+def smoothing(said) -> Smoothing:
+    total, discounts = float(said.total or 0), discounts_of(said.c1, said.c2, said.c3, said.c4)
     taken = said.c1 * discounts[0] + said.c2 * discounts[1] + (said.kinds - said.c1 - said.c2) * discounts[2]
     return Smoothing(total, discounts, taken / total if total else 1.0)
 
@@ -126,15 +140,15 @@ def tables(rows: DataFrame) -> Tables:
     of_stems = stems.withColumn("both", F.col("s0") + F.col("s1")).agg(
         *[count_of_counts(F.col(c)).alias(c) for c in ("s0", "s1", "both")]).first()
     of_endings = endings.agg(count_of_counts(F.col("continued")).alias("continued")).first().continued
-    shared = (smoothing(of_stems.both, SHARED_DISCOUNTS), smoothing(of_endings, SHARED_DISCOUNTS))
+    shared = (smoothing(of_stems.both), smoothing(of_endings))
     # one kind more than was seen: a stem or an ending that no row has
     unseen = tuple(s.left / (kinds + 1) for s, kinds in zip(shared, (of_stems.both.kinds, of_endings.kinds)))
-    return Tables(counts, stems, endings, tuple(smoothing(s, DISCOUNTS) for s in of_pairs),
-                  (smoothing(of_stems.s0, DISCOUNTS), smoothing(of_stems.s1, DISCOUNTS)), shared, unseen)
+    return Tables(counts, stems, endings, tuple(map(smoothing, of_pairs)),
+                  (smoothing(of_stems.s0), smoothing(of_stems.s1)), shared, unseen)
 
 
 def ratios(words: DataFrame, model: Tables) -> DataFrame:
-    """``word, ratio``: toxic less ordinary log-likelihood of the distinct ``words`` (``word``)."""
+    """``word, ratio``: toxic less ordinary log-likelihood of the distinct ``words`` (``word``), by the weight of its evidence."""
     # The counts grow with the corpus: the same shuffled joins at every size, never a broadcast.
     met = (words.select("word", stem_of("word").alias("stem"), ending_of("word").alias("ending"))
            .join(model.counts.hint("merge"), ["stem", "ending"], "left")
@@ -150,7 +164,8 @@ def ratios(words: DataFrame, model: Tables) -> DataFrame:
         lost = sum(F.col(f"{kind}{c}") * d for kind, d in zip(("one", "two", "more"), pair.discounts))
         after = F.when(s > 0, (n - pair.less(n) + lost * ending) / s).otherwise(ending)
         logs.append(F.log(likely) + F.log(after))
-    return met.select("word", (logs[1] - logs[0]).alias("ratio"))
+    said = F.when(logs[1] > logs[0], F.col("s1")).otherwise(F.col("s0"))
+    return met.select("word", ((logs[1] - logs[0]) * said / (said + F.lit(DOUBT))).alias("ratio"))
 
 
 def common(model: Tables, most: int) -> tuple[list[str], np.ndarray]:

@@ -47,7 +47,8 @@ def expected_ratio(model):
             said = log(smooth(stems[c], model.firsts[c].discounts, stem, first))
             d, s, n = model.pairs[c].discounts, stems[c][stem], pairs[c][stem, ending]
             logs.append(said + log((n - less(n, d) + sum(less(m, d) for m in after[c][stem]) * last) / s if s else last))
-        return logs[1] - logs[0]
+        n = stems[int(logs[1] > logs[0])][stem]
+        return (logs[1] - logs[0]) * n / (n + toxicity.DOUBT)
 
     return ratio
 
@@ -90,6 +91,20 @@ def test_unseen_words_share_no_counts(rows, spark, tmp_path):
     assert min(toxic_scores) > 0.9 > 0.1 > max(got[i] for i, t in docs if i not in held and toxic not in t)
 
 
+def test_few_toxic_uses_count(rows):
+    """Words seen one to three times, only in toxic texts, speak for toxic, and the more the oftener they were seen."""
+    plain = " ".join(f"w{i:03}" * (1 + i % 2) for i in range(60) for _ in range(1 + i % 5))
+    model = toxicity.tables(rows([(plain, 0), (plain + " onces twice twice thric thric thric", 1)], "text string, toxic int"))
+    got = {r.word: r.ratio for r in toxicity.ratios(rows([("onces",), ("twice",), ("thric",), ("never",)], "word string"), model).collect()}
+    assert got["thric"] > got["twice"] > got["onces"] > 0.1 and abs(got["never"]) < 0.1
+
+
+def test_discounts_stay_below_their_counts():
+    assert toxicity.discounts_of(100, 40, 20, 10) == pytest.approx((5 / 9, 2 - 3 * 5 / 9 / 2, 3 - 4 * 5 / 9 / 2))
+    for counts in ((0, 0, 0, 0), (1, 0, 0, 0), (1, 9, 90, 900), (0, 5, 1, 7), (10, 1, 1, 1)):
+        assert all(0 < d < n for n, d in enumerate(toxicity.discounts_of(*counts), 1)), counts
+
+
 def test_no_labels(rows):
     model = toxicity.tables(rows([], "text string, toxic int"))
     got = toxicity.score(rows(ASKED, "doc_id long, text string"), model, rows([], "doc_id long, toxic int")).collect()
