@@ -1,9 +1,9 @@
-"""N-gram Jaccard self-join: a MinHash LSH forest proposes, exact shingle counts decide.
+"""N-gram Jaccard self-join: MinHash banding proposes, exact shingle counts decide.
 
-Each tree of the forest sorts the documents by a sequence of MinHash labels; documents that share a prefix of it are
-candidates. Prefixes start at full depth and are shortened until a pair at the threshold shares one in some tree with
-the wanted recall. Candidates are gathered into components; the texts of a component meet once, and there every pair
-is counted exactly through posting lists, without pairs being written.
+Each tree is a band: a fixed number of MinHash labels, and documents that share them all are candidates. The number is
+the greatest up to ``DEEPEST`` at which a pair at the threshold shares a band with the wanted recall; nothing is
+shortened on data, so this is not an LSH forest. Candidates are gathered into components; the texts of a component
+meet once, and there every pair is counted exactly through posting lists, without pairs being written.
 """
 
 from __future__ import annotations
