@@ -7,14 +7,17 @@ from pyspark.sql import DataFrame, SparkSession
 from millrace.llm import (  # noqa: F401
     exact_dedup,
     language,
+    licenses,
     mixing,
     near_dup,
     pieces,
     quality,
     repeats,
+    resample,
     secrets,
     sharding,
     toxicity,
+    turns,
 )
 from millrace.llm.base import QUERIES, query, read
 from millrace.session import freeze
