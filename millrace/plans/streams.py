@@ -56,9 +56,18 @@ def sliding_count_panes(t):
       SELECT e.window_start AS window_start, e.event_type AS event_type, coalesce(n, 0) AS n
       FROM e LEFT JOIN c ON c.window_start = e.window_start AND c.event_type = e.event_type""")
 def stream_sliding_incremental(t):
-    counts = win.sliding_count(event_stream(t), "ts", "event_type", "6 hours", "1 hour", lateness="1 hour", total="total")
-    newest = _update(t, counts, ["window_start", "event_type"])
-    return _wall_clock(win.with_zero_keys(newest, "event_type", "1 hour"), "window_start")
+    """Chained states: panes of an hour, then windows of six panes; the stream ends with a mark, which closes them all."""
+    ends, out, checkpoint = (scratch_path(t.spark, label) for label in ("ends", "out", "checkpoint"))
+
+    def run():
+        stream = tp.with_end(event_stream(t), ends)
+        counts = win.sliding_incremental(stream, "ts", "event_type", "6 hours", "1 hour", lateness="1 hour", total="total")
+        return tp.run_append(counts, out, checkpoint)
+
+    run()
+    beyond = t.events.agg(F.max("ts") + F.expr("INTERVAL 8 HOURS")).scalar()
+    tp.mark_end(t.spark, ends, t.events.schema, "ts", beyond)
+    return _wall_clock(win.with_zero_keys(run(), "event_type", "1 hour"), "window_start")
 
 
 @plan(TUMBLING)

@@ -56,6 +56,22 @@ def run_append(stream: DataFrame, path: str, checkpoint: str, interval: str | No
     return stream.sparkSession.read.schema(stream.schema).parquet(path)
 
 
+def with_end(stream: DataFrame, folder: str) -> DataFrame:
+    """A stream that also reads end marks from ``folder``, see ``mark_end``. It may have none yet."""
+    stream.sparkSession.createDataFrame([], stream.schema).write.mode("append").parquet(folder)
+    return stream.unionByName(open_files(stream.sparkSession, folder, stream.schema))
+
+
+def mark_end(spark: SparkSession, folder: str, schema: StructType, time: str, at: Column) -> None:
+    """Put an end mark into ``folder``: a row of NULLs with the time ``at``.
+
+    A watermark only moves with the rows' times, so the last windows of a stream that ends would never be written.
+    The mark moves it past them. Its own window lies behind the watermark it makes, so it is never written itself.
+    """
+    cells = [(at if f.name == time else F.lit(None)).cast(f.dataType).alias(f.name) for f in schema]
+    spark.range(1).select(*cells).write.mode("append").parquet(folder)
+
+
 def run_update(stream: DataFrame, path: str, checkpoint: str, keys: Sequence[str]) -> DataFrame:
     """Run an aggregation in update mode and read the newest row of each key.
 

@@ -22,15 +22,33 @@ def tumbling_count(df: DataFrame, time: str, key: str, size: str = "20 minutes",
 
 
 def sliding_count(df: DataFrame, time: str, key: str, size: str = "30 seconds", slide: str = "5 seconds",
-                  lateness: str | None = None, total: str | None = None) -> DataFrame:
-    """Rows per key over the last ``size``, every ``slide``; ``total`` names a pseudo-key that counts all rows."""
-    rows = _watermarked(df, time, lateness)
-    if total:
-        rows = rows.withColumn(key, F.explode(F.array(F.col(key), F.lit(total))))
-    counted = rows.groupBy(F.window(time, size, slide), key).agg(F.count(F.lit(1)).alias("n"))
+                  lateness: str | None = None) -> DataFrame:
+    """Rows per key over the last ``size``, every ``slide``."""
+    counted = _watermarked(df, time, lateness).groupBy(F.window(time, size, slide), key).agg(F.count(F.lit(1)).alias("n"))
     return counted.select(F.col("window.start").alias("window_start"), key, "n")
 
 
+def pane_counts(df: DataFrame, time: str, key: str, slide: str, lateness: str | None = None) -> DataFrame:
+    """``pane, key, n``: rows per key and fixed window of one ``slide``, the state of the incremental count."""
+    return _watermarked(df, time, lateness).groupBy(F.window(time, slide).alias("pane"), key).agg(F.count(F.lit(1)).alias("n"))
+
+
+def sliding_incremental(df: DataFrame, time: str, key: str, size: str = "30 seconds", slide: str = "5 seconds",
+                        lateness: str | None = None, total: str | None = None) -> DataFrame:
+    """``sliding_count`` in two chained states, where each row is counted once, in its pane.
+
+    A pane is one ``slide`` long, and ``size`` is a multiple of it. When the watermark closes a pane, its count alone
+    goes on to the windows that hold it, so what the windows add up is one row per key and pane, however many rows
+    came. ``total`` names a pseudo-key that counts all rows; it too is made from panes. On a stream it is for append
+    mode: a window is written once, when no row can reach it any more.
+    """
+    panes = pane_counts(df, time, key, slide, lateness).select(F.window_time("pane").alias(time), key, "n")
+    if total:
+        panes = panes.withColumn(key, F.explode(F.array(F.col(key), F.lit(total))))
+    summed = panes.groupBy(F.window(time, size, slide), key).agg(F.sum("n").alias("n"))
+    return summed.select(F.col("window.start").alias("window_start"), key, "n")
+
+
 def sliding_from_panes(df: DataFrame, time: str, key: str, panes: int, slide: str) -> DataFrame:
     """The bounded form of ``sliding_count`` for a window of ``panes`` slides.
 
