@@ -9,6 +9,7 @@ from millrace.operators import charts as ch
 from millrace.operators import learning as ml
 from millrace.operators import stats
 from millrace.plans.registry import plan
+from millrace.session import freeze
 
 INDEXED = """indexed AS (SELECT p_partkey, p_size, p_retailprice, dense_rank() OVER (ORDER BY p_brand) - 1 AS b,
              dense_rank() OVER (ORDER BY p_type) - 1 AS c,
@@ -107,20 +108,65 @@ def ml_linear_errors(t):
     return errors.select(F.round("mse", 0).alias("mse"), F.round("mae", 2).alias("mae"), F.round("rmsle", 6).alias("rmsle"))
 
 
-@plan()
+def _coded_descent(cells: str, step: str) -> str:
+    """Gradient descent over sparse columns in SQL, from ``cells`` (r, i, x, y, part) and ``dims`` (width)."""
+    return f"""cells AS ({cells}),
+      train AS (SELECT * FROM cells WHERE part = 'train'),
+      n AS (SELECT CAST(count(DISTINCT r) AS DOUBLE) AS n FROM train),
+      g AS (SELECT a.i AS i, b.i AS j, sum(a.x * b.x) AS v FROM train a JOIN train b ON a.r = b.r GROUP BY 1, 2),
+      xy AS (SELECT i, sum(x * y) AS v FROM train GROUP BY 1),
+      m AS (SELECT p.i AS i, list(coalesce(g.v, 0) ORDER BY p.j) AS xx, any_value(coalesce(xy.v, 0)) AS xy
+            FROM (SELECT a.i AS i, b.i AS j FROM dims, range(0, width) a(i), range(0, width) b(i)) p
+            LEFT JOIN g ON g.i = p.i AND g.j = p.j LEFT JOIN xy ON xy.i = p.i GROUP BY p.i),
+      d(k, w, done) AS (SELECT 0, list_transform(range(0, width), lambda i: CAST(0 AS DOUBLE)), false FROM dims
+        UNION ALL SELECT k + 1, nw, k > 0 AND list_distance(nw, w) < CAST(0.001 AS DOUBLE) * greatest(sqrt(list_dot_product(nw, nw)), 1)
+        FROM (SELECT k, any_value(w) AS w,
+                     list(w[m.i + 1] - CAST({step} AS DOUBLE) / sqrt(k + 1) / n * (list_dot_product(xx, w) - xy) ORDER BY m.i) AS nw
+              FROM d, m, n WHERE NOT done AND k < 100 GROUP BY k)),
+      fit AS (SELECT w, k FROM d ORDER BY k DESC LIMIT 1)"""
+
+
+ONEHOT = """dims AS (SELECT count(DISTINCT p_brand) AS nb, count(DISTINCT p_type) AS nt, nb + nt + 1 AS width FROM part),
+      coded AS (SELECT p_partkey AS r, p_retailprice AS y, 'train' AS part, [dense_rank() OVER (ORDER BY p_brand) - 1,
+             (SELECT nb FROM dims) + dense_rank() OVER (ORDER BY p_type) - 1, (SELECT nb + nt FROM dims)] AS pos,
+             [CAST(1 AS DOUBLE), 1, p_size] AS x FROM part)"""
+UNNESTED = "SELECT r, y, part, unnest(pos) AS i, unnest(x) AS x FROM coded"
+
+
+@plan(f"""WITH RECURSIVE {ONEHOT}, {_coded_descent(UNNESTED, '0.001')}
+      SELECT r AS p_partkey, any_value(y) AS p_retailprice, round(sum(x * w[i + 1]), 4) AS predicted FROM cells, fit GROUP BY r""")
 def ml_linear_onehot(t):
     """Price of a part from its one-hot brand and type and its size, by gradient descent."""
-    encoded, _ = ml.one_hot(t.part, ["p_brand", "p_type"])
-    rows = ml.assemble(encoded, ["p_brand_vec", "p_type_vec", "p_size"])
-    weights, _ = ml.linear_sgd_vectors(rows, "features", "p_retailprice", step=0.001)
-    return rows.select("p_partkey", "p_retailprice", F.round(ml.predict_vectors("features", weights), 6).alias("predicted"))
+    coded = ml.code_columns(t.part.select("p_partkey", "p_brand", "p_type", "p_size", "p_retailprice"), ["p_brand", "p_type"], ["p_size"])
+    weights, _ = ml.linear_sgd_coded(coded, coded.rows, "p_retailprice", step=0.001)
+    predicted = ml.predict_coded(coded, coded.rows, weights)
+    return predicted.select("p_partkey", "p_retailprice", F.round("predicted", 4).alias("predicted"))
+
+
+COLUMNS = f"""{SPLIT}, dims AS (SELECT count(DISTINCT l_returnflag) AS nf, count(DISTINCT l_linestatus) AS ns, nf + ns + 4 AS width FROM lineitem),
+      coded AS (SELECT l_orderkey, l_linenumber, row_number() OVER () AS r, l_extendedprice AS y, part,
+             [dense_rank() OVER (ORDER BY l_returnflag) - 1, nf + dense_rank() OVER (ORDER BY l_linestatus) - 1,
+              nf + ns, nf + ns + 1, nf + ns + 2, nf + ns + 3] AS pos,
+             [CAST(1 AS DOUBLE), 1, l_quantity, l_discount, l_tax, l_linenumber] AS x FROM split, dims)"""
+
+
+@plan(f"""WITH RECURSIVE {COLUMNS}, {_coded_descent(UNNESTED, '0.0005')}
+      SELECT l_orderkey, l_linenumber, y AS actual, round(list_sum(list_transform(range(1, 7), lambda k: x[k] * w[pos[k] + 1])), 3) AS predicted
+      FROM coded, fit WHERE part = 'test'""")
+def ml_linear_columns(t):
+    """Price from two categories and four numbers: fitted to nine tenths of the rows, predicted for the rest."""
+    coded = ml.code_columns(_split(t), ["l_returnflag", "l_linestatus"], ["l_quantity", "l_discount", "l_tax", "l_linenumber"])
+    weights, _ = ml.linear_sgd_coded(coded, coded.rows.filter("part = 'train'"), "l_extendedprice", step=0.0005)
+    predicted = ml.predict_coded(coded, coded.rows.filter("part = 'test'"), weights)
+    return predicted.select("l_orderkey", "l_linenumber", F.col("l_extendedprice").alias("actual"), F.round("predicted", 3).alias("predicted"))
 
 
 def _tree(t):
-    rows = ml.with_indices(_split(t), ["l_returnflag", "l_linestatus"])
     features = ["l_returnflag_index", "l_linestatus_index", "l_quantity", "l_discount", "l_tax"]
-    model, _ = ml.tree_fit(rows.filter("part = 'train'"), features, "l_extendedprice")
-    return model, ml.assemble(rows.filter("part = 'test'"), features)
+    # Frozen once: the fit reads the training rows several times, the prediction reads the others.
+    rows = freeze(ml.assemble(ml.with_indices(_split(t), ["l_returnflag", "l_linestatus"]), features).select(
+        "l_orderkey", "l_linenumber", "l_extendedprice", "part", "features"))
+    return ml.tree_fit(rows.filter("part = 'train'"), "l_extendedprice"), rows.filter("part = 'test'")
 
 
 @plan()

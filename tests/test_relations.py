@@ -266,19 +266,3 @@ def test_split_label_is_stable(rows):
     first = listed(df.select("id", learning.split_label(F.col("id"))))
     assert first == listed(df.repartition(9).select("id", learning.split_label(F.col("id"))))
     assert 0.87 < sum(part == "train" for _, part in first) / 2000 < 0.93
-
-
-def test_linear_sgd_over_vectors_equals_the_column_form(rows):
-    rng = random.Random(5)
-    data = [(rng.choice("xyz"), rng.uniform(0, 4), rng.uniform(0, 9)) for _ in range(60)]
-    encoded, _ = learning.one_hot(rows(data, "c string, x double, y double"), ["c"])
-    vectors = learning.assemble(encoded, ["c_vec", "x"])
-    weights, rounds = learning.linear_sgd_vectors(vectors, "features", "y", step=0.05)
-    flat = encoded.select("x", "y", *[F.when(F.col("c") == c, 1.0).otherwise(0.0).alias(c) for c in "xyz"])
-    flat = flat.toDF("num", "y", "a", "b", "d")
-    expected, same = learning.linear_sgd(flat, ["a", "b", "d", "num"], "y", step=0.05)
-    assert (weights, rounds) == (pytest.approx(expected), same)
-    predicted = vectors.select(learning.predict_vectors("features", weights).alias("p"), "c", "x").first()
-    assert predicted["p"] == pytest.approx(weights["xyz".index(predicted["c"])] + weights[3] * predicted["x"])
-    with pytest.raises(ValueError, match="exceed"):
-        learning.linear_sgd_vectors(vectors, "features", "y", step=0.05, widest=3)
