@@ -92,11 +92,12 @@ def triples(nodes: DataFrame, edges: DataFrame) -> DataFrame:
 
 def _between(nodes: DataFrame, edges: DataFrame, src_label: str, type: str, dst_label: str) -> DataFrame:
     """Edges of one type between nodes of the given labels, as (src, dst, n): parallel edges are counted."""
-    typed = edges.filter(F.col("type") == type).groupBy("src", "dst").agg(F.count(F.lit(1)).alias("n"))
+    of_type = edges.filter(F.col("type") == type)
+    typed = of_type.groupBy("src", "dst").agg(F.count(F.lit(1)).alias("n"))
     from_src = ids_with(nodes, src_label).withColumnRenamed("id", "src")
     to_dst = ids_with(nodes, dst_label).withColumnRenamed("id", "dst")
-    kept = salted_join(typed, from_src, ["src"], "left_semi", F.col("dst"))
-    return salted_join(kept, to_dst, ["dst"], "left_semi", F.col("src"))
+    kept = salted_join(typed, from_src, ["src"], "left_semi", F.col("dst"), measured=of_type)
+    return salted_join(kept, to_dst, ["dst"], "left_semi", F.col("src"), measured=of_type)
 
 
 def _named(nodes: DataFrame, label: str, found: DataFrame) -> DataFrame:
@@ -121,7 +122,8 @@ def directors_of_cast(nodes: DataFrame, edges: DataFrame, director: tuple[str, s
     """(d:director)-[:type]->(m:target)<-[:type]-(:actor), distinct d; each pair is (label, edge type)."""
     directing = _between(nodes, edges, director[0], director[1], target)
     cast = _between(nodes, edges, actor[0], actor[1], target).select("dst").distinct()
-    found = salted_join(directing, cast, ["dst"], "left_semi", F.col("src")).select(F.col("src").alias("id")).distinct()
+    measured = edges.filter(F.col("type") == director[1])
+    found = salted_join(directing, cast, ["dst"], "left_semi", F.col("src"), measured=measured).select(F.col("src").alias("id")).distinct()
     return _named(nodes, director[0], found)
 
 
@@ -129,7 +131,7 @@ def detach_delete(nodes: DataFrame, edges: DataFrame, where: Column) -> tuple[Da
     """Delete the matching nodes and every edge that touches one."""
     doomed = nodes.filter(where).select("id")
     kept_edges = salted_join(edges, doomed.withColumnRenamed("id", "src"), ["src"], "left_anti", F.col("dst"))
-    kept_edges = salted_join(kept_edges, doomed.withColumnRenamed("id", "dst"), ["dst"], "left_anti", F.col("src"))
+    kept_edges = salted_join(kept_edges, doomed.withColumnRenamed("id", "dst"), ["dst"], "left_anti", F.col("src"), measured=edges)
     return nodes.filter(~F.coalesce(where, F.lit(False))), kept_edges.select("src", "dst", "type", "props")
 
 

@@ -1,12 +1,13 @@
 """Joins: vocabularies, participants, lookups and lexicons.
 
 Every side that can be reduced first is: a semi-join needs each key once, a count needs no pairs. What is
-left joins many rows to one row per key. Where an aggregate on the same key follows, the key is salted;
-where none follows, AQE splits a hot partition by itself.
+left joins many rows to one row per key. Where an aggregate on the same key follows, the hot keys are found by
+a sketch and salted by their own counts; where none follows, AQE splits a hot partition by itself.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -15,23 +16,39 @@ from pyspark.sql import functions as F
 from millrace.operators.ordered import same_keys
 
 
-def broadcasts(df: DataFrame) -> bool:
-    """Whether Spark's size estimate of a frame is within its own limit for broadcast joins."""
-    limit = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) <= limit
+#: Items that the sketch of frequent keys tracks; keys are salted one by one up to a tenth of them.
+TRACKED = 10_000
+
+
+def hot_keys(rows: DataFrame, keys: Sequence[str], parts: int) -> list[tuple[int, int]]:
+    """``hash, salts`` of the keys of ``rows`` that exceed half of an even share of ``parts`` tasks.
+
+    A mergeable sketch of frequent items counts the keys' hashes in one pass; its memory is fixed, and counts are
+    never too low. A key gets as many salts as it has half shares, so all salts together are at most two per task.
+    """
+    item = F.xxhash64(*keys).alias("item")
+    found, total = rows.select(item).agg(F.expr(f"approx_top_k(item, {TRACKED // 10}, {TRACKED})"), F.count(F.lit(1))).first()
+    share = max(total / (2 * parts), 1.0)
+    return [(top["item"], math.ceil(top["count"] / share)) for top in found if top["count"] > share]
 
 
 def salted_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str, salt_by: Column,
-                salts: int = 16) -> DataFrame:
+                measured: DataFrame | None = None) -> DataFrame:
     """Join rows whose keys may be hot to a table with one row per key; NULL keys match each other.
 
-    A right side that Spark will broadcast needs no salt, as its left rows do not move. Else the left rows
-    of a key go to ``salts`` tasks by a hash of another column, and each right row is sent to all of them.
+    The rows of a hot key go to as many tasks as its count asks for, by a hash of another column, and only its one
+    row on the right is copied. Cold keys are not salted and nothing is copied for them. ``measured`` are rows that
+    are cheaper to count than ``left`` and hold each of its keys at least as often.
     """
+    spark = left.sparkSession
+    hot = hot_keys(left if measured is None else measured, keys, int(spark.conf.get("spark.sql.shuffle.partitions")))
     a, b, matched = left.alias("a"), right.alias("b"), same_keys(keys)
-    if not broadcasts(right):
-        a = left.withColumn("_salt", F.pmod(F.hash(salt_by), F.lit(salts))).alias("a")
-        b = right.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))).alias("b")
+    if hot:
+        table = F.broadcast(spark.createDataFrame(hot, "_hash long, _salts int"))  # at most TRACKED / 10 rows
+        salts = F.coalesce("_salts", F.lit(1))
+        a = left.join(table, F.xxhash64(*keys) == F.col("_hash"), "left").withColumn("_salt", F.pmod(F.xxhash64(salt_by), salts)).alias("a")
+        b = right.join(table, F.xxhash64(*keys) == F.col("_hash"), "left").withColumn(
+            "_salt", F.explode(F.sequence(F.lit(0).cast("bigint"), salts.cast("bigint") - 1))).alias("b")
         matched = (F.col("a._salt") == F.col("b._salt")) & matched
     joined = a.join(b, matched, how)
     if how in ("left_semi", "left_anti"):
@@ -73,14 +90,14 @@ def co_participants(edges: DataFrame, src: str, dst: str) -> DataFrame:
         edges.groupBy(dst).agg(F.min(src).alias("_lo"), F.max(src).alias("_hi"))
         .filter(F.col("_lo") != F.col("_hi")).select(dst)
     )
-    return salted_join(links, shared, [dst], "left_semi", F.col(src)).select(src).distinct()
+    return salted_join(links, shared, [dst], "left_semi", F.col(src), measured=edges).select(src).distinct()
 
 
 def reaching_targets_of(edges: DataFrame, src: str, dst: str, others: DataFrame, other_dst: str) -> DataFrame:
     """Distinct sources with an edge to a target that also has an edge in ``others``."""
     links = edges.select(src, dst).distinct()
     targets = others.select(F.col(other_dst).alias(dst)).distinct()
-    return salted_join(links, targets, [dst], "left_semi", F.col(src)).select(src).distinct()
+    return salted_join(links, targets, [dst], "left_semi", F.col(src), measured=edges).select(src).distinct()
 
 
 def double_lookup(links: DataFrame, src_key: str, dst_key: str, src: DataFrame, dst: DataFrame,

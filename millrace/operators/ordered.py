@@ -7,6 +7,7 @@ needs only its own neighbours. A group with a third of all rows is simply spread
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -82,48 +83,82 @@ def rank_top(df: DataFrame, order: Sequence[Column], k: int, name: str = "rank")
     return top.withColumn(name, F.row_number().over(Window.orderBy(*order)).cast("bigint"))
 
 
-def value_counts(df: DataFrame, by: Sequence[str], value: str) -> DataFrame:
-    """Rows per group and distinct value: combined before the shuffle, so equal values never pile up."""
-    return df.filter(F.col(value).isNotNull()).groupBy(*by, value).agg(F.count(F.lit(1)).alias("n"))
+#: Rank error of the sketch as a share of the rows, and the most cells that one window per group numbers.
+ACCURACY = 10_000
+FEW_CELLS = 1_000_000
 
 
-def quantiles(df: DataFrame, by: Sequence[str], value: str, probs: dict[str, float],
-              extra: Sequence[Column] = ()) -> DataFrame:
-    """Exact linear-interpolation quantiles per group (position ``(n-1)p`` between the two nearest values).
+def _brackets(known: DataFrame, by: Sequence[str], value: str, probs: dict[str, float], margin: float,
+              extra: Sequence[Column]) -> DataFrame:
+    """Per group its rows ``_total``, and edges around each quantile from one sketch of all values."""
+    n = len(probs)
+    shares = [max(p - margin, 0.0) for p in probs.values()] + [min(p + margin, 1.0) for p in probs.values()]
+    made = known.groupBy(*by).agg(F.percentile_approx(value, shares, ACCURACY).alias("_edges"), F.min(value).alias("_min"),
+                                  F.max(value).alias("_max"), F.count(F.lit(1)).alias("_total"), *extra)
+    # In a small group a rank is wider than the margin; all of its values are looked at.
+    whole = F.col("_total") < math.ceil(4 / margin)
+    return freeze(made.withColumns({
+        "_low": F.transform(F.slice("_edges", 1, n), lambda x: F.when(whole, F.col("_min")).otherwise(x)),
+        "_high": F.transform(F.slice("_edges", n + 1, n), lambda x: F.when(whole, F.col("_max")).otherwise(x))}).drop("_edges", "_min", "_max"))
+
+
+def _cells(known: DataFrame, by: Sequence[str], value: str, brackets: DataFrame, n: int) -> DataFrame:
+    """The rows counted in order: one cell per value inside a bracket, one per stretch between brackets.
 
-    The totals per run tell which runs hold the wanted positions, so only those runs are shuffled again.
-    ``extra`` are further aggregates over the columns ``value`` and ``n`` (its count).
+    ``_zone`` counts the edges that a value has passed. It grows with the value and is the same for all values of a
+    stretch, so zone and value order the cells, and equal values never pile up in a task.
     """
-    placed = in_sorted_runs(value_counts(df, by, value), [F.col(c) for c in [*by, value]])
-    runs = _run_offsets(placed, by, F.col("n"), "_total")
+    edges = brackets.select(*by, "_low", "_high", "_total")
+    if by:
+        a, b = known.alias("a"), edges.alias("b")
+        met = a.join(b, same_keys(by)).select("a.*", "b._low", "b._high", "b._total")
+    else:
+        met = known.withColumn("_b", edges.select(F.struct("_low", "_high", "_total")).scalar()).select(
+            value, "_b._low", "_b._high", "_b._total")
+    zone, inside = F.lit(0), F.lit(False)
+    for k in range(n):
+        low, high = F.col("_low")[k], F.col("_high")[k]
+        zone = zone + (F.col(value) >= low).cast("int") + (F.col(value) > high).cast("int")
+        inside = inside | ((F.col(value) >= low) & (F.col(value) <= high))
+    cells = met.groupBy(*by, zone.alias("_zone"), F.when(inside, F.col(value)).alias(value))
+    return freeze(cells.agg(F.count(F.lit(1)).alias("n"), F.max("_total").alias("_total")))
 
-    def position(p: float) -> Column:
-        return (F.col("_total") - 1) * F.lit(float(p))
 
-    def within(at: Column, start: Column, amount: Column) -> Column:
-        return (start <= at) & (at < start + amount)
+def quantiles(df: DataFrame, by: Sequence[str], value: str, probs: dict[str, float],
+              extra: Sequence[Column] = (), margin: float = 2 / ACCURACY) -> DataFrame:
+    """Exact linear-interpolation quantiles per group (position ``(n-1)p`` between the two nearest values).
 
-    wanted = [edge(position(p)) for p in probs.values() for edge in (F.floor, F.ceil)]
-    hit = F.lit(False)
-    for at in wanted:
-        hit = hit | within(at, F.col("_offset"), F.col("_amount"))
-    near = _with_offsets(placed, runs.filter(hit).drop("_amount"), by)
-    inside = Window.partitionBy("_run", *by).orderBy("_slot").rowsBetween(Window.unboundedPreceding, 0)
-    near = near.withColumn("_start", F.sum("n").over(inside) + F.col("_offset") - F.col("n"))
+    By selection, not by sorting: a sketch brackets each wanted position, a second pass counts the rows between the
+    brackets and keeps only the values inside them. Should a position lie outside its bracket, the brackets are
+    widened and the counts made again. ``extra`` are further aggregates over the columns ``value`` and ``n`` (1).
+    """
+    known = df.filter(F.col(value).isNotNull()).select(*by, value)
+    brackets = _brackets(known.withColumn("n", F.lit(1)), by, value, probs, margin, extra)
+    cells = _cells(known, by, value, brackets, len(probs))
+    if cells.count() <= FEW_CELLS:
+        before = Window.partitionBy(*by).orderBy("_zone", value).rowsBetween(Window.unboundedPreceding, -1)
+        placed = cells.withColumn("_start", F.coalesce(F.sum("n").over(before), F.lit(0)))
+    else:
+        placed = running_sum(cells, by, ["_zone", value], "n", "_start").withColumn("_start", F.col("_start") - F.col("n"))
 
     def value_at(at: Column) -> Column:
-        return F.max(F.when(within(at, F.col("_start"), F.col("n")), F.col(value)))
+        return F.max(F.when((F.col("_start") <= at) & (at < F.col("_start") + F.col("n")), F.struct(F.col(value).alias("v"))))["v"]
 
-    cells, columns = [F.max("_total").alias("_total")], []
+    ends, columns, missed = [], [], F.lit(False)
     for name, p in probs.items():
-        at = position(p)
-        cells += [value_at(F.floor(at)).alias(f"_{name}_lo"), value_at(F.ceil(at)).alias(f"_{name}_hi")]
+        at = (F.col("_total") - 1) * F.lit(float(p))
+        ends += [value_at(F.floor(at)).alias(f"_{name}_lo"), value_at(F.ceil(at)).alias(f"_{name}_hi")]
+        at = (F.col("_rows") - 1) * F.lit(float(p))
         lo, hi = F.col(f"_{name}_lo"), F.col(f"_{name}_hi")
         columns.append((lo + (hi - lo) * (at - F.floor(at))).alias(name))
-    found = near.groupBy(*by).agg(*cells).select(*by, *columns)
+        missed = missed | lo.isNull() | hi.isNull()
+    found = freeze(placed.groupBy(*by).agg(F.max("_total").alias("_rows"), *ends))
+    if margin < 1 and not found.filter(missed).isEmpty():
+        return quantiles(df, by, value, probs, extra, margin * 64)
+    found = found.select(*by, *columns)
     if not extra:
         return found
-    a, b = placed.groupBy(*by).agg(*extra).alias("a"), found.alias("b")
+    a, b = brackets.drop("_low", "_high", "_total").alias("a"), found.alias("b")
     return a.join(b, same_keys(by)).select("a.*", *[F.col(f"b.{name}") for name in probs])
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.operators.joins import salted_join
-from millrace.operators.ordered import quantiles, same_keys, value_counts
+from millrace.operators.ordered import quantiles, same_keys
 from millrace.session import freeze
 
 QUARTILES = {"q1": 0.25, "median": 0.5, "q3": 0.75}
@@ -18,9 +18,8 @@ def numeric_summary(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Minimum, quartiles, mean and maximum of each column, exact, one row per column, of NULLs where it has no value."""
     long = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
     long = long.unpivot([], list(columns), "column", "value")
-    mean = F.sum(F.col("value") * F.col("n")) / F.sum("n")
     found = quantiles(long, ["column"], "value", QUARTILES, extra=[
-        F.min("value").alias("min"), F.max("value").alias("max"), mean.alias("mean")])
+        F.min("value").alias("min"), F.max("value").alias("max"), F.avg("value").alias("mean")])
     names = df.sparkSession.range(1).select(F.explode(F.array(*[F.lit(c) for c in columns])).alias("column"))
     return names.join(found, "column", "left")
 
@@ -41,16 +40,15 @@ def _with_fences(df: DataFrame, box: DataFrame, by: Sequence[str], value: str) -
 def boxplot_stats(df: DataFrame, by: Sequence[str], value: str) -> DataFrame:
     """Quartiles, the extreme values inside the fences, and the number of values outside.
 
-    Quartiles are the linear quantiles. The whiskers come from the distinct values with their counts,
-    not from the rows.
+    Quartiles are the linear quantiles. The whiskers are extremes, which each task combines before the shuffle.
     """
     box = freeze(fences(df, by, value))
-    placed = _with_fences(value_counts(df, by, value), box, by, value)
+    placed = _with_fences(df.filter(F.col(value).isNotNull()).select(*by, value), box, by, value)
     inside = F.col(value).between(F.col("low_fence"), F.col("high_fence"))
     whiskers = placed.groupBy(*by).agg(
         F.min(F.when(inside, F.col(value))).alias("low_whisker"),
         F.max(F.when(inside, F.col(value))).alias("high_whisker"),
-        F.sum(F.when(inside, 0).otherwise(F.col("n"))).alias("outliers"))
+        F.count_if(~inside).alias("outliers"))
     a, b = box.alias("a"), whiskers.alias("b")
     return a.join(b, same_keys(by)).select("a.*", "b.low_whisker", "b.high_whisker", "b.outliers").drop(
         "low_fence", "high_fence")

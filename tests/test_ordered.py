@@ -1,5 +1,6 @@
 """Order-dependent operators against brute force, with one key holding a third of the rows or more."""
 
+import math
 import random
 from collections import Counter, defaultdict
 
@@ -64,6 +65,28 @@ def test_quantiles_ignore_null_values(rows):
     assert listed(got) == [("a", 2.0)]
 
 
+@pytest.mark.parametrize("margin,few", [(0.02, 1_000_000), (0.02, 0), (1e-6, 1_000_000)])
+def test_quantiles_by_selection(rows, monkeypatch, margin, few):
+    """Brackets that hold few values, cells numbered by runs, and brackets too narrow, which are widened."""
+    monkeypatch.setattr(o, "FEW_CELLS", few)
+    if margin < 1e-3:
+        monkeypatch.setattr(o, "ACCURACY", 20)  # a sketch far coarser than the margin
+    rng = random.Random(4)
+    data = [("hot", 5.0 if rng.random() < 0.3 else rng.gauss(0, 9)) for _ in range(4000)]
+    data += [(None, float(rng.randrange(3))) for _ in range(900)] + [("one", -1.0), ("nan", float("nan")), ("nan", 1.0), ("none", None)]
+    probs = {"p0": 0.0, "p1": 0.01, "q1": 0.25, "q2": 0.26, "median": 0.5, "p99": 0.99, "p100": 1.0}
+    frame = rows(data, "k string, v double").repartition(5)
+    got = {r["k"]: r for r in o.quantiles(frame, ["k"], "v", probs, extra=[F.sum("n").alias("rows"), F.max("v").alias("top")], margin=margin).collect()}
+    assert set(got) == {"hot", None, "one", "nan"}
+    for k in ("hot", None, "one"):
+        values = [v for g, v in data if g == k]
+        assert got[k]["rows"] == len(values) and got[k]["top"] == max(values)
+        assert [got[k][name] for name in probs] == pytest.approx([np.quantile(values, p) for p in probs.values()])
+    assert got["nan"]["p0"] == 1.0 and math.isnan(got["nan"]["p100"])
+    whole = o.quantiles(frame.filter("k = 'hot'"), [], "v", {"median": 0.5}, margin=margin).first()
+    assert whole["median"] == pytest.approx(np.quantile([v for g, v in data if g == "hot"], 0.5))
+
+
 @pytest.mark.parametrize("block", [1, 3, 4096])
 def test_next_in_group_crosses_blocks(rows, block):
     data = [("hot", i, i * 10) for i in range(50)] + [("b", 0, 1), ("b", 1, 2), ("c", 0, 9)]

@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 from millrace.functions import scalars as sc
 from millrace.operators import charts, graph, joins, learning, matrix, relational, stats
 from millrace.operators.keyed import upsert
-from millrace.session import freeze
 
 LEFT = [("ark", 3), ("bell", 2), ("cup", 9)]
 RIGHT = [("bell", 7), ("dove", 1)]
@@ -37,9 +36,8 @@ def test_salted_join_with_a_hot_key(spark, rows, how, limit):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
     try:
         left = rows([("hot" if i % 3 else f"k{i % 7}", i) for i in range(400)] + [(None, -1)], "k string, i int")
-        right = freeze(rows([("hot", 1), ("k3", 2), (None, 3)], "k string, w int"))  # a frame of known size
+        right = rows([("hot", 1), ("k3", 2), (None, 3)], "k string, w int")
         got = joins.salted_join(left, right, ["k"], how, F.col("i"))
-        assert joins.broadcasts(right) == (limit != "-1")
         known = {"hot": 1, "k3": 2, None: 3}
         data = [tuple(r) for r in left.collect()]
         expected = {"inner": [(k, i, known[k]) for k, i in data if k in known],
@@ -50,6 +48,35 @@ def test_salted_join_with_a_hot_key(spark, rows, how, limit):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
 
 
+def test_only_hot_keys_are_salted(rows):
+    data = [("hot" if i % 3 == 0 else None if i % 3 == 1 and i % 2 else f"k{i}", i) for i in range(3000)]
+    left = rows(data, "k string, i int")
+    hot = dict(joins.hot_keys(left, ["k"], 8))
+    by_name = {r[0]: r[1] for r in left.select("k", F.xxhash64("k")).distinct().collect()}
+    assert set(hot) == {by_name["hot"], by_name[None]}
+    assert hot[by_name["hot"]] == math.ceil(1000 / (3000 / 16)) and hot[by_name[None]] == math.ceil(500 / (3000 / 16))
+    assert joins.hot_keys(left.limit(0), ["k"], 8) == []
+    assert joins.hot_keys(rows([(f"k{i}", i) for i in range(300)], "k string, i int"), ["k"], 8) == []
+
+
+def test_a_hot_key_fills_an_even_stage(spark, rows):
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false", "spark.sql.shuffle.partitions": "8"}
+    before = {k: spark.conf.get(k) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        left = rows([("hot" if i % 3 == 0 else f"k{i % 500}", i) for i in range(24_000)], "k string, i int")
+        right = rows([("hot", 1), *[(f"k{i}", i) for i in range(500)]], "k string, w int")
+        plain, salted = (
+            [r["count"] for r in joined.groupBy(F.spark_partition_id()).count().collect()]
+            for joined in (left.join(right, "k"), joins.salted_join(left, right, ["k"], "inner", F.col("i"))))
+        assert sum(plain) == sum(salted) == 24_000
+        assert max(plain) > 8_000 and len(salted) == 8 and max(salted) < 2 * 3_000
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
 def test_co_participants_need_another_source(rows):
     edges = rows([("a", 1), ("a", 1), ("b", 2), ("c", 2), ("d", 3)], "src string, dst int")
     assert listed(joins.co_participants(edges, "src", "dst")) == [("b",), ("c",)]
