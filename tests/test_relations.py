@@ -249,7 +249,7 @@ def to_cells(array):
     return [(i, j, float(v)) for (i, j), v in np.ndenumerate(array)]
 
 
-@pytest.mark.parametrize("block", [1, 2, 4096])
+@pytest.mark.parametrize("block", [1, 2, 512])
 def test_matrix_products(rows, block):
     a = np.array([7, 2, 1, 0, 3, -1, -3, 4]).reshape(4, 2)
     cells = rows(to_cells(a), "i bigint, j bigint, v double")
@@ -258,6 +258,32 @@ def test_matrix_products(rows, block):
     assert tuple(matrix.dims(cells).first()) == (4, 2)
 
 
+@pytest.mark.parametrize("shape,fill", [((40, 3, 50), 1.0), ((30, 70, 20), 0.1), ((6, 90, 5), 0.6)])
+def test_block_products_of_sparse_and_full_matrices(spark, rows, shape, fill):
+    rng = np.random.default_rng(3)
+    n, k, m = shape
+    a, b = ([(int(i), int(j), float(rng.normal())) for i in range(x) for j in range(y) if rng.random() < fill] for x, y in ((n, k), (k, m)))
+    b += b[:3]  # entries of the same cell add up
+    want = {}
+    for i, l, v in a:
+        for l2, j, w in b:
+            if l == l2:
+                want[i, j] = want.get((i, j), 0.0) + v * w
+    frames = [rows(cells, "i bigint, j bigint, v double") for cells in (a, b)]
+    got = {(r.i, r.j): r.v for r in matrix.multiply(*frames, block=16).collect()}
+    assert got.keys() == want.keys() and all(got[c] == pytest.approx(want[c]) for c in want)
+    assert matrix.multiply(frames[0].limit(0), frames[1]).count() == 0
+
+
+def test_products_are_not_shuffled(spark, rows):
+    """A full 256 x 256 product: a quarter of a million cells, but a few blocks in the shuffles."""
+    a = spark.range(256 * 256).selectExpr("id div 256 AS i", "id % 256 AS j", "1.0D AS v")
+    product = matrix.multiply(a, a, block=128)
+    assert product.agg(F.sum("v")).first()[0] == 256.0 ** 3
+    blocks = matrix.to_blocks(a, 128)
+    assert blocks.count() == 4 and blocks.select(F.max(F.size("cells"))).first()[0] == 128 * 128
+
+
 def test_gram(rows):
     a = np.array([[1.0, 2.0], [3.0, 4.0], [5.0, 6.0]])
     df = rows([(r.tolist(),) for r in a] + [(None,)], "v array<double>").repartition(2)
