@@ -42,6 +42,11 @@ def filled(text: str) -> Column:
     return F.coalesce(F.col(text), F.lit(""))
 
 
+def stripped(text: Column) -> Column:
+    """The text without the contracts' white space at its ends. (A pattern's ``$`` would also stop before U+0085.)"""
+    return F.trim(text, F.lit(SPACE_CHARS))
+
+
 def bind(value: Column, use: Callable[[Column], Column]) -> Column:
     """``use(value)`` with ``value`` computed once, however often ``use`` mentions it."""
     return F.transform(F.array(value), use)[0]

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.llm.base import SPACE, filled, query, read
+from millrace.llm.base import SPACE, filled, query, read, stripped
 from millrace.session import freeze
 
 #: Bins of the seeded order in which a source's rows are taken; only the rows of one bin are sorted together.
@@ -14,7 +14,7 @@ BINS = 4096
 
 def word_count(text: str) -> Column:
     """Words of a text (null: none). The white space at the end and the start makes no word."""
-    trimmed = F.regexp_replace(filled(text), f"^{SPACE}+|{SPACE}+$", "")
+    trimmed = stripped(filled(text))
     return F.when(trimmed == "", F.lit(0)).otherwise(F.size(F.split(trimmed, f"{SPACE}+"))).cast("long")
 
 

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.base import SPACE, filled, query, read
+from millrace.llm.base import SPACE, filled, query, read, stripped
 from millrace.session import freeze
 
 SHINGLE = 5
@@ -75,7 +75,7 @@ def raw_key(text: str):
 
 def keyed(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     """``doc_id, raw_key, words_key``: MD5 of the text and of its words, the latter null where there is none."""
-    said = F.regexp_replace(F.regexp_replace(filled(text), f"{SPACE}+", " "), "^ | $", "")
+    said = F.regexp_replace(stripped(filled(text)), f"{SPACE}+", " ")
     return docs.select(F.col(doc_id).alias("doc_id"), raw_key(text).alias("raw_key"),
                        F.when(said != "", F.unhex(F.md5(said))).alias("words_key"))
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.base import SPACE, SPACE_CHARS, bind, filled, query, read
+from millrace.llm.base import SPACE, SPACE_CHARS, bind, filled, query, read, stripped
 from millrace.session import freeze
 
 #: Characters that count as symbols, and the base rules' limits.
@@ -20,7 +20,7 @@ VECTOR = {"t_length": 0.5, "t_word": 0.1, "t_symbols": 0.1, "t_lines": 0.15, "t_
 
 
 def words_of(text: Column) -> Column:
-    trimmed = F.regexp_replace(text, f"^{SPACE}+|{SPACE}+$", "")
+    trimmed = stripped(text)
     return F.when(trimmed == "", F.array().cast("array<string>")).otherwise(F.split(trimmed, f"{SPACE}+"))
 
 
