@@ -81,13 +81,13 @@ def short_hash(data: bytes) -> int:
 
 
 def keyed(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """``doc_id, crc, text``: id and checksum name a text, so rows that repeat an id do not mix."""
-    return docs.select(F.col(doc_id).alias("doc_id"), F.crc32(F.encode(filled(text), "UTF-8")).alias("crc"),
+    """``doc_id, key, text``: id and MD5 name a text, so rows without an id, or with the same, do not mix."""
+    return docs.select(F.col(doc_id).alias("doc_id"), F.unhex(F.md5(filled(text))).alias("key"),
                        filled(text).alias("text"))
 
 
 def sampled(texts: DataFrame, length: int) -> DataFrame:
-    """``doc_id, crc, start, n, bucket, rank`` of every run of every text."""
+    """``doc_id, key, start, n, bucket, rank`` of every run of every text."""
 
     def run(batches):
         sampler = Sampler(length, min(GRAM, length))
@@ -110,14 +110,14 @@ def sampled(texts: DataFrame, length: int) -> DataFrame:
                     yield pa.RecordBatch.from_arrays(
                         [part.column(0).take(which), part.column(1).take(which), pa.array(np.concatenate(starts), pa.int64()),
                          pa.array(np.concatenate(sizes), pa.int32(), safe=False), pa.array(np.concatenate(buckets), pa.int64()),
-                         pa.array(ranks, pa.int64())], ["doc_id", "crc", "start", "n", "bucket", "rank"])
+                         pa.array(ranks, pa.int64())], ["doc_id", "key", "start", "n", "bucket", "rank"])
 
     kind = texts.schema["doc_id"].dataType.simpleString()
-    return texts.mapInArrow(run, f"doc_id {kind}, crc long, start long, n int, bucket long, rank long")
+    return texts.mapInArrow(run, f"doc_id {kind}, key binary, start long, n int, bucket long, rank long")
 
 
 def regions_of(joined: DataFrame, length: int) -> DataFrame:
-    """``bucket, large, doc_id, crc, start, open, bytes`` of the listed runs (``runs``: bucket, large, start, n, open)."""
+    """``bucket, large, doc_id, key, start, open, bytes`` of the listed runs (``runs``: bucket, large, start, n, open)."""
 
     def run(batches):
         for batch in batches:
@@ -138,15 +138,15 @@ def regions_of(joined: DataFrame, length: int) -> DataFrame:
                     [pa.array(buckets, pa.int64()), pa.array(larges, pa.bool_()), part.column(0).take(which),
                      part.column(1).take(which), pa.array(starts, pa.int64()), pa.array(flags, pa.bool_()),
                      pa.array(regions, pa.binary())],
-                    ["bucket", "large", "doc_id", "crc", "start", "open", "bytes"])
+                    ["bucket", "large", "doc_id", "key", "start", "open", "bytes"])
 
     kind = joined.schema["doc_id"].dataType.simpleString()
     return joined.mapInArrow(
-        run, f"bucket long, large boolean, doc_id {kind}, crc long, start long, open boolean, bytes binary")
+        run, f"bucket long, large boolean, doc_id {kind}, key binary, start long, open boolean, bytes binary")
 
 
 def windows_of(regions: DataFrame, length: int) -> DataFrame:
-    """``doc_id, crc, start, open, h1, h2`` of every window of the regions (``doc_id, crc, start, open, bytes``)."""
+    """``doc_id, key, start, open, h1, h2`` of every window of the regions (``doc_id, key, start, open, bytes``)."""
 
     def run(batches):
         for batch in batches:
@@ -163,14 +163,14 @@ def windows_of(regions: DataFrame, length: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0).take(which), part.column(1).take(which), pa.array(starts, pa.int64()),
                      part.column(3).take(which), pa.array(both[:, 0]), pa.array(both[:, 1])],
-                    ["doc_id", "crc", "start", "open", "h1", "h2"])
+                    ["doc_id", "key", "start", "open", "h1", "h2"])
 
     kind = regions.schema["doc_id"].dataType.simpleString()
-    return regions.mapInArrow(run, f"doc_id {kind}, crc long, start long, open boolean, h1 long, h2 long")
+    return regions.mapInArrow(run, f"doc_id {kind}, key binary, start long, open boolean, h1 long, h2 long")
 
 
 def compared(regions: DataFrame, length: int) -> DataFrame:
-    """Spans ``doc_id, crc, start, stop`` of the open runs' windows that occur twice in their bucket.
+    """Spans ``doc_id, key, start, stop`` of the open runs' windows that occur twice in their bucket.
 
     Rows come sorted by bucket, and a task holds one bucket at a time.
     """
@@ -184,14 +184,14 @@ def compared(regions: DataFrame, length: int) -> DataFrame:
             for s in range(len(data) - length + 1):
                 window = data[s : s + length]
                 seen[window] = seen.get(window, 0) + 1
-        for doc_id, crc, start, is_open, data in rows:
+        for doc_id, key, start, is_open, data in rows:
             first = None
             for s in range(len(data) - length + 2) if is_open else ():
                 again = s <= len(data) - length and seen[data[s : s + length]] > 1
                 if again and first is None:
                     first = s
                 elif not again and first is not None:
-                    yield doc_id, crc, start + first, start + s - 1 + length
+                    yield doc_id, key, start + first, start + s - 1 + length
                     first = None
 
     def run(batches):
@@ -212,18 +212,18 @@ def compared(regions: DataFrame, length: int) -> DataFrame:
     def as_batch(found, kind):
         columns = list(zip(*found)) or [(), (), (), ()]
         return pa.RecordBatch.from_arrays(
-            [pa.array(columns[0], kind), *[pa.array(c, pa.int64()) for c in columns[1:]]], ["doc_id", "crc", "start", "stop"])
+            [pa.array(columns[0], kind), pa.array(columns[1], pa.binary()), *[pa.array(c, pa.int64()) for c in columns[2:]]], ["doc_id", "key", "start", "stop"])
 
     sorted_rows = regions.repartition("bucket").sortWithinPartitions("bucket")
-    return sorted_rows.mapInArrow(run, f"doc_id {doc_type}, crc long, start long, stop long")
+    return sorted_rows.mapInArrow(run, f"doc_id {doc_type}, key binary, start long, stop long")
 
 
 def same_text(a: DataFrame, b: DataFrame):
-    return a.doc_id.eqNullSafe(b.doc_id) & (a.crc == b.crc)
+    return a.doc_id.eqNullSafe(b.doc_id) & (a.key == b.key)
 
 
 def repeated_spans(texts: DataFrame, length: int = LENGTH) -> DataFrame:
-    """``doc_id, crc, start, stop``: spans, which may overlap, whose bytes lie in repeated windows of ``length``."""
+    """``doc_id, key, start, stop``: spans, which may overlap, whose bytes lie in repeated windows of ``length``."""
     runs = freeze(sampled(texts, length))
     ranked = runs.groupBy("bucket", "rank").agg(F.count("*").alias("same"))
     # a bucket is alive with two runs; it needs windows where it has unequal runs and one of them is alone
@@ -232,22 +232,22 @@ def repeated_spans(texts: DataFrame, length: int = LENGTH) -> DataFrame:
         (F.count("*") > MOST_RANKS).alias("large")).where("all > 1").select("bucket", "mixed", "large"))
     live = freeze(runs.join(alive.hint("merge"), "bucket"))
     counts = live.groupBy("bucket", "rank").agg(
-        F.count("*").alias("same"), F.max("mixed").alias("mixed"), F.max("large").alias("large"), F.min(F.struct("doc_id", "crc", "start", "n")).alias("one"))
+        F.count("*").alias("same"), F.max("mixed").alias("mixed"), F.max("large").alias("large"), F.min(F.struct("doc_id", "key", "start", "n")).alias("one"))
     counts = freeze(counts)
     whole = live.join(counts.where("same > 1").select("bucket", "rank"), ["bucket", "rank"]).select(
-        "doc_id", "crc", "start", (F.col("start") + F.col("n") + (length - 1)).alias("stop"))
+        "doc_id", "key", "start", (F.col("start") + F.col("n") + (length - 1)).alias("stop"))
     chosen = freeze(counts.where("mixed").select("bucket", "large", "one.*", (F.col("same") == 1).alias("open"))
-                    .groupBy("doc_id", "crc")
+                    .groupBy("doc_id", "key")
                     .agg(F.collect_list(F.struct("bucket", "large", "start", "n", "open")).alias("runs")))
     # The texts meet their chosen runs once, in the same shuffled join at every size: the runs grow with the corpus.
     # Rows that repeat a text give its runs twice, and these are repeated indeed.
-    met = texts.join(chosen.hint("merge"), same_text(texts, chosen)).select(texts.doc_id, texts.crc, texts.text, "runs")
+    met = texts.join(chosen.hint("merge"), same_text(texts, chosen)).select(texts.doc_id, texts.key, texts.text, "runs")
     regions = freeze(regions_of(met, length))
     small = compared(regions.where("NOT large").drop("large"), length)
-    windows = freeze(windows_of(regions.where("large").select("doc_id", "crc", "start", "open", "bytes"), length))
+    windows = freeze(windows_of(regions.where("large").select("doc_id", "key", "start", "open", "bytes"), length))
     again = windows.groupBy("h1", "h2").agg(F.count("*").alias("same")).where("same > 1").drop("same")
     spans = whole.unionByName(small).unionByName(windows.where("open").join(again.hint("merge"), ["h1", "h2"]).select(
-        "doc_id", "crc", "start", (F.col("start") + length).alias("stop")))
+        "doc_id", "key", "start", (F.col("start") + length).alias("stop")))
     return spans
 
 
@@ -277,7 +277,7 @@ def without_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     rows. Only the id and the text are read.
     """
     texts = keyed(docs, doc_id, text)
-    spans = repeated_spans(texts, length).distinct().groupBy("doc_id", "crc").agg(
+    spans = repeated_spans(texts, length).distinct().groupBy("doc_id", "key").agg(
         F.collect_list(F.struct("start", "stop")).alias("spans"))
     spans = freeze(spans)
     joined = texts.join(spans.hint("merge"), same_text(texts, spans), "left").select(texts.doc_id, texts.text, "spans")
