@@ -87,7 +87,7 @@ def scan_new(docs: DataFrame, ledger: str, rules: tuple[Rule, ...] = RULES, doc_
     texts = docs.select(F.col(doc_id).alias("doc_id"), filled(text).alias("text")).withColumn(
         "blob", F.unhex(F.sha2("text", 256)))
     fresh = texts.join(todo, (texts.blob == todo.blob) & texts.doc_id.eqNullSafe(todo.one_id)).select(
-        texts.blob, "text", "kinds")
+        texts.blob, texts.doc_id, "text", "kinds").dropDuplicates(["blob", "doc_id"])  # rows may repeat id and text
     found = F.array(*[
         F.struct(F.lit(r.kind).alias("kind"), F.lit(r.version).alias("version"),
                  F.when(F.array_contains("kinds", r.kind), matches(F.col("text"), r)).alias("spans")) for r in rules])
