@@ -115,12 +115,17 @@ class RankOrder:
         return self.langs[best], float(1 - apart[best] / (self.size * len(top)))
 
 
-def fit(docs: DataFrame, size: int = PROFILE, longest: int = LONGEST) -> RankOrder:
-    """Learn profiles from all rows of ``docs`` that have a language; languages times ``size`` rows come back."""
-    found = freeze(profiles(docs, size, longest))
-    if found.select("lang").distinct().limit(MOST_LANGUAGES + 1).count() > MOST_LANGUAGES:
-        raise ValueError(f"more than {MOST_LANGUAGES} languages")
-    return RankOrder([tuple(r) for r in found.collect()], size, longest)
+def fit(docs: DataFrame, size: int = PROFILE, longest: int = LONGEST, most: int = MOST_LANGUAGES) -> RankOrder:
+    """Learn profiles from all rows of ``docs`` that have a language; at most ``most`` times ``size`` rows come back.
+
+    A language column with more than ``most`` values keeps those that the most rows have, ties by name; the profiles
+    of the others, which some wrong values may be, are left out.
+    """
+    named = docs.where("lang IS NOT NULL").groupBy("lang").count()
+    kept = named.orderBy(F.desc("count"), "lang").limit(most).select("lang")
+    if named.count() > most:
+        docs = docs.join(F.broadcast(kept), "lang", "left_semi")
+    return RankOrder([tuple(r) for r in profiles(docs, size, longest).collect()], size, longest)
 
 
 def identify(docs: DataFrame, model: RankOrder, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
