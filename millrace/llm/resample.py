@@ -26,7 +26,7 @@ from millrace.llm.base import query, read
 from millrace.session import freeze
 
 BUCKETS = 10_000
-#: Rows of a segment, which one task merges; there are at least as many segments as cores.
+#: Rows of a segment, which one task merges; there are at least as many segments as shuffle partitions.
 SEGMENT_ROWS = 4_000_000
 #: Keys sampled for each segment: the driver sorts ``segments * OVERSAMPLE`` keys, some 240,000 for 60 billion rows.
 OVERSAMPLE = 16
@@ -180,7 +180,7 @@ def draw(scored: DataFrame, percent: int = 10, least: int = 20) -> DataFrame:
     runs = runs.where("NOT _out").drop("_out")
     n = runs.count()
     wanted = n * percent // 100
-    segments = max(session.sparkContext.defaultParallelism, -(-n // SEGMENT_ROWS))
+    segments = max(int(session.conf.get("spark.sql.shuffle.partitions")), -(-n // SEGMENT_ROWS))
     placed = in_segments(runs, splitters(runs, n, segments))
     ahead, offsets = 0, []
     for row in sorted(placed.groupBy("_segment").count().collect()):  # a row per segment
