@@ -17,20 +17,25 @@ from __future__ import annotations
 
 import re
 import struct
-import zlib
+from array import array
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.llm.base import query, read
+from millrace.llm.base import filled, query, read
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE_MARK = "▁"
 #: Fixed values of the model format: kinds of pieces and of models.
 NORMAL, UNKNOWN, CONTROL, USER, BYTE = 1, 2, 3, 4, 6
 UNIGRAM, BPE = 1, 2
+#: Distinct parts whose paths a worker remembers, and texts encoded together.
+MOST_PARTS = 800_000
+TEXTS_AT_ONCE = 500
 
 
 def fields(data: bytes) -> Iterator[tuple[int, int | bytes]]:
@@ -63,7 +68,7 @@ class PieceTransducer:
     """The compiled model: ``encode`` a text to piece ids, ``decode`` ids to the normalized text."""
 
     def __init__(self, model: bytes, memo: int = 200_000):
-        self.memo_size = memo
+        self.memo_size = memo  # of known arcs
         pieces, trainer, normalizer = [], {}, {}
         for number, value in fields(model):
             if number == 1:
@@ -103,8 +108,6 @@ class PieceTransducer:
         lone = "".join(re.escape(c) for c in "\n\t\r" if not any(c in text for text in self.arcs))
         self.parts = re.compile(f"[{lone}]|{SPACE_MARK}*[^{SPACE_MARK}{lone}]+|{SPACE_MARK}+" if lone
                                 else f"{SPACE_MARK}*[^{SPACE_MARK}]+|{SPACE_MARK}+")
-        self.paths: dict[str, tuple[int, ...]] = {}
-        self.older: dict[str, tuple[int, ...]] = {}
         self.pairs: dict[int, bool] = {}  # known arcs of the BPE transducer
         self.made: dict[str, tuple[str, str] | None] = {}
 
@@ -214,24 +217,13 @@ class PieceTransducer:
                     cost[end], last[end], back[end] = cost[start] + weight, piece, start
         return last, back
 
+    def parts_of(self, text: str) -> list[str]:
+        """The parts of a text, whose paths do not depend on each other."""
+        return self.parts.findall(self.prefix + text.replace(" ", SPACE_MARK)) if text else []
+
     def encode(self, text: str) -> list[int]:
         """Piece ids of a text; none for an empty one."""
-        labels: list[int] = []
-        if not text:
-            return labels
-        paths = self.paths
-        for part in self.parts.findall(self.prefix + text.replace(" ", SPACE_MARK)):
-            path = paths.get(part)
-            if path is None:
-                path = self.older.get(part) or self.shortest(part)
-                if len(paths) >= self.memo_size:
-                    # parts that were used since the last turn are found among the older ones
-                    self.older = paths
-                    paths = self.paths = {}
-                if len(part) <= 64:
-                    paths[part] = path
-            labels += path
-        return labels
+        return [i for part in self.parts_of(text) for i in self.shortest(part)]
 
     def decode(self, labels) -> str:
         """The text of piece ids: bytes together, meta symbols as spaces, without the dummy prefix."""
@@ -239,15 +231,55 @@ class PieceTransducer:
         return text[1:] if self.prefix and text.startswith(" ") else text
 
 
-_COMPILED: dict[int, PieceTransducer] = {}
-
-
-def compiled(model: bytes) -> PieceTransducer:
-    """The transducer of a worker: compiled once, then kept."""
+class PathTable(dict):
+    """The paths of distinct parts, each composed once, in one array; the key's value is the path's number."""
+
+    def __init__(self, transducer: PieceTransducer, most: int):
+        super().__init__()
+        self.transducer, self.most = transducer, most
+        self.forget()
+
+    def forget(self) -> None:
+        self.clear()
+        self.flat, self.ends, self.same = array("i"), array("q", [0]), array("b")
+
+    def __missing__(self, part: str) -> int:
+        path = self.transducer.shortest(part)
+        self.flat.extend(path)
+        self.ends.append(len(self.flat))
+        out = b"".join(map(self.transducer.out.__getitem__, path)).decode("utf-8", "replace")
+        self.same.append(out == part)
+        self[part] = number = len(self.same) - 1
+        return number
+
+    def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """All ids, where each text's begin (and the end), and whether the paths of its parts decode to them."""
+        if len(self) > self.most:
+            self.forget()
+        parts: list[str] = []
+        sizes = [0]
+        for text in texts:
+            parts += self.transducer.parts_of(text or "")
+            sizes.append(len(parts))
+        numbers = np.fromiter(map(self.__getitem__, parts), np.int64, len(parts))
+        ends = np.array(self.ends)
+        starts, lengths = ends[numbers], ends[numbers + 1] - ends[numbers]
+        upto = np.concatenate([[0], np.cumsum(lengths)])
+        ids = np.array(self.flat, np.int32)[np.repeat(starts - upto[:-1], lengths) + np.arange(upto[-1])]
+        wrong = np.concatenate([[0], np.cumsum(np.array(self.same, bool)[numbers] == 0)])
+        at = np.array(sizes)
+        return ids, upto[at], wrong[at[1:]] == wrong[at[:-1]]
+
+
+_COMPILED: dict[int, PathTable] = {}
+
+
+def compiled(model: bytes) -> PathTable:
+    """The transducer of a worker with the paths it has found: compiled once, then kept."""
     key = hash(model)
     if key not in _COMPILED:
         _COMPILED.clear()
-        _COMPILED[key] = PieceTransducer(model)
+        _COMPILED[key] = PathTable(PieceTransducer(model), MOST_PARTS)
     return _COMPILED[key]
 
 
@@ -268,12 +300,14 @@ def encode(docs: DataFrame, text: str = "text", ids: str = "token_ids", model: s
     shared = shipped(docs, model)
 
     def run(batches):
-        transducer = compiled(shared.value)
+        table = compiled(shared.value)
         for batch in batches:
-            for at in range(0, batch.num_rows, 1000):
-                part = batch.slice(at, 1000)
-                found = [None if t is None else transducer.encode(t) for t in part.column(text).to_pylist()]
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(found, pa.list_(pa.int32()))], [*names, ids])
+            for at in range(0, batch.num_rows, TEXTS_AT_ONCE):
+                part = batch.slice(at, TEXTS_AT_ONCE)
+                found, begins, _ = table.encode(part.column(text).to_pylist())
+                none = np.append(np.asarray(part.column(text).is_null()), False)
+                lists = pa.ListArray.from_arrays(pa.array(begins, pa.int32(), mask=none), pa.array(found))
+                yield pa.RecordBatch.from_arrays([*part.columns, lists], [*names, ids])
 
     return docs.select(*names).mapInArrow(run, schema)
 
@@ -285,7 +319,7 @@ def decode(rows: DataFrame, ids: str = "token_ids", text: str = "decoded", model
     shared = shipped(rows, model)
 
     def run(batches):
-        transducer = compiled(shared.value)
+        transducer = compiled(shared.value).transducer
         for batch in batches:
             for at in range(0, batch.num_rows, 1000):
                 part = batch.slice(at, 1000)
@@ -298,26 +332,27 @@ def decode(rows: DataFrame, ids: str = "token_ids", text: str = "decoded", model
 def round_trips(docs: DataFrame, model: str = MODEL) -> DataFrame:
     """``doc_id, token_ids, n_tokens, text_crc32, round_trip``: the ids, and whether they decode to the text.
 
-    Both directions run in one pass. A null text counts as empty. The normaliser maps the meta symbol to a space, so
-    a text that holds it comes back with spaces.
+    A text is its parts in a row, and so are its ids and their decoding: each distinct part is decoded once, and a
+    text comes back if all its parts do. A null text counts as empty. The normaliser maps the meta symbol to a space,
+    so a text that holds it comes back with spaces. Repeated rows get the same ids, an empty table gives no rows, and a
+    very long text is encoded whole. Columns beside the id and the text are not read.
     """
     shared = shipped(docs, model)
 
     def run(batches):
-        transducer = compiled(shared.value)
+        table = compiled(shared.value)
         for batch in batches:
-            for at in range(0, batch.num_rows, 500):
-                part = batch.slice(at, 500)
-                texts = [t or "" for t in part.column(1).to_pylist()]
-                found = [transducer.encode(t) for t in texts]
-                same = [transducer.decode(i) == t.replace(SPACE_MARK, " ") for i, t in zip(found, texts)]
+            for at in range(0, batch.num_rows, TEXTS_AT_ONCE):
+                part = batch.slice(at, TEXTS_AT_ONCE)
+                found, begins, same = table.encode(part.column(1).to_pylist())
+                lists = pa.ListArray.from_arrays(pa.array(begins, pa.int32()), pa.array(found))
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array(found, pa.list_(pa.int32())), pa.array(map(len, found), pa.int32()),
-                     pa.array([zlib.crc32(t.encode()) for t in texts], pa.int64()), pa.array(same, pa.bool_())],
+                    [part.column(0), lists, pa.array(np.diff(begins), pa.int32()), part.column(2), pa.array(same)],
                     ["doc_id", "token_ids", "n_tokens", "text_crc32", "round_trip"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(
+    crc = F.crc32(F.encode(filled("text"), "UTF-8")).alias("text_crc32")
+    return docs.select("doc_id", "text", crc).mapInArrow(
         run, f"doc_id {kind}, token_ids array<int>, n_tokens int, text_crc32 long, round_trip boolean")
 
 
