@@ -1,12 +1,16 @@
 """The text operators against brute force on a small fixture: nulls, empty and repeated rows, copies, ties."""
 
 import hashlib
+import itertools
 import re
+import struct
+import zlib
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
-from millrace.llm import exact_dedup, language, near_dup, pieces, quality, repeats, secrets
+from millrace.llm import exact_dedup, language, mixing, near_dup, pieces, quality, repeats, secrets
 
 WORDS = "the quick brown fox jumps over a lazy dog while seven wizards brew odd potions near cold rivers".split()
 LONG = " ".join(WORDS[i * 7 % 17] + str(i % 23) for i in range(120))
@@ -66,6 +70,62 @@ def test_secrets_and_ledger(docs, spark, tmp_path):
     assert spark.read.parquet(ledger).count() == before
 
 
+def test_a_repeated_row_is_scanned_once(rows, spark, tmp_path):
+    ledger = str(tmp_path / "ledger")
+    docs = rows([(1, "token = abcdefgh")] * 50 + [(None, "no")] * 3, "doc_id long, text string")
+    paths = secrets.scan_new(docs, ledger)
+    assert spark.read.parquet(ledger).count() == 2 * len(secrets.RULES)
+    found = secrets.findings(paths, ledger)
+    assert found.count() == 53 and found.where("size(assign) = 1").count() == 50
+    newer = (*secrets.RULES[:2], secrets.RULES[2]._replace(version=2))
+    secrets.scan_new(docs, ledger, newer)
+    assert spark.read.parquet(ledger).count() == 2 * (len(secrets.RULES) + 1)
+    assert secrets.scan_new(docs.limit(0), ledger).count() == 0
+
+
+def test_words_end_at_ascii_white_space_alone(rows):
+    texts = [f"abc {c}" for c in ("\x85", "\u2028", "\u2029")] + [" a\x85 ", "\x0b\x1f \f"]
+    docs = rows([(i, t) for i, t in enumerate(texts)], "doc_id int, text string")
+    words = {i: re.findall(r"[^\x20\x09-\x0D]+", t) for i, t in enumerate(texts)}
+    got = docs.select("doc_id", mixing.word_count("text").alias("n"), quality.words_of(F.col("text")).alias("w")).collect()
+    assert {r.doc_id: (r.n, r.w) for r in got} == {i: (len(w), w) for i, w in words.items()}
+    pair = rows([(1, "abc \x85"), (2, "abc\x85")], "doc_id long, text string")
+    assert {r.n_links for r in near_dup.jaccard_classes(pair).collect()} == {0}
+
+
+def test_texts_of_null_ids_keep_their_own_spans(rows):
+    # both texts have the same checksum; only the second repeats passages of a third
+    a, b = (bytes.fromhex(h).decode() for h in ("706c756d6c657373", "6275636b65726f6f"))
+    assert zlib.crc32(a.encode()) == zlib.crc32(b.encode())
+    tail, passage = "".join(f"{i:03d}" for i in range(150)), LONG[:300]
+    docs = rows([(None, a + tail), (None, b + tail[::-1] + passage), (7, passage)], "doc_id long, text string")
+    got = {r.n_bytes: r.n_removed for r in repeats.without_repeats(docs).collect()}
+    assert got == {458: 0, 758: 300, 300: 300}
+
+
+def test_more_languages_than_are_kept(rows):
+    texts = [("en", "the cat and the dog")] * 3 + [("fr", "le chat et le chien")] * 2 + [(f"x{i}", "zzz") for i in range(20)]
+    model = language.fit(rows(texts, "lang string, text string"), most=2)
+    assert model.langs == ["en", "fr"]
+
+
+def test_out_of_place_distance(rows):
+    texts = {"en": "the cat and the dog sat on the mat", "fr": "le chat et le chien sont sur le tapis", "de": "der hund und die katze"}
+    size = 12
+    model = language.fit(rows(list(texts.items()), "lang string, text string"), size)
+
+    def top(text):
+        padded = [f" {w} " for w in re.findall(r"[^\W\d_]+", text.lower())]
+        counts = Counter(p[i : i + n] for p in padded for n in range(1, language.LONGEST + 1) for i in range(len(p) - n + 1) if p[i : i + n] != " ")
+        return sorted(counts, key=lambda g: (-counts[g], [ord(c) for c in g] + [0] * (4 - len(g))))[:size]
+
+    for asked in ("the dog", "le chien et la mat", "katze und cat", "xyz", "tapis"):
+        mine = top(asked)
+        apart = {lang: sum(abs(top(t).index(g) - i) if g in top(t) else size for i, g in enumerate(mine)) for lang, t in texts.items()}
+        best = min(apart, key=lambda lang: (apart[lang], lang))
+        assert model.predict(asked) == (best, pytest.approx(1 - apart[best] / (size * len(mine))))
+
+
 def test_repeated_words(docs):
     got = {r.doc_id: (r.n_words, r.n_repeat_words, r.base_failed) for r in quality.judge(docs).collect()}
     assert got[4] == (0, 0, True) and got[10] == (90, 90, True) and got[1][0] == 120
@@ -81,6 +141,58 @@ def test_pieces_agree_with_the_library():
         assert ours.decode(ours.encode(text)) == text.replace("▁", " ")
 
 
+def test_pieces_of_whole_tables(docs, rows, monkeypatch):
+    library = pytest.importorskip("sentencepiece").SentencePieceProcessor(model_file=pieces.MODEL)
+    monkeypatch.setattr(pieces, "TEXTS_AT_ONCE", 5)
+    got = sorted(((r.token_ids, r.n_tokens, r.text_crc32, r.round_trip) for r in pieces.round_trips(docs).collect()), key=repr)
+    want = [(library.encode(t or ""), len(library.encode(t or "")), zlib.crc32((t or "").encode()), True) for _, t in ROWS]
+    assert got == sorted(want, key=repr)
+    coded = pieces.encode(docs)
+    assert coded.columns == [*docs.columns, "token_ids"]
+    assert {r.text: r.token_ids for r in coded.collect()} == {t: None if t is None else library.encode(t) for _, t in ROWS}
+    assert {r.text: r.decoded for r in pieces.decode(coded).collect()} == {t: t for _, t in ROWS}
+    assert pieces.round_trips(docs.limit(0)).count() == pieces.encode(docs.limit(0)).count() == 0
+    marked = pieces.round_trips(rows([(1, "a ▁ b")], "doc_id int, text string")).first()
+    assert marked.token_ids == library.encode("a ▁ b")
+
+
+def test_the_path_table_forgets_and_goes_on():
+    with open(pieces.MODEL, "rb") as file:
+        transducer = pieces.PieceTransducer(file.read())
+    texts = [f"word{i} and {i * 7}" for i in range(50)]
+    table = pieces.PathTable(transducer, 10)
+    for at in range(0, 50, 5):
+        ids, begins, same = table.encode(texts[at : at + 5])
+        assert [ids[a:b].tolist() for a, b in zip(begins, begins[1:])] == [transducer.encode(t) for t in texts[at : at + 5]]
+        assert same.all() and len(table) <= 40
+
+
+def test_unigram_path_against_all_segmentations():
+    def field(number, data):
+        return bytes([number << 3 | 2, len(data)]) + data
+
+    def piece(text, score, kind=1):
+        return field(1, field(1, text.encode()) + b"\x15" + struct.pack("<f", score) + bytes([3 << 3, kind]))
+
+    weights = {"▁": -3.0, "a": -2.0, "b": -2.5, "ab": -3.9, "ba": -3.0, "aba": -5.5, "▁a": -3.5}
+    model = b"".join(piece(t, w) for t, w in weights.items()) + b"".join(piece(f"<0x{i:02X}>", 0.0, 6) for i in range(256))
+    model += field(2, bytes([3 << 3, 1, 0x98, 0x02, 1])) + field(3, bytes([3 << 3, 1, 4 << 3, 0, 5 << 3, 1]))
+    ours = pieces.PieceTransducer(model)
+    names = list(weights)
+
+    def least(text):
+        if not text:
+            return 0.0
+        return min((-weights[text[:n]] + least(text[n:]) for n in range(1, 4) if text[:n] in weights), default=float("inf"))
+
+    for n in range(1, 7):
+        for letters in itertools.product("ab", repeat=n):
+            text = "".join(letters)
+            found = [names[i] for i in ours.encode(text)]
+            assert "".join(found) == "▁" + text and -sum(weights[p] for p in found) == pytest.approx(least("▁" + text), abs=1e-5)
+    assert ours.decode(ours.encode("abé b")) == "abé b"
+
+
 def test_gram_counts_against_slices(monkeypatch):
     words = "a été été lazy o 漢字".split()
     want = Counter(p[i : i + n] for w in words for p in [f" {w} "] for n in range(1, 5)
