@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions.scalars import linear_scale, log_scale, sqrt_scale
 from millrace.operators.ordered import running_sum
+from millrace.session import freeze
 
 
 def pie_angles(slices: DataFrame, value: str, order: Sequence[Column]) -> DataFrame:
@@ -45,12 +46,23 @@ def stack_offsets(cells: DataFrame, x: str, series: str, y: str) -> DataFrame:
     return stacked.withColumn("y0", F.col("_upto") - F.col(y)).drop("_upto")
 
 
+def rollup_rows(df: DataFrame, keys: Sequence[str], rollup: Column) -> DataFrame:
+    """One row per combination of keys with the rolled-up value, the levels as columns."""
+    return df.groupBy(*keys).agg(rollup)
+
+
 def nest_rollup(df: DataFrame, keys: Sequence[str], rollup: Column) -> DataFrame:
-    """One row per combination of keys with the rolled-up value.
+    """Nested groups: rows ``key, values`` of the first key, ``values`` a list of the same for the next one, and so on.
 
-    The levels are columns, not nested lists, so that a large parent is not gathered into one row.
+    The lists are sorted by key, and the innermost ``values`` is the rolled-up value. It is made from the bottom up,
+    one aggregate a level, so a level gathers the entries of the one below and never rows; only the first level is
+    left as rows. An entry holds its whole subtree: where that is too large for a row, take ``rollup_rows``.
     """
-    return df.groupBy(*keys).agg(rollup)
+    nested = df.groupBy(*keys).agg(rollup.alias("values"))
+    for level in range(len(keys) - 1, 0, -1):
+        entry = F.struct(F.col(keys[level]).alias("key"), "values")
+        nested = nested.groupBy(*keys[:level]).agg(F.sort_array(F.collect_list(entry)).alias("values"))
+    return nested.select(F.col(keys[0]).alias("key"), "values")
 
 
 def hierarchy_values(df: DataFrame, levels: Sequence[str], value: str) -> DataFrame:
@@ -58,3 +70,27 @@ def hierarchy_values(df: DataFrame, levels: Sequence[str], value: str) -> DataFr
     totals = df.rollup(*levels).agg(F.sum(value).alias("value"), F.grouping_id().alias("_gid"))
     depth = F.lit(len(levels)) - F.bit_count("_gid")
     return totals.select(*levels, depth.cast("int").alias("depth"), "value")
+
+
+def hierarchy_from_links(nodes: DataFrame, id: str, parent: str, value: str) -> DataFrame:
+    """``id, parent, depth, value``: the depth of each node and the total of its subtree, from parent links.
+
+    Pointer doubling: after round k a node knows its ancestor 2**k steps up, and its total covers the nodes less than
+    2**k steps below. A round adds to each node the totals of those whose pointer is on it, and moves each pointer to
+    the pointer of its target, so a tree of depth d takes log2(d) rounds, whatever its shape. A parent that is no node
+    counts as none. Nodes whose chain of parents never ends, on a cycle or below one, have NULL depth and total.
+    """
+    known = nodes.select(F.col(id).alias("id"), F.col(parent).alias("parent"), F.coalesce(F.col(value), F.lit(0)).alias("total"))
+    ids = known.select(F.col("id").alias("up"))
+    state = freeze(known.join(ids, known.parent == ids.up, "left").withColumn("depth", F.col("up").isNotNull().cast("int")))
+    rounds, count = 0, state.count()
+    while not state.filter("up IS NOT NULL").isEmpty() and 1 << rounds <= 2 * count:
+        below = state.filter("up IS NOT NULL").groupBy(F.col("up").alias("id")).agg(F.sum("total").alias("more"))
+        above = state.select(F.col("id").alias("up"), F.col("up").alias("next"), F.col("depth").alias("steps"))
+        state = freeze(state.join(below, "id", "left").join(above, "up", "left").select(
+            "id", "parent", (F.col("total") + F.coalesce("more", F.lit(0))).alias("total"), F.col("next").alias("up"),
+            (F.col("depth") + F.coalesce("steps", F.lit(0))).alias("depth")))
+        rounds += 1
+    ended = F.col("up").isNull()
+    return state.select(F.col("id").alias(id), F.col("parent").alias(parent), F.when(ended, F.col("depth")).alias("depth"),
+                        F.when(ended, F.col("total")).alias("value"))

@@ -7,13 +7,12 @@ before joining, so a target with very many edges never yields its pairs.
 from __future__ import annotations
 
 from collections.abc import Mapping
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.operators.joins import salted_join
-from millrace.session import freeze
+from millrace.operators.joins import hot_keys, salted_join
+from millrace.session import freeze, scratch_name, scratch_path
 
 PROPS = "map<string,string>"
 NODES = f"id string, labels array<string>, name string, props {PROPS}"
@@ -138,18 +137,46 @@ def detach_delete(nodes: DataFrame, edges: DataFrame, where: Column) -> tuple[Da
 def traverse(edges: DataFrame, start: DataFrame, type: str, max_depth: int = 10) -> DataFrame:
     """Nodes reachable over outgoing edges of one type, each once, with its least depth.
 
-    Breadth-first: each round joins the edges with the newest ring only, and drops what was seen. The
-    rings are frozen, so the plan stays short and a lost executor does not redo earlier rounds.
+    Breadth-first. The edges are stored in buckets of their source, what was seen in buckets of its id, one partition
+    a ring. A round so reads both where they lie and moves only the newest ring and the nodes ahead of it. The source
+    of very many edges is salted by their count, and its bucket split as often.
     """
-    steps = freeze(edges.filter(F.col("type") == type).select("src", "dst").distinct())
-    ring = freeze(start.select("id").distinct())
-    rings = [ring]
-    for _ in range(max_depth):
-        seen = reduce(DataFrame.union, rings)
-        here = ring.withColumnRenamed("id", "src")
-        ahead = salted_join(steps, here, ["src"], "left_semi", F.col("dst")).select(F.col("dst").alias("id"))
-        ring = freeze(ahead.distinct().join(seen, "id", "left_anti"))
-        if ring.isEmpty():
-            break
-        rings.append(ring)
-    return reduce(DataFrame.union, [r.withColumn("depth", F.lit(d)) for d, r in enumerate(rings)])
+    spark = edges.sparkSession
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    typed = edges.filter(F.col("type") == type).select("src", "dst")
+    hot = spark.createDataFrame(hot_keys(typed, ["src"], buckets), "_hash long, _salts int")  # a few rows per task
+    salts = F.coalesce("_salts", F.lit(1))
+
+    def placed(df: DataFrame, id: str, salt: Column) -> DataFrame:
+        known = df.join(F.broadcast(hot), F.xxhash64(id) == F.col("_hash"), "left")
+        return known.withColumn("_salt", salt).withColumn("_place", F.xxhash64(id, "_salt"))
+
+    seen, steps = scratch_name("seen"), scratch_name("steps")
+    try:
+        (placed(typed.distinct(), "src", F.pmod(F.xxhash64("dst"), salts)).select("_place", "src", "dst")
+         .repartition(buckets, "_place").write.bucketBy(buckets, "_place").option("path", scratch_path(spark, "steps")).saveAsTable(steps))
+        path = scratch_path(spark, "seen")
+
+        def add(ring: DataFrame, depth: int) -> DataFrame:
+            """Store the ring and return it."""
+            (ring.repartition(buckets, "id").withColumn("depth", F.lit(depth)).write.mode("append").partitionBy("depth")
+             .bucketBy(buckets, "id").option("path", path).saveAsTable(seen))
+            return spark.table(seen).filter(F.col("depth") == depth).select("id")
+
+        ring = add(start.select("id").distinct(), 0)
+        for depth in range(1, max_depth + 1):
+            ring = add(_ahead(placed, salts, ring, spark.table(steps), spark.table(seen)), depth)
+            if ring.isEmpty():
+                break
+        return spark.read.schema("id string, depth int").parquet(path)
+    finally:
+        for name in (seen, steps):
+            spark.sql(f"DROP TABLE IF EXISTS {name}")  # the names; the files stay in the scratch folder
+
+
+def _ahead(placed, salts: Column, ring: DataFrame, steps: DataFrame, seen: DataFrame) -> DataFrame:
+    """The unseen nodes one step ahead of a ring."""
+    here = placed(ring, "id", F.explode(F.sequence(F.lit(0).cast("bigint"), salts.cast("bigint") - 1))).select("_place", "id")
+    # ``between``, because the buckets serve a join on the place alone; a second equal key would shuffle the edges
+    next_to = steps.join(here, (steps["_place"] == here["_place"]) & steps.src.between(here.id, here.id)).select(F.col("dst").alias("id"))
+    return next_to.distinct().join(seen.select("id"), "id", "left_anti")

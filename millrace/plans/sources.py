@@ -9,7 +9,7 @@ from millrace.operators.words import word_count
 from millrace.plans.registry import plan
 from millrace.plans.words import COUNTS, FRAGMENT_COUNTS
 from millrace.operators.words import fragment_word_count
-from millrace.session import scratch_name, scratch_path
+from millrace.session import freeze, scratch_name, scratch_path
 from millrace.sources import files, tables
 
 
@@ -24,6 +24,28 @@ def scan_whole_document(t):
     return t.documents.select("doc_id", files.joined_lines(F.col("text")).alias("body"))
 
 
+FILES = 8
+
+
+@plan(rf"""WITH whole AS (SELECT string_agg(replace(coalesce(text, ''), E'\n', ' '), ' ' ORDER BY doc_id) AS body FROM documents
+             GROUP BY doc_id % {FILES}),
+      cut AS (SELECT unnest(string_split_regex(body, '[.?!]')) AS sentence FROM whole)
+      SELECT sentence, count(*) AS n FROM cut GROUP BY sentence""")
+def scan_split_files(t):
+    """Sentences over line ends and split ends of a few long files, which are read in several splits each."""
+    texts = t.documents.select("doc_id", "text")
+    placed = texts.repartitionById(FILES, F.pmod("doc_id", F.lit(FILES)).cast("int")).sortWithinPartitions("doc_id")
+    path = files.write_lines(placed.select("text"), scratch_path(t.spark, "files"))
+    size = texts.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
+    setting, before = "spark.sql.files.maxPartitionBytes", t.spark.conf.get("spark.sql.files.maxPartitionBytes")
+    t.spark.conf.set(setting, str(max(size // FILES // 5, 1 << 14)))  # about five splits a file
+    try:
+        sentences = freeze(files.read_sentences(t.spark, path))
+    finally:
+        t.spark.conf.set(setting, before)
+    return sentences.groupBy("sentence").agg(F.count(F.lit(1)).alias("n"))
+
+
 CUSTOMER = "c_custkey BIGINT, c_name STRING, c_nationkey INT, c_acctbal DOUBLE, c_mktsegment STRING"
 
 
