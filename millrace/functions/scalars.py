@@ -15,14 +15,28 @@ ACCESS_LOG = (
 ACCESS_LOG_FIELDS = ["host", "identity", "user", "time", "request", "status", "size", "referer", "agent"]
 
 
-def access_log_fields(line: Column) -> list[Column]:
-    """Nine string columns; all NULL where the whole line does not match, NULL for an absent optional field."""
-    matched = line.rlike(ACCESS_LOG)
-    return [
-        F.when(matched, F.nullif(F.regexp_extract(line, ACCESS_LOG, i), F.lit("")) if i > 7
-               else F.regexp_extract(line, ACCESS_LOG, i)).alias(name)
-        for i, name in enumerate(ACCESS_LOG_FIELDS, start=1)
-    ]
+_MARK, _CUT = "\x02", "\x01"
+
+
+def access_log_parts(line: Column) -> Column:
+    """The nine fields of a line as an array, NULL where the whole line does not match: one match a line.
+
+    The match is written as its groups between control characters, and these are cut. A line that holds such a
+    character itself is matched group by group.
+    """
+    numbers = range(1, len(ACCESS_LOG_FIELDS) + 1)
+    written = F.regexp_replace(line, ACCESS_LOG, _MARK + _CUT.join(f"${i}" for i in numbers))
+    cut = F.when(F.startswith(written, F.lit(_MARK)), F.split(F.substring(written, 2, 1 << 30), _CUT))
+    apart = F.when(line.rlike(ACCESS_LOG), F.array(*[F.regexp_extract(line, ACCESS_LOG, i) for i in numbers]))
+    return F.when(line.contains(_MARK) | line.contains(_CUT), apart).otherwise(cut)
+
+
+def access_log_fields(parts: Column) -> list[Column]:
+    """Nine string columns of ``access_log_parts``; NULL for an absent optional field, all NULL without a match.
+
+    Pass a column of an earlier select, so that the match is made once.
+    """
+    return [(F.nullif(parts[i], F.lit("")) if i > 6 else parts[i]).alias(name) for i, name in enumerate(ACCESS_LOG_FIELDS)]
 
 
 def nonempty(value: Column) -> Column:

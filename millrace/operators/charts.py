@@ -83,14 +83,15 @@ def hierarchy_from_links(nodes: DataFrame, id: str, parent: str, value: str) ->
     known = nodes.select(F.col(id).alias("id"), F.col(parent).alias("parent"), F.coalesce(F.col(value), F.lit(0)).alias("total"))
     ids = known.select(F.col("id").alias("up"))
     state = freeze(known.join(ids, known.parent == ids.up, "left").withColumn("depth", F.col("up").isNotNull().cast("int")))
-    rounds, count = 0, state.count()
-    while not state.filter("up IS NOT NULL").isEmpty() and 1 << rounds <= 2 * count:
+    open_before, still_open = None, state.filter("up IS NOT NULL").count()
+    # A round that ends no chain has met the cycles: a longer chain that ends would hold nodes that end in this round.
+    while still_open and still_open != open_before:
         below = state.filter("up IS NOT NULL").groupBy(F.col("up").alias("id")).agg(F.sum("total").alias("more"))
         above = state.select(F.col("id").alias("up"), F.col("up").alias("next"), F.col("depth").alias("steps"))
         state = freeze(state.join(below, "id", "left").join(above, "up", "left").select(
             "id", "parent", (F.col("total") + F.coalesce("more", F.lit(0))).alias("total"), F.col("next").alias("up"),
             (F.col("depth") + F.coalesce("steps", F.lit(0))).alias("depth")))
-        rounds += 1
+        open_before, still_open = still_open, state.filter("up IS NOT NULL").count()
     ended = F.col("up").isNull()
     return state.select(F.col("id").alias(id), F.col("parent").alias(parent), F.when(ended, F.col("depth")).alias("depth"),
                         F.when(ended, F.col("total")).alias("value"))

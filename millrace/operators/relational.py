@@ -22,29 +22,42 @@ def two_level_counts(df: DataFrame, outer: str, inner: str) -> DataFrame:
     return per_pair.groupBy(outer).agg(F.max("n").alias("max_n"), F.min("n").alias("min_n"), F.avg("n").alias("avg_n"))
 
 
-def posting_lists(df: DataFrame, key: str, item: str, segment: int = 100_000) -> DataFrame:
-    """Per key, the comma-separated items in ascending order; repeated pairs stay repeated.
+def posting_blocks(df: DataFrame, key: str, item: str, block: int = 4096) -> DataFrame:
+    """``key, block, n, items``: the items of each key in ascending order, cut into numbered blocks of ``block`` items.
 
-    A list longer than ``segment`` items continues in the next segment, so the list of a very frequent
-    key is never built in one task. Equal pairs are combined before the shuffle and spread again here.
+    Repeated pairs stay repeated. A block is the most that a task builds, however many items a key has. Equal pairs
+    are combined before the shuffle and spread again here.
     """
     counts = df.groupBy(key, item).agg(F.count(F.lit(1)).alias("n"))
     placed = running_sum(counts, [key], [item], "n", "upto").withColumn("start", F.col("upto") - F.col("n"))
-    size = F.lit(segment)
+    size = F.lit(block)
 
-    def segment_of(position: Column) -> Column:
+    def block_of(position: Column) -> Column:
         return F.floor(position / size)
 
-    spread = placed.withColumn(
-        "segment", F.explode(F.sequence(segment_of(F.col("start")), segment_of(F.col("upto") - 1)))
-    )
+    spread = placed.withColumn("block", F.explode(F.sequence(block_of(F.col("start")), block_of(F.col("upto") - 1))))
     copies = (
-        F.least(F.col("upto"), (F.col("segment") + 1) * size) - F.greatest(F.col("start"), F.col("segment") * size)
+        F.least(F.col("upto"), (F.col("block") + 1) * size) - F.greatest(F.col("start"), F.col("block") * size)
     ).cast("int")
-    parts = spread.select(key, "segment", F.struct(F.col(item).alias("item"), copies.alias("copies")).alias("part"))
-    collected = parts.groupBy(key, "segment").agg(F.sort_array(F.collect_list("part")).alias("parts"))
-    items = F.flatten(F.transform("parts", lambda p: F.array_repeat(p["item"].cast("string"), p["copies"])))
-    return collected.select(key, "segment", F.array_join(items, ",").alias("items"))
+    parts = spread.select(key, "block", F.struct(F.col(item).alias("item"), copies.alias("copies")).alias("part"))
+    collected = parts.groupBy(key, "block").agg(F.sort_array(F.collect_list("part")).alias("parts"))
+    items = F.flatten(F.transform("parts", lambda p: F.array_repeat(p["item"], p["copies"])))
+    return collected.select(key, "block", items.alias("items")).select(key, "block", F.size("items").alias("n"), "items")
+
+
+def posting_directory(blocks: DataFrame, key: str) -> DataFrame:
+    """One row per key over its posting blocks: ``n`` items, ``blocks``, the first and the last item."""
+    return blocks.groupBy(key).agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("blocks"),
+                                   F.min(F.element_at("items", 1)).alias("first"), F.max(F.element_at("items", -1)).alias("last"))
+
+
+def posting_lists(blocks: DataFrame, key: str) -> DataFrame:
+    """One row per key with its whole list, comma-separated, put together from its blocks in order.
+
+    A list that is too large for one cell is read by its blocks, which the directory counts.
+    """
+    parts = F.array_sort(F.collect_list(F.struct("block", F.array_join(F.col("items").cast("array<string>"), ",").alias("said"))))
+    return blocks.groupBy(key).agg(F.array_join(F.transform(parts, lambda p: p["said"]), ",").alias("items"))
 
 
 def count_elements(df: DataFrame, element: str, name: str = "number") -> DataFrame:

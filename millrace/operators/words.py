@@ -93,6 +93,13 @@ def adjacent_pairs(token_rows: DataFrame, doc: str) -> DataFrame:
     return ahead.filter(F.col("w2").isNotNull()).select(doc, "pos", F.col("token").alias("w1"), "w2")
 
 
+def adjacent_pairs_of(df: DataFrame, doc: str, text: str, tokenizer: Callable[[Column], Column] = tk.alnum_tokens) -> DataFrame:
+    """``adjacent_pairs`` from the documents themselves: the pairs of a document are inside one array, nothing moves."""
+    tokens = df.select(F.col(doc), tokenizer(F.col(text)).alias("tokens"))
+    each = tokens.select(doc, F.posexplode(tk.neighbours(F.col("tokens"))).alias("pos", "pair"))
+    return each.select(doc, "pos", "pair.w1", "pair.w2")
+
+
 def conditional_frequency(df: DataFrame, condition: str, tokens: Column, samples: Sequence[str]) -> DataFrame:
     """A condition x sample table of token counts, 0 where a sample is absent.
 

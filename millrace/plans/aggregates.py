@@ -8,6 +8,7 @@ from millrace.operators import relational as rel
 from millrace.operators.words import tokens_of, word_count
 from millrace.plans.filters import LENGTHS, requests
 from millrace.plans.registry import plan
+from millrace.session import freeze
 from millrace.plans.words import DOC_ALNUM
 
 
@@ -97,12 +98,20 @@ def filter_expr_string_sql(t):
     return t.spark.sql("SELECT * FROM {counted} WHERE count = 5", counted=counted)
 
 
-@plan("""SELECT l_partkey, segment, string_agg(CAST(l_orderkey AS VARCHAR), ',' ORDER BY l_orderkey) AS items
-      FROM (SELECT l_partkey, l_orderkey,
-                   (row_number() OVER (PARTITION BY l_partkey ORDER BY l_orderkey) - 1) // 100000 AS segment FROM lineitem)
-      GROUP BY l_partkey, segment""")
+@plan("""SELECT l_partkey, string_agg(CAST(l_orderkey AS VARCHAR), ',' ORDER BY l_orderkey) AS items FROM lineitem GROUP BY l_partkey""")
 def group_concat_inverted_index(t):
-    return rel.posting_lists(t.lineitem, "l_partkey", "l_orderkey")
+    return rel.posting_lists(rel.posting_blocks(t.lineitem, "l_partkey", "l_orderkey"), "l_partkey")
+
+
+@plan("""SELECT l_partkey, count(*) AS n, (count(*) + 6) // 7 AS blocks, min(l_orderkey) AS first, max(l_orderkey) AS last,
+             CAST(sum(l_orderkey * (nth % 7 + 1)) AS BIGINT) AS places
+      FROM (SELECT *, row_number() OVER (PARTITION BY l_partkey ORDER BY l_orderkey) - 1 AS nth FROM lineitem) GROUP BY l_partkey""")
+def inverted_index_directory(t):
+    """One row per key over blocks of seven items; ``places`` sums the items by their place in their block."""
+    blocks = freeze(rel.posting_blocks(t.lineitem, "l_partkey", "l_orderkey", block=7))
+    placed = F.aggregate(F.transform("items", lambda x, i: x * (i + 1)), F.lit(0).cast("bigint"), lambda a, x: a + x)
+    sums = blocks.groupBy("l_partkey").agg(F.sum(placed).alias("places"))
+    return rel.posting_directory(blocks, "l_partkey").join(sums, "l_partkey").select("l_partkey", "n", "blocks", "first", "last", "places")
 
 
 @plan("SELECT event_type, count(*) AS number FROM events WHERE event_type <> '' GROUP BY event_type")

@@ -18,11 +18,10 @@ def order_by_limit(t):
     return rank_top(rows, order, 20)
 
 
-@plan()
+@plan("SELECT o_orderkey, o_custkey, o_totalprice FROM orders")
 def sort_within_partitions(t):
-    """Sorted inside each partition only, as SORT BY does; the order of partitions carries no meaning."""
-    rows = t.orders.select("o_orderkey", "o_custkey", "o_totalprice")
-    return rows.repartition("o_custkey").sortWithinPartitions(F.desc("o_totalprice"))
+    """Sorted inside each partition only, as SORT BY does: no row moves, and the order of partitions carries no meaning."""
+    return t.orders.select("o_orderkey", "o_custkey", "o_totalprice").sortWithinPartitions(F.desc("o_totalprice"))
 
 
 @plan()
@@ -30,6 +29,14 @@ def limit_unordered(t):
     return t.customer.select("c_custkey", "c_name").limit(10)
 
 
+@plan("SELECT least(count(*), 10) AS n, least(count(*), 10) AS known FROM customer")
+def limit_unordered_rows(t):
+    """Which rows a bare limit keeps is open, but not how many, nor that they are rows of the table."""
+    some = limit_unordered(t)
+    found = some.join(t.customer.select("c_custkey", "c_name"), ["c_custkey", "c_name"], "left_semi")
+    return some.agg(F.count(F.lit(1)).alias("n")).withColumn("known", found.agg(F.count(F.lit(1))).scalar())
+
+
 @plan("""SELECT CASE WHEN user_id > 0 THEN user_id % 8 ELSE 0 END AS partition, count(*) AS n,
              count(DISTINCT user_id) AS keys FROM events GROUP BY 1""")
 def partition_route(t):

@@ -139,11 +139,20 @@ def filter_token_equals(t):
     return w.pairs_with(w.bigram_count(t.texts("text"), "text"), "with")
 
 
-@plan(f"""
+PAIRS = f"""
     WITH t AS (SELECT doc_id, {DOC_ALNUM} AS tk FROM documents),
          p AS (SELECT doc_id, tk, unnest(range(1, len(tk))) AS i FROM t WHERE len(tk) > 1)
-    SELECT doc_id, CAST(i - 1 AS INTEGER) AS pos, tk[i] AS w1, tk[i + 1] AS w2 FROM p""")
+    SELECT doc_id, CAST(i - 1 AS INTEGER) AS pos, tk[i] AS w1, tk[i + 1] AS w2 FROM p"""
+
+
+@plan(PAIRS)
 def adjacent_pairs(t):
+    return w.adjacent_pairs_of(t.texts("doc_id", "text"), "doc_id", "text")
+
+
+@plan(PAIRS)
+def adjacent_pairs_of_rows(t):
+    """The same from the corpus form, one row per token."""
     return w.adjacent_pairs(w.token_table(t.texts("doc_id", "text"), "doc_id", "text"), "doc_id")
 
 

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from millrace.functions.scalars import access_log_fields
+from millrace.functions.scalars import access_log_fields, access_log_parts
 from millrace.session import freeze
 
 
@@ -111,7 +111,8 @@ def read_csv_without(spark: SparkSession, path: str, schema: str, drop: Sequence
 
 def read_access_log(spark: SparkSession, *paths: str) -> DataFrame:
     """Nine string columns per line; a line that does not match counts as a row of NULLs."""
-    return read_lines(spark, *paths).select(*access_log_fields(F.col("value")))
+    parts = read_lines(spark, *paths).select(access_log_parts(F.col("value")).alias("parts"))
+    return parts.select(*access_log_fields(F.col("parts")))
 
 
 def write_lines(df: DataFrame, path: str, sep: str = "\t") -> str:

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from millrace.operators import ordered as o
 from millrace.operators.keyed import newest_per_key
-from millrace.operators.relational import posting_lists
+from millrace.operators.relational import posting_blocks, posting_directory, posting_lists
 
 
 def skewed(n=3000, seed=7):
@@ -96,17 +96,28 @@ def test_next_in_group_crosses_blocks(rows, block):
     assert listed(got.select("k", "pos", "after")) == sorted(expected, key=repr)
 
 
-@pytest.mark.parametrize("segment", [1, 4, 7, 100_000])
-def test_posting_lists_in_segments(rows, segment):
+@pytest.mark.parametrize("block", [1, 4, 7, 100_000])
+def test_posting_blocks(rows, block):
     rng = random.Random(3)
     pairs = [("hot" if rng.random() < 0.5 else f"k{rng.randrange(5)}", rng.randrange(12)) for _ in range(300)]
-    got = posting_lists(rows(pairs, "cited string, citing int"), "cited", "citing", segment=segment)
+    blocks = posting_blocks(rows(pairs, "cited string, citing int"), "cited", "citing", block)
     lists = defaultdict(list)
     for cited, citing in sorted(pairs):
-        lists[cited].append(str(citing))
-    expected = [(c, i // segment, ",".join(items[i:i + segment])) for c, items in lists.items()
-                for i in range(0, len(items), segment)]
-    assert listed(got) == sorted(expected, key=repr)
+        lists[cited].append(citing)
+    expected = [(c, i // block, len(items[i:i + block]), items[i:i + block]) for c, items in lists.items() for i in range(0, len(items), block)]
+    assert listed(blocks) == sorted(expected, key=repr)
+    assert listed(posting_lists(blocks, "cited")) == sorted(((c, ",".join(map(str, items))) for c, items in lists.items()), key=repr)
+    directory = [(c, len(items), -(-len(items) // block), items[0], items[-1]) for c, items in lists.items()]
+    assert listed(posting_directory(blocks, "cited")) == sorted(directory, key=repr)
+
+
+def test_sort_within_partitions_sorts_each(spark):
+    """Rows stay in their partition, and each partition is in order."""
+    rows = spark.range(5000).selectExpr("id", "hash(id) AS v").repartition(6).sortWithinPartitions(F.desc("v"))
+    by_part = defaultdict(list)
+    for r in rows.withColumn("part", F.spark_partition_id()).collect():
+        by_part[r.part].append(r.v)
+    assert len(by_part) == 6 and all(v == sorted(v, reverse=True) for v in by_part.values()) and sum(map(len, by_part.values())) == 5000
 
 
 def test_newest_per_key(rows):

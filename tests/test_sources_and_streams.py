@@ -39,8 +39,12 @@ def test_header_csv_with_quotes(spark, tmp_path):
 def test_access_log(spark, tmp_path):
     full = '1.2.3.4 - bob [10/Oct/2000:13:55:36 -0700] "GET /x HTTP/1.0" 200 2326 "http://r" "agent x"'
     short = '5.6.7.8 - - [10/Oct/2000:13:55:36 -0700] "GET /y HTTP/1.0" 404 -'
+    odd = ["\x02" + short, "\x02a\x01b", "a\x01b - - [x] \"q\" 200 1", "", "\x02"]
     (tmp_path / "log").write_text("\n".join([full, short, "not a log line"]))
-    rows = files.read_access_log(spark, str(tmp_path)).orderBy(F.col("host").asc_nulls_last()).collect()
+    (tmp_path / "odd").write_text("\n".join(odd))
+    got = files.read_access_log(spark, str(tmp_path / "odd")).collect()
+    assert len(got) == 5 and {r.host for r in got} == {"\x025.6.7.8", "a\x01b", None}
+    rows = files.read_access_log(spark, str(tmp_path / "log")).orderBy(F.col("host").asc_nulls_last()).collect()
     assert tuple(rows[0])[:3] == ("1.2.3.4", "-", "bob") and rows[0]["agent"] == '"agent x"'
     assert rows[1]["status"] == "404" and rows[1]["referer"] is None and rows[1]["size"] == "-"
     assert set(rows[2]) == {None}

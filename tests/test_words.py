@@ -69,6 +69,7 @@ def test_bigrams_of_one_token_are_none(rows):
 def test_adjacent_pairs_equal_the_array_form(rows):
     docs = rows([(1, "a b a b c"), (2, "solo"), (3, "x y")], "doc int, text string")
     pairs = w.adjacent_pairs(w.token_table(docs, "doc", "text"), "doc").select("w1", "w2")
+    assert listed(w.adjacent_pairs(w.token_table(docs, "doc", "text"), "doc")) == listed(w.adjacent_pairs_of(docs, "doc", "text"))
     one_unit = docs.select(F.inline(tk.neighbours(F.split("text", " "))))
     assert listed(pairs) == listed(one_unit)
 
