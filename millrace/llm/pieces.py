@@ -289,14 +289,16 @@ def shipped(docs: DataFrame, model: str):
         return docs.sparkSession.sparkContext.broadcast(file.read())
 
 
-def encode(docs: DataFrame, text: str = "text", ids: str = "token_ids", model: str = MODEL) -> DataFrame:
+def encode(docs: DataFrame, text: str = "text", ids: str = "token_ids", model: str = MODEL, decodes: str | None = None) -> DataFrame:
     """``docs`` with the piece ids of ``text`` in the new array column ``ids``.
 
-    A null text has null ids, an empty text none; every row is encoded whole and for itself, so repeated rows and
-    empty tables need no rule. An existing column ``ids`` is replaced.
+    A null text has null ids, an empty text none; every row is encoded whole and for itself, so repeated rows, very
+    long texts and empty tables need no rule. An existing column ``ids`` is replaced. ``decodes`` names a further
+    column that tells whether the ids decode to the text again, as in ``round_trips``.
     """
-    names = [c for c in docs.columns if c != ids]
-    schema = T.StructType([docs.schema[c] for c in names] + [T.StructField(ids, T.ArrayType(T.IntegerType(), False))])
+    added = [T.StructField(ids, T.ArrayType(T.IntegerType(), False))] + [T.StructField(decodes, T.BooleanType())] * bool(decodes)
+    names = [c for c in docs.columns if c not in (ids, decodes)]
+    schema = T.StructType([docs.schema[c] for c in names] + added)
     shared = shipped(docs, model)
 
     def run(batches):
@@ -304,10 +306,11 @@ def encode(docs: DataFrame, text: str = "text", ids: str = "token_ids", model: s
         for batch in batches:
             for at in range(0, batch.num_rows, TEXTS_AT_ONCE):
                 part = batch.slice(at, TEXTS_AT_ONCE)
-                found, begins, _ = table.encode(part.column(text).to_pylist())
+                found, begins, same = table.encode(part.column(text).to_pylist())
                 none = np.append(np.asarray(part.column(text).is_null()), False)
                 lists = pa.ListArray.from_arrays(pa.array(begins, pa.int32(), mask=none), pa.array(found))
-                yield pa.RecordBatch.from_arrays([*part.columns, lists], [*names, ids])
+                told = [lists, pa.array(same)][: len(added)]
+                yield pa.RecordBatch.from_arrays([*part.columns, *told], schema.names)
 
     return docs.select(*names).mapInArrow(run, schema)
 
