@@ -22,29 +22,37 @@ from millrace.llm import (  # noqa: F401
 from millrace.llm.base import QUERIES, query, read
 from millrace.session import freeze
 
-#: The last stage's encoding has no SQL; ``tests/llm`` holds the stages against brute force.
+#: The near-copy groups and the encoding have no SQL; ``tests/llm/test_pipeline.py`` holds every stage and the whole
+#: run against brute force.
 ORACLE_SQL = None
 
+# Every stage takes nulls in any column, empty and very long texts, repeated rows and empty tables; what each gives for
+# them is said at the operator that it calls. Columns beside those of ``documents`` stay, whatever they are called.
+
 
 def good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents that the quality rules keep; null and empty texts go."""
     return quality.keep_good(docs)
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of equal texts: that with the smallest id, a null id only where there is no other."""
     return exact_dedup.drop_exact_copies(docs)
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies."""
     return near_dup.drop_near_copies(docs)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents as often as their source's target weight takes them; null is a source of its own."""
     return mixing.repeat(docs)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """``doc_id, source, lang, token_ids`` of every copy that the mix took."""
-    return pieces.encode(docs.select("doc_id", "source", "lang", "text")).drop("text")
+    """``doc_id, source, lang, token_ids, decodes`` of every copy that the mix took; the ids are decoded again to tell."""
+    return pieces.encode(docs.select("doc_id", "source", "lang", "text"), decodes="decodes").drop("text")
 
 
 STAGES = [("quality", good), ("exact", exact), ("near", near), ("mix", mix), ("encode", encode)]
