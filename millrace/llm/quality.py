@@ -14,9 +14,9 @@ LEAST_WORDS = 50
 MOST_REPEATED = 50
 
 CAPITALS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
-#: The statistics of the vector, and the smallest spread that counts in each: a statistic that is almost constant
-#: in a group must not make a document an outlier for a step smaller than this.
-VECTOR = {"t_length": 0.5, "t_word": 0.1, "t_symbols": 0.1, "t_lines": 0.15, "t_repeats": 0.1, "t_capitals": 0.1}
+#: The statistics of the vector, and the step at which each is measured: about what one word, symbol or line more makes
+#: of a document at the limit of the base rules. It stands in for the spread where a direction of a group has none.
+VECTOR = {"t_length": 0.3, "t_word": 0.08, "t_symbols": 0.08, "t_lines": 0.08, "t_repeats": 0.08, "t_capitals": 0.08}
 
 
 def words_of(text: Column) -> Column:
@@ -117,7 +117,10 @@ def fit_groups(rows: DataFrame, lang: str, source: str, least: int) -> DataFrame
 
 
 def spread_of(rows: DataFrame) -> DataFrame:
-    """Mean and Cholesky factor of each group's covariance, floored by ``VECTOR``; one row per group."""
+    """Mean and Cholesky factor of each group's covariance; one row per group.
+
+    Only a pivot below its step, a direction in which the group hardly varies, is replaced by it.
+    """
     names = list(VECTOR)
     sums = [F.avg(a).alias(f"m_{a}") for a in names] + [
         F.avg(F.col(a) * F.col(b)).alias(f"p_{i}_{j}") for i, a in enumerate(names) for j, b in enumerate(names[: i + 1])]
@@ -125,12 +128,9 @@ def spread_of(rows: DataFrame) -> DataFrame:
     for i, a in enumerate(names):
         for j, b in enumerate(names[: i + 1]):
             covariance = F.col(f"p_{i}_{j}") - F.col(f"m_{a}") * F.col(f"m_{b}")
-            if i == j:
-                covariance = F.greatest(covariance, F.lit(0.0)) + VECTOR[a] ** 2
             for k in range(j):
                 covariance = covariance - F.col(f"l_{i}_{k}") * F.col(f"l_{j}_{k}")
-            # the floor on the diagonal is the least the pivot can be
-            entry = F.sqrt(F.greatest(covariance, F.lit(VECTOR[a] ** 2 / 4))) if i == j else covariance / F.col(f"l_{j}_{j}")
+            entry = F.sqrt(F.greatest(covariance, F.lit(VECTOR[a] ** 2))) if i == j else covariance / F.col(f"l_{j}_{j}")
             fitted = fitted.withColumn(f"l_{i}_{j}", entry)
     return fitted.select("fit_group", "n_fit", *[f"m_{a}" for a in names],
                          *[f"l_{i}_{j}" for i in range(len(names)) for j in range(i + 1)])
@@ -156,14 +156,24 @@ def named(spreads: DataFrame) -> DataFrame:
 CHI2_MEDIAN = 5.348
 
 
-def mcd(rows: DataFrame, least: int = 60, share: float = 0.75, steps: int = 4) -> DataFrame:
+def still_falling(before: DataFrame, after: DataFrame, least: float) -> bool:
+    """Whether some group's log-determinant fell by more than ``least``; both have one row per group."""
+    log_det = sum((F.log(f"l_{i}_{i}") for i in range(1, len(VECTOR))), F.log("l_0_0"))
+    a = before.select("__group", log_det.alias("was"))
+    b = after.select(F.col("__group").alias("g2"), log_det.alias("now"))
+    fall = a.join(b, F.col("__group").eqNullSafe(F.col("g2"))).agg(F.max(F.col("was") - F.col("now"))).first()[0]
+    return fall is not None and fall > least
+
+
+def mcd(rows: DataFrame, least: int = 60, share: float = 0.75, steps: int = 15) -> DataFrame:
     """Add ``distance2`` to ``rows`` (with ``fit_group`` and the vector): robust squared Mahalanobis distances.
 
     Concentration steps: start from the rows nearest to the group's medians in units of its median deviations; then
-    ``steps`` times take mean and covariance of the ``share`` of the group's rows that are nearest, by the distances
-    under the estimate before, which can only lower the determinant. Distances are scaled so that their median is the
-    chi-square median. Rows that failed the base rules are judged but never fitted. Each step reads the statistics
-    twice and moves one row per group and task; nothing of a group is gathered.
+    take mean and covariance of the ``share`` of the group's rows that are nearest, by the distances under the estimate
+    before, which can only lower the determinant, until no group's determinant falls by a thousandth (or ``steps``
+    times). Distances are scaled so that their median is at most the chi-square median. Rows that failed the base rules
+    are judged but never fitted. Each step reads the statistics twice and moves one row per group and task; nothing of
+    a group is gathered.
     """
     names = list(VECTOR)
     good = rows.where(~F.col("base_failed"))
@@ -176,12 +186,15 @@ def mcd(rows: DataFrame, least: int = 60, share: float = 0.75, steps: int = 4) -
     started = good.join(deviations, F.col("fit_group").eqNullSafe(F.col("__group")))
     first = sum(((F.col(a) - F.col(f"c_{a}")) / F.greatest(F.col(f"w_{a}"), F.lit(VECTOR[a]))) ** 2 for a in names)
     near = started.select(*rows.columns, first.alias("d2"))
+    spreads = None
     for _ in range(steps):
         cut = freeze(near.groupBy("fit_group").agg(F.percentile_approx("d2", share, 1000).alias("cut"))
                      .withColumnRenamed("fit_group", "__group"))
         inner = near.join(cut, F.col("fit_group").eqNullSafe(F.col("__group"))).where("d2 <= cut")
-        spreads = freeze(named(spread_of(inner)))
+        before, spreads = spreads, freeze(named(spread_of(inner)))
         near = distanced(good, spreads).select(*rows.columns, "d2")
+        if before is not None and not still_falling(before, spreads, 0.001):
+            break
     scale = freeze(near.groupBy("fit_group").agg(
         (F.percentile_approx("d2", 0.5, 1000) / CHI2_MEDIAN).alias("scale"), F.count("*").alias("n_good"))
         .withColumnsRenamed({"fit_group": "g2"}))
@@ -198,9 +211,10 @@ def judge(docs: DataFrame, text: str = "text", lang: str = "lang", source: str =
           least: int = 60) -> DataFrame:
     """``docs`` without the text, with the base statistics, ``base_failed``, ``distance2`` and ``kept``.
 
-    A null text has no words and fails the base rules. Repeated rows are judged alike. Where a group, its language
-    and the rest together have fewer than ``least`` rows, there is no estimate: ``distance2`` is null and the base
-    rules decide alone. An empty table gives no rows.
+    A null text has no words and fails the base rules. Repeated rows and ties are judged alike, a very long text is read
+    whole, null is a language and a source of its own. Where a group, its language and the rest together have fewer
+    than ``least`` rows, there is no estimate: ``distance2`` is null and the base rules decide alone. An empty table
+    gives no rows. Columns of ``docs`` must not be called like those added.
     """
     rows = statistics(docs, text).withColumn("base_failed", base_failed())
     rows = freeze(rows)
