@@ -203,6 +203,10 @@ def mcd(rows: DataFrame, least: int = 60, share: float = 0.75, steps: int = 15)
     return judged.select(*rows.columns, F.when(enough, F.col("d2") / F.greatest(F.col("scale"), F.lit(1.0))).alias("distance2"))
 
 
+#: Columns that ``judge`` makes on its way.
+ADDED = (*VECTOR, "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_capitals", "base_failed",
+         "fit_lang", "fit_source", "fit_group", "n_fit", "n_good", "scale", "cut", "g2", "d2", "distance2", "kept")
+
 #: Squared distance beyond which a document is rejected: the chi-square quantile that one in 100,000 exceeds.
 CUT = 33.1
 
@@ -214,8 +218,9 @@ def judge(docs: DataFrame, text: str = "text", lang: str = "lang", source: str =
     A null text has no words and fails the base rules. Repeated rows and ties are judged alike, a very long text is read
     whole, null is a language and a source of its own. Where a group, its language and the rest together have fewer
     than ``least`` rows, there is no estimate: ``distance2`` is null and the base rules decide alone. An empty table
-    gives no rows. Columns of ``docs`` must not be called like those added.
+    gives no rows. Of columns that are called like one that is added, the added one stays.
     """
+    docs = docs.drop(*[c for c in ADDED if c not in (text, lang, source)])
     rows = statistics(docs, text).withColumn("base_failed", base_failed())
     rows = freeze(rows)
     grouped = freeze(fit_groups(rows, lang, source, least))

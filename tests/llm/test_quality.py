@@ -36,7 +36,7 @@ def table():
 
 @pytest.fixture(scope="module")
 def judged(spark, table):
-    docs = spark.createDataFrame(table, SCHEMA).selectExpr("*", "'clash' AS distance2", "0 AS d2", "'x' AS fit_group").drop("distance2", "d2", "fit_group")
+    docs = spark.createDataFrame(table, SCHEMA).selectExpr("*", *[f"'clash' AS {c}" for c in quality.ADDED], "7 AS other")
     return [r.asDict() for r in quality.judge(docs).collect()]
 
 
