@@ -24,6 +24,17 @@ def ml_category_index(t):
 @plan(f"""WITH {INDEXED} SELECT p_partkey, CAST(nb + nc AS INTEGER) AS size, CAST(b AS INTEGER) AS first_one, CAST(nb + c AS INTEGER) AS second_one,
       CAST(2 AS DOUBLE) AS ones FROM indexed""")
 def ml_one_hot(t):
+    """Both categories as sparse columns of 0 and 1 side by side: the places of the ones, never the zeros."""
+    coded = ml.code_columns(t.part.select("p_partkey", "p_brand", "p_type"), ["p_brand", "p_type"], [])
+    ones = F.aggregate("x", F.lit(0.0), lambda total, c: total + c["x"])
+    return coded.rows.select("p_partkey", F.lit(coded.width).cast("int").alias("size"), F.col("x")[0]["i"].cast("int").alias("first_one"),
+                             F.col("x")[1]["i"].cast("int").alias("second_one"), ones.alias("ones"))
+
+
+@plan(f"""WITH {INDEXED} SELECT p_partkey, CAST(nb + nc AS INTEGER) AS size, CAST(b AS INTEGER) AS first_one, CAST(nb + c AS INTEGER) AS second_one,
+      CAST(2 AS DOUBLE) AS ones FROM indexed""")
+def ml_one_hot_vectors(t):
+    """The same as assembled vectors, expanded here so that every cell is looked at."""
     encoded, _ = ml.one_hot(t.part, ["p_brand", "p_type"])
     vector = ml.assemble(encoded, ["p_brand_vec", "p_type_vec"], "hot")
     cells = vector.select("p_partkey", vector_to_array("hot").alias("a"))
