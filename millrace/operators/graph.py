@@ -11,7 +11,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.operators.joins import hot_keys, salted_join
+from millrace.operators.joins import HotKeys, hot_keys, salted_join
 from millrace.session import freeze, scratch_name, scratch_path
 
 PROPS = "map<string,string>"
@@ -89,14 +89,15 @@ def triples(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     return edges.join(end("src", "src"), "src").join(end("dst", "dst"), "dst")
 
 
-def _between(nodes: DataFrame, edges: DataFrame, src_label: str, type: str, dst_label: str) -> DataFrame:
-    """Edges of one type between nodes of the given labels, as (src, dst, n): parallel edges are counted."""
-    of_type = edges.filter(F.col("type") == type)
+def _between(nodes: DataFrame, edges: DataFrame, src_label: str, type: str, dst_label: str) -> tuple[DataFrame, HotKeys]:
+    """Edges of one type between nodes of the given labels, as (src, dst, n): parallel edges are counted. And the hot targets."""
+    of_type = edges.filter(F.col("type") == type).select("src", "dst")
+    hot_src, hot_dst = hot_keys(of_type, ["src"], ["dst"])
     typed = of_type.groupBy("src", "dst").agg(F.count(F.lit(1)).alias("n"))
     from_src = ids_with(nodes, src_label).withColumnRenamed("id", "src")
     to_dst = ids_with(nodes, dst_label).withColumnRenamed("id", "dst")
-    kept = salted_join(typed, from_src, ["src"], "left_semi", F.col("dst"), measured=of_type)
-    return salted_join(kept, to_dst, ["dst"], "left_semi", F.col("src"), measured=of_type)
+    kept = salted_join(typed, from_src, ["src"], "left_semi", F.col("dst"), hot_src)
+    return salted_join(kept, to_dst, ["dst"], "left_semi", F.col("src"), hot_dst), hot_dst
 
 
 def _named(nodes: DataFrame, label: str, found: DataFrame) -> DataFrame:
@@ -110,27 +111,28 @@ def co_actors(nodes: DataFrame, edges: DataFrame, label: str, type: str, target:
     The two edges must differ, the two nodes need not: a target with two or more such edges qualifies
     all its sources.
     """
-    acting = freeze(_between(nodes, edges, label, type, target))  # read twice
+    acting, hot = _between(nodes, edges, label, type, target)
+    acting = freeze(acting)  # read twice
     shared = acting.groupBy("dst").agg(F.sum("n").alias("edges")).filter("edges > 1").select("dst")
-    found = salted_join(acting, shared, ["dst"], "left_semi", F.col("src")).select(F.col("src").alias("id")).distinct()
+    found = salted_join(acting, shared, ["dst"], "left_semi", F.col("src"), hot).select(F.col("src").alias("id")).distinct()
     return _named(nodes, label, found)
 
 
 def directors_of_cast(nodes: DataFrame, edges: DataFrame, director: tuple[str, str], actor: tuple[str, str],
                       target: str) -> DataFrame:
     """(d:director)-[:type]->(m:target)<-[:type]-(:actor), distinct d; each pair is (label, edge type)."""
-    directing = _between(nodes, edges, director[0], director[1], target)
-    cast = _between(nodes, edges, actor[0], actor[1], target).select("dst").distinct()
-    measured = edges.filter(F.col("type") == director[1])
-    found = salted_join(directing, cast, ["dst"], "left_semi", F.col("src"), measured=measured).select(F.col("src").alias("id")).distinct()
+    directing, hot = _between(nodes, edges, director[0], director[1], target)
+    cast = _between(nodes, edges, actor[0], actor[1], target)[0].select("dst").distinct()
+    found = salted_join(directing, cast, ["dst"], "left_semi", F.col("src"), hot).select(F.col("src").alias("id")).distinct()
     return _named(nodes, director[0], found)
 
 
 def detach_delete(nodes: DataFrame, edges: DataFrame, where: Column) -> tuple[DataFrame, DataFrame]:
     """Delete the matching nodes and every edge that touches one."""
     doomed = nodes.filter(where).select("id")
-    kept_edges = salted_join(edges, doomed.withColumnRenamed("id", "src"), ["src"], "left_anti", F.col("dst"))
-    kept_edges = salted_join(kept_edges, doomed.withColumnRenamed("id", "dst"), ["dst"], "left_anti", F.col("src"), measured=edges)
+    hot_src, hot_dst = hot_keys(edges, ["src"], ["dst"])
+    kept_edges = salted_join(edges, doomed.withColumnRenamed("id", "src"), ["src"], "left_anti", F.col("dst"), hot_src)
+    kept_edges = salted_join(kept_edges, doomed.withColumnRenamed("id", "dst"), ["dst"], "left_anti", F.col("src"), hot_dst)
     return nodes.filter(~F.coalesce(where, F.lit(False))), kept_edges.select("src", "dst", "type", "props")
 
 
@@ -144,7 +146,7 @@ def traverse(edges: DataFrame, start: DataFrame, type: str, max_depth: int = 10)
     spark = edges.sparkSession
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     typed = edges.filter(F.col("type") == type).select("src", "dst")
-    hot = spark.createDataFrame(hot_keys(typed, ["src"], buckets), "_hash long, _salts int")  # a few rows per task
+    hot = spark.createDataFrame(hot_keys(typed, ["src"])[0], "_hash long, _salts int")  # a few rows per task
     salts = F.coalesce("_salts", F.lit(1))
 
     def placed(df: DataFrame, id: str, salt: Column) -> DataFrame:

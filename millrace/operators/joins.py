@@ -20,31 +20,35 @@ from millrace.operators.ordered import same_keys
 TRACKED = 10_000
 
 
-def hot_keys(rows: DataFrame, keys: Sequence[str], parts: int) -> list[tuple[int, int]]:
-    """``hash, salts`` of the keys of ``rows`` that exceed half of an even share of ``parts`` tasks.
+HotKeys = list[tuple[int, int]]
 
-    A mergeable sketch of frequent items counts the keys' hashes in one pass; its memory is fixed, and counts are
-    never too low. A key gets as many salts as it has half shares, so all salts together are at most two per task.
+
+def hot_keys(rows: DataFrame, *key_sets: Sequence[str]) -> list[HotKeys]:
+    """``hash, salts`` of the keys of ``rows`` that exceed half of a task's even share, for each set of key columns.
+
+    A mergeable sketch of frequent items counts the keys' hashes, for all sets in one pass; its memory is fixed, and
+    counts are never too low. A key gets as many salts as it has half shares, so all salts of a set are at most two
+    per task.
     """
-    item = F.xxhash64(*keys).alias("item")
-    found, total = rows.select(item).agg(F.expr(f"approx_top_k(item, {TRACKED // 10}, {TRACKED})"), F.count(F.lit(1))).first()
-    share = max(total / (2 * parts), 1.0)
-    return [(top["item"], math.ceil(top["count"] / share)) for top in found if top["count"] > share]
+    items = rows.select(*[F.xxhash64(*keys).alias(f"item{i}") for i, keys in enumerate(key_sets)])
+    sketches = [F.expr(f"approx_top_k(item{i}, {TRACKED // 10}, {TRACKED})") for i in range(len(key_sets))]
+    *found, total = items.agg(*sketches, F.count(F.lit(1))).first()
+    share = max(total / (2 * int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))), 1.0)
+    return [[(top["item"], math.ceil(top["count"] / share)) for top in tops if top["count"] > share] for tops in found]
 
 
 def salted_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str, salt_by: Column,
-                measured: DataFrame | None = None) -> DataFrame:
+                hot: HotKeys | None = None) -> DataFrame:
     """Join rows whose keys may be hot to a table with one row per key; NULL keys match each other.
 
     The rows of a hot key go to as many tasks as its count asks for, by a hash of another column, and only its one
-    row on the right is copied. Cold keys are not salted and nothing is copied for them. ``measured`` are rows that
-    are cheaper to count than ``left`` and hold each of its keys at least as often.
+    row on the right is copied. Cold keys are not salted and nothing is copied for them. ``hot`` are the ``hot_keys``
+    of ``left``, or of rows that are cheaper to count and hold each of its keys at least as often.
     """
-    spark = left.sparkSession
-    hot = hot_keys(left if measured is None else measured, keys, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    hot = hot_keys(left, keys)[0] if hot is None else hot
     a, b, matched = left.alias("a"), right.alias("b"), same_keys(keys)
     if hot:
-        table = F.broadcast(spark.createDataFrame(hot, "_hash long, _salts int"))  # at most TRACKED / 10 rows
+        table = F.broadcast(left.sparkSession.createDataFrame(hot, "_hash long, _salts int"))  # at most TRACKED / 10 rows
         salts = F.coalesce("_salts", F.lit(1))
         a = left.join(table, F.xxhash64(*keys) == F.col("_hash"), "left").withColumn("_salt", F.pmod(F.xxhash64(salt_by), salts)).alias("a")
         b = right.join(table, F.xxhash64(*keys) == F.col("_hash"), "left").withColumn(
@@ -90,14 +94,14 @@ def co_participants(edges: DataFrame, src: str, dst: str) -> DataFrame:
         edges.groupBy(dst).agg(F.min(src).alias("_lo"), F.max(src).alias("_hi"))
         .filter(F.col("_lo") != F.col("_hi")).select(dst)
     )
-    return salted_join(links, shared, [dst], "left_semi", F.col(src), measured=edges).select(src).distinct()
+    return salted_join(links, shared, [dst], "left_semi", F.col(src), hot_keys(edges, [dst])[0]).select(src).distinct()
 
 
 def reaching_targets_of(edges: DataFrame, src: str, dst: str, others: DataFrame, other_dst: str) -> DataFrame:
     """Distinct sources with an edge to a target that also has an edge in ``others``."""
     links = edges.select(src, dst).distinct()
     targets = others.select(F.col(other_dst).alias(dst)).distinct()
-    return salted_join(links, targets, [dst], "left_semi", F.col(src), measured=edges).select(src).distinct()
+    return salted_join(links, targets, [dst], "left_semi", F.col(src), hot_keys(edges, [dst])[0]).select(src).distinct()
 
 
 def double_lookup(links: DataFrame, src_key: str, dst_key: str, src: DataFrame, dst: DataFrame,

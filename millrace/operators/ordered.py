@@ -135,7 +135,8 @@ def quantiles(df: DataFrame, by: Sequence[str], value: str, probs: dict[str, flo
     known = df.filter(F.col(value).isNotNull()).select(*by, value)
     brackets = _brackets(known.withColumn("n", F.lit(1)), by, value, probs, margin, extra)
     cells = _cells(known, by, value, brackets, len(probs))
-    if cells.count() <= FEW_CELLS:
+    few = cells.count() <= FEW_CELLS
+    if few:
         before = Window.partitionBy(*by).orderBy("_zone", value).rowsBetween(Window.unboundedPreceding, -1)
         placed = cells.withColumn("_start", F.coalesce(F.sum("n").over(before), F.lit(0)))
     else:
@@ -152,7 +153,8 @@ def quantiles(df: DataFrame, by: Sequence[str], value: str, probs: dict[str, flo
         lo, hi = F.col(f"_{name}_lo"), F.col(f"_{name}_hi")
         columns.append((lo + (hi - lo) * (at - F.floor(at))).alias(name))
         missed = missed | lo.isNull() | hi.isNull()
-    found = freeze(placed.groupBy(*by).agg(F.max("_total").alias("_rows"), *ends))
+    found = placed.groupBy(*by).agg(F.max("_total").alias("_rows"), *ends)
+    found = found if few else freeze(found)  # read twice
     if margin < 1 and not found.filter(missed).isEmpty():
         return quantiles(df, by, value, probs, extra, margin * 64)
     found = found.select(*by, *columns)

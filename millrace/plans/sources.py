@@ -20,7 +20,8 @@ def scan_text_lines(t):
 
 
 @plan(r"SELECT doc_id, replace(text, E'\n', ' ') AS body FROM documents")
-def scan_whole_document(t):
+def whole_document_lines(t):
+    """Whole documents on one line each, from a column."""
     return t.documents.select("doc_id", files.joined_lines(F.col("text")).alias("body"))
 
 
@@ -31,8 +32,8 @@ FILES = 8
              GROUP BY doc_id % {FILES}),
       cut AS (SELECT unnest(string_split_regex(body, '[.?!]')) AS sentence FROM whole)
       SELECT sentence, count(*) AS n FROM cut GROUP BY sentence""")
-def scan_split_files(t):
-    """Sentences over line ends and split ends of a few long files, which are read in several splits each."""
+def scan_whole_document(t):
+    """Sentences over the line ends and split ends of a few long documents, files that are read in several splits each."""
     texts = t.documents.select("doc_id", "text")
     placed = texts.repartitionById(FILES, F.pmod("doc_id", F.lit(FILES)).cast("int")).sortWithinPartitions("doc_id")
     path = files.write_lines(placed.select("text"), scratch_path(t.spark, "files"))
@@ -118,7 +119,8 @@ def scan_catalog_table(t):
     name = scratch_name("order_items")
     rows = t.lineitem.select("l_orderkey", "l_linenumber", "l_quantity")
     tables.save_table(rows, name, location=scratch_path(t.spark, name))
-    return t.spark.sql(f"SELECT l_orderkey, sum(l_quantity) AS total, count(l_linenumber) AS items FROM {name} GROUP BY l_orderkey")
+    totals = t.spark.sql(f"SELECT l_orderkey, sum(l_quantity) AS total, count(l_linenumber) AS items FROM {name} GROUP BY l_orderkey")
+    return tables.without_name(totals, name)
 
 
 @plan("""SELECT col_name, data_type, (SELECT count(*) FROM customer) AS n FROM (VALUES ('freq', 'int'), ('word', 'string'))
@@ -142,7 +144,8 @@ def load_append(t):
     tables.create_table(t.spark, name, "event_type STRING, value DOUBLE", scratch_path(t.spark, name))
     tables.load_append(t.events.filter("value < 50"), name)
     tables.load_append(t.events.filter("NOT value < 50 OR value IS NULL"), name)
-    return t.spark.sql(f"SELECT event_type, count(*) AS n, count_if(value < 50) AS low FROM {name} GROUP BY event_type")
+    counts = t.spark.sql(f"SELECT event_type, count(*) AS n, count_if(value < 50) AS low FROM {name} GROUP BY event_type")
+    return tables.without_name(counts, name)
 
 
 @plan("""SELECT p_brand AS word, count(*) AS freq FROM part GROUP BY p_brand""")
@@ -151,7 +154,7 @@ def insert_overwrite_select(t):
     tables.create_table(t.spark, name, "word STRING, freq BIGINT", scratch_path(t.spark, name))
     tables.load_append(t.part.select(F.col("p_type").alias("word"), F.lit(0).cast("bigint").alias("freq")), name)
     tables.insert_overwrite(t.spark, name, "SELECT p_brand AS word, count(*) AS freq FROM {part} GROUP BY p_brand", part=t.part)
-    return t.spark.table(name)
+    return tables.without_name(t.spark.table(name), name)
 
 
 @plan("SELECT c_name FROM customer WHERE c_acctbal > 3500")

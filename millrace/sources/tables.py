@@ -5,7 +5,6 @@ from __future__ import annotations
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 
@@ -80,6 +79,7 @@ def run_bound(spark: SparkSession, query: str, binds: list[Any] | dict[str, Any]
     return spark.sql(query, args=binds, **frames)
 
 
-def outcome(df: DataFrame, label: str, result: str) -> DataFrame:
-    """One row that tells what a guarded write did and how many rows the target has."""
-    return df.agg(F.lit(label).alias("step"), F.lit(result).alias("result"), F.count(F.lit(1)).alias("n"))
+def without_name(df: DataFrame, name: str) -> DataFrame:
+    """A frame over an external table once its name is dropped: the frame is bound to the files, which stay."""
+    df.sparkSession.sql(f"DROP TABLE {name}")
+    return df

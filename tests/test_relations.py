@@ -48,15 +48,17 @@ def test_salted_join_with_a_hot_key(spark, rows, how, limit):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
 
 
-def test_only_hot_keys_are_salted(rows):
-    data = [("hot" if i % 3 == 0 else None if i % 3 == 1 and i % 2 else f"k{i}", i) for i in range(3000)]
+def test_only_hot_keys_are_salted(spark, rows):
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    data = [("hot" if i % 3 == 0 else None if i % 3 == 1 and i % 2 else f"k{i}", i % 2) for i in range(3000)]
     left = rows(data, "k string, i int")
-    hot = dict(joins.hot_keys(left, ["k"], 8))
+    hot, both = (dict(found) for found in joins.hot_keys(left, ["k"], ["i"]))
     by_name = {r[0]: r[1] for r in left.select("k", F.xxhash64("k")).distinct().collect()}
-    assert set(hot) == {by_name["hot"], by_name[None]}
-    assert hot[by_name["hot"]] == math.ceil(1000 / (3000 / 16)) and hot[by_name[None]] == math.ceil(500 / (3000 / 16))
-    assert joins.hot_keys(left.limit(0), ["k"], 8) == []
-    assert joins.hot_keys(rows([(f"k{i}", i) for i in range(300)], "k string, i int"), ["k"], 8) == []
+    share = 3000 / (2 * parts)
+    assert hot == {by_name["hot"]: math.ceil(1000 / share), by_name[None]: math.ceil(500 / share)}
+    assert list(both.values()) == [parts, parts]
+    assert joins.hot_keys(left.limit(0), ["k"]) == [[]]
+    assert joins.hot_keys(rows([(f"k{i}", i) for i in range(300)], "k string, i int"), ["k"]) == [[]]
 
 
 def test_a_hot_key_fills_an_even_stage(spark, rows):
