@@ -35,6 +35,8 @@ NORMAL, UNKNOWN, CONTROL, USER, BYTE = 1, 2, 3, 4, 6
 UNIGRAM, BPE = 1, 2
 #: Distinct parts whose paths a worker remembers, and texts encoded together.
 MOST_PARTS = 800_000
+#: Letters of the longest part that is composed together with others.
+LONG_PART = 64
 TEXTS_AT_ONCE = 500
 
 
@@ -231,26 +233,178 @@ class PieceTransducer:
         return text[1:] if self.prefix and text.startswith(" ") else text
 
 
+class Lookup:
+    """Numbers not below 0 with a value each, found many at a time: open addressing in arrays."""
+
+    def __init__(self, bits: int = 12):
+        self.bits, self.size = bits, 0
+        self.keys, self.values = np.full(1 << bits, -1, np.int64), np.zeros(1 << bits, np.int64)
+
+    def slots(self, keys: np.ndarray) -> np.ndarray:
+        return ((keys.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - self.bits)).view(np.int64)
+
+    def get(self, keys: np.ndarray) -> np.ndarray:
+        """The values, -1 for a key that is not there."""
+        out, live, at = np.full(len(keys), -1, np.int64), np.arange(len(keys)), self.slots(keys)
+        while len(live):
+            there = self.keys[at]
+            hit = there == keys[live]
+            out[live[hit]] = self.values[at[hit]]
+            on = ~hit & (there >= 0)
+            live, at = live[on], (at[on] + 1) & (len(self.keys) - 1)
+        return out
+
+    def put(self, keys: np.ndarray, values: np.ndarray) -> None:
+        """Add distinct new keys."""
+        if 2 * (self.size + len(keys)) > len(self.keys):
+            old = self.keys[self.keys >= 0], self.values[self.keys >= 0]
+            size = self.size + len(keys)
+            self.__init__(max(self.bits + 1, (4 * size).bit_length()))
+            self.put(*old)
+        self.size += len(keys)
+        at = self.slots(keys)
+        while len(keys):
+            free = self.keys[at] < 0
+            self.keys[at[free]] = keys[free]  # of several keys for a slot the last stays
+            mine = self.keys[at] == keys
+            self.values[at[mine]] = values[mine]
+            keys, values, at = keys[~mine], values[~mine], (at[~mine] + 1) & (len(self.keys) - 1)
+
+
+class Arcs:
+    """The piece arcs as arrays, composed with many parts at a time; the same paths as ``PieceTransducer.shortest``."""
+
+    def __init__(self, transducer: PieceTransducer):
+        self.transducer = transducer
+        self.names = {number: text for text, number in transducer.arcs.items()}
+        letters = sorted({c for text in transducer.arcs for c in text})
+        self.letters = np.zeros(0x110000, np.int64)  # 0: in no piece
+        self.letters[[ord(c) for c in letters]] = np.arange(1, len(letters) + 1)
+        self.single = np.zeros(0x110000, bool)
+        self.single[[ord(text) for text in transducer.arcs if len(text) == 1]] = True
+        self.width = len(letters) + 1
+        nodes, number = {"": 0}, [-1]
+        for text in transducer.arcs:
+            for end in range(1, len(text) + 1):
+                if text[:end] not in nodes:
+                    nodes[text[:end]] = len(nodes)
+                    number.append(-1)
+            number[nodes[text]] = transducer.arcs[text]
+        edges = [(nodes[text[:-1]] * self.width + int(self.letters[ord(text[-1])]), node) for text, node in nodes.items() if text]
+        self.edges = Lookup()
+        self.edges.put(*(np.array(column, np.int64) for column in zip(*edges)))
+        self.number = np.array(number, np.int64)
+        self.states = len(transducer.weight) + 1
+        self.forget()
+
+    def forget(self) -> None:
+        self.pairs = Lookup()
+
+    def takes(self, parts: list[str]) -> tuple[list[str], list[str]]:
+        """The parts that ``paths`` can take, and the others."""
+        rest = [p for p in parts if len(p) > LONG_PART]
+        parts = [p for p in parts if len(p) <= LONG_PART] if rest else parts
+        if not parts:
+            return [], rest
+        sizes = np.fromiter(map(len, parts), np.int64, len(parts))
+        known = np.minimum.reduceat(self.single[np.frombuffer("".join(parts).encode("utf-32-le"), np.uint32)], np.cumsum(sizes) - sizes)
+        return [p for p, k in zip(parts, known) if k], rest + [p for p, k in zip(parts, known) if not k]
+
+    def read(self, text: str, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Every arc that reads a piece of the joined parts: its place, the place after it, and the piece."""
+        letters = self.letters[np.frombuffer(text.encode("utf-32-le"), np.uint32)]
+        start = np.arange(len(letters))
+        at, node, found = start.copy(), np.zeros(len(start), np.int64), []
+        while len(start):
+            node = self.edges.get(node * self.width + letters[at])
+            goes = node >= 0
+            start, at, node = start[goes], at[goes] + 1, node[goes]
+            piece = self.number[node]
+            found.append((start[piece >= 0], at[piece >= 0], piece[piece >= 0]))
+            more = at < ends[start]
+            start, at, node = start[more], at[more], node[more]
+        return tuple(np.concatenate(column) for column in zip(*found))
+
+    def follow(self, states: np.ndarray, pieces: np.ndarray) -> np.ndarray:
+        """Whether each piece may follow the state (a piece's number plus one, 0: the start of a part)."""
+        keys = states * self.states + pieces
+        known = self.pairs.get(keys)
+        if (known < 0).any():
+            new, names = np.unique(keys[known < 0]), self.names
+            self.pairs.put(new, np.array([self.transducer.follows(
+                names[k // self.states - 1] if k >= self.states else "", names[k % self.states]) for k in new.tolist()], np.int64))
+            known = self.pairs.get(keys)
+        return known > 0
+
+    def paths(self, parts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all parts in a row and where each part's end; every part is made of letters of pieces.
+
+        Places are entered in the order of their distance from the start of their part, so one step serves all parts.
+        """
+        sizes = np.fromiter(map(len, parts), np.int64, len(parts))
+        first = np.cumsum(sizes) - sizes
+        part_of = np.repeat(np.arange(len(parts)), sizes)
+        start, end, piece = self.read("".join(parts), np.repeat(first + sizes, sizes))
+        owner = part_of[start]
+        order = np.argsort(end - first[owner], kind="stable")
+        start, end, piece, owner = start[order], end[order], piece[order], owner[order]
+        steps = np.searchsorted(end - first[owner], np.arange(1, int(sizes.max(initial=0)) + 2))
+        start, end = start + owner, end + owner  # places between letters: one more than letters for each part
+        state, back = np.zeros(len(part_of) + len(parts), np.int64), np.zeros(len(part_of) + len(parts), np.int64)
+        for a, b in zip(steps, steps[1:]):
+            on = np.flatnonzero(self.follow(state[start[a:b]], piece[a:b])) + a
+            state[end[on]], back[end[on]] = piece[on] + 1, start[on]
+        begin = first + np.arange(len(parts))
+        at, who, taken = begin + sizes, np.arange(len(parts)), []
+        while len(at):
+            going = at > begin[who]
+            at, who = at[going], who[going]
+            taken.append((who, state[at] - 1))
+            at = back[at]
+        counts = sum((np.bincount(w, minlength=len(parts)) for w, _ in taken), np.zeros(len(parts), np.int64))
+        ends = np.cumsum(counts)
+        ids = np.zeros(int(ends[-1]) if len(ends) else 0, np.int32)
+        for step, (w, numbers) in enumerate(taken):
+            ids[ends[w] - 1 - step] = numbers
+        return ids, ends
+
+
 class PathTable(dict):
     """The paths of distinct parts, each composed once, in one array; the key's value is the path's number."""
 
     def __init__(self, transducer: PieceTransducer, most: int):
         super().__init__()
         self.transducer, self.most = transducer, most
+        self.arcs = Arcs(transducer) if transducer.kind == BPE else None
         self.forget()
 
     def forget(self) -> None:
         self.clear()
         self.flat, self.ends, self.same = array("i"), array("q", [0]), array("b")
-
-    def __missing__(self, part: str) -> int:
-        path = self.transducer.shortest(part)
-        self.flat.extend(path)
-        self.ends.append(len(self.flat))
-        out = b"".join(map(self.transducer.out.__getitem__, path)).decode("utf-8", "replace")
-        self.same.append(out == part)
-        self[part] = number = len(self.same) - 1
-        return number
+        if self.arcs:
+            self.arcs.forget()
+
+    def compose(self, new: set[str]) -> None:
+        """Add the paths of new parts: many at a time, but one by one where a part is long or holds a letter of no piece."""
+        many, rest = self.arcs.takes(list(new)) if self.arcs else ([], list(new))
+        if many:
+            self.add(many, *self.arcs.paths(many))
+        for part in rest:
+            path = self.transducer.shortest(part)
+            self.add([part], np.array(path, np.int32), np.array([len(path)]))
+
+    def add(self, parts: list[str], ids: np.ndarray, ends: np.ndarray) -> None:
+        out = list(map(self.transducer.out.__getitem__, ids.tolist()))
+        sizes = np.concatenate([[0], np.cumsum(np.fromiter(map(len, out), np.int64, len(out)))])[ends]
+        wanted = [part.encode() for part in parts]
+        if b"".join(out) == b"".join(wanted) and np.array_equal(sizes, np.cumsum(np.fromiter(map(len, wanted), np.int64, len(wanted)))):
+            same = [True] * len(parts)
+        else:
+            same = [b"".join(out[a:b]).decode("utf-8", "replace") == part for part, a, b in zip(parts, [0, *ends], ends)]
+        self.update(zip(parts, range(len(self.same), len(self.same) + len(parts))))
+        self.ends.extend((len(self.flat) + ends).tolist())
+        self.flat.frombytes(ids.astype(np.int32).tobytes())
+        self.same.extend(same)
 
     def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """All ids, where each text's begin (and the end), and whether the paths of its parts decode to them."""
@@ -261,6 +415,7 @@ class PathTable(dict):
         for text in texts:
             parts += self.transducer.parts_of(text or "")
             sizes.append(len(parts))
+        self.compose(set(parts).difference(self))
         numbers = np.fromiter(map(self.__getitem__, parts), np.int64, len(parts))
         ends = np.array(self.ends)
         starts, lengths = ends[numbers], ends[numbers + 1] - ends[numbers]
@@ -296,7 +451,9 @@ def encode(docs: DataFrame, text: str = "text", ids: str = "token_ids", model: s
     long texts and empty tables need no rule. An existing column ``ids`` is replaced. ``decodes`` names a further
     column that tells whether the ids decode to the text again, as in ``round_trips``.
     """
-    added = [T.StructField(ids, T.ArrayType(T.IntegerType(), False))] + [T.StructField(decodes, T.BooleanType())] * bool(decodes)
+    added = [T.StructField(ids, T.ArrayType(T.IntegerType(), False))]
+    if decodes:
+        added.append(T.StructField(decodes, T.BooleanType()))
     names = [c for c in docs.columns if c not in (ids, decodes)]
     schema = T.StructType([docs.schema[c] for c in names] + added)
     shared = shipped(docs, model)

@@ -2,11 +2,13 @@
 
 import hashlib
 import itertools
+import random
 import re
 import struct
 import zlib
 from collections import Counter
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -156,6 +158,35 @@ def test_pieces_of_whole_tables(docs, rows, monkeypatch):
     assert marked.token_ids == library.encode("a ▁ b")
 
 
+def test_paths_of_many_parts_equal_those_of_one(monkeypatch):
+    with open(pieces.MODEL, "rb") as file:
+        transducer = pieces.PieceTransducer(file.read())
+    rng = random.Random(4)
+    letters = "aeiourstnl éü漢字😀ſ" + "th" * 3
+    parts = list({"▁" * rng.randrange(3) + "".join(rng.choice(letters) for _ in range(rng.randrange(1, 30))).replace(" ", "x") for _ in range(4000)})
+    parts += ["x" * 200, "▁" * 70, "▁", "a"]
+    table = pieces.PathTable(transducer, 10**6)
+    table.compose(set(parts))
+    for part in parts:
+        number = table[part]
+        assert tuple(table.flat[table.ends[number] : table.ends[number + 1]]) == transducer.shortest(part)
+        assert table.same[number]
+    assert len(table) == len(set(parts)) == len(table.same) == len(table.ends) - 1
+
+
+def test_lookup_against_a_dict():
+    rng = random.Random(7)
+    want, ours = {}, pieces.Lookup(2)
+    for _ in range(30):
+        new = {rng.randrange(1 << 40): rng.randrange(100) for _ in range(rng.randrange(60))}
+        new = {k: v for k, v in new.items() if k not in want}
+        ours.put(np.array(list(new), np.int64), np.array(list(new.values()), np.int64))
+        want |= new
+        asked = [*want, *(rng.randrange(1 << 40) for _ in range(50))]
+        assert ours.get(np.array(asked, np.int64)).tolist() == [want.get(k, -1) for k in asked]
+    assert len(ours.get(np.zeros(0, np.int64))) == 0
+
+
 def test_the_path_table_forgets_and_goes_on():
     with open(pieces.MODEL, "rb") as file:
         transducer = pieces.PieceTransducer(file.read())
