@@ -156,23 +156,14 @@ def named(spreads: DataFrame) -> DataFrame:
 CHI2_MEDIAN = 5.348
 
 
-def still_falling(before: DataFrame, after: DataFrame, least: float) -> bool:
-    """Whether some group's log-determinant fell by more than ``least``; both have one row per group."""
-    log_det = sum((F.log(f"l_{i}_{i}") for i in range(1, len(VECTOR))), F.log("l_0_0"))
-    a = before.select("__group", log_det.alias("was"))
-    b = after.select(F.col("__group").alias("g2"), log_det.alias("now"))
-    fall = a.join(b, F.col("__group").eqNullSafe(F.col("g2"))).agg(F.max(F.col("was") - F.col("now"))).first()[0]
-    return fall is not None and fall > least
-
-
-def mcd(rows: DataFrame, least: int = 60, share: float = 0.75, steps: int = 15) -> DataFrame:
+def mcd(rows: DataFrame, least: int = 60, share: float = 0.75, steps: int = 6) -> DataFrame:
     """Add ``distance2`` to ``rows`` (with ``fit_group`` and the vector): robust squared Mahalanobis distances.
 
     Concentration steps: start from the rows nearest to the group's medians in units of its median deviations; then
-    take mean and covariance of the ``share`` of the group's rows that are nearest, by the distances under the estimate
-    before, which can only lower the determinant, until no group's determinant falls by a thousandth (or ``steps``
-    times). Distances are scaled so that their median is at most the chi-square median. Rows that failed the base rules
-    are judged but never fitted. Each step reads the statistics twice and moves one row per group and task; nothing of
+    ``steps`` times take mean and covariance of the ``share`` of the group's rows that are nearest, by the distances
+    under the estimate before, which can only lower the determinant. The number is fixed, so that the work grows with
+    the rows alone; after six, further steps move no distance by much. Distances are scaled so that their median is at
+    most the chi-square median. Rows that failed the base rules are judged but never fitted. Each step reads the statistics twice and moves one row per group and task; nothing of
     a group is gathered.
     """
     names = list(VECTOR)
@@ -186,15 +177,12 @@ def mcd(rows: DataFrame, least: int = 60, share: float = 0.75, steps: int = 15)
     started = good.join(deviations, F.col("fit_group").eqNullSafe(F.col("__group")))
     first = sum(((F.col(a) - F.col(f"c_{a}")) / F.greatest(F.col(f"w_{a}"), F.lit(VECTOR[a]))) ** 2 for a in names)
     near = started.select(*rows.columns, first.alias("d2"))
-    spreads = None
     for _ in range(steps):
         cut = freeze(near.groupBy("fit_group").agg(F.percentile_approx("d2", share, 1000).alias("cut"))
                      .withColumnRenamed("fit_group", "__group"))
         inner = near.join(cut, F.col("fit_group").eqNullSafe(F.col("__group"))).where("d2 <= cut")
-        before, spreads = spreads, freeze(named(spread_of(inner)))
+        spreads = freeze(named(spread_of(inner)))
         near = distanced(good, spreads).select(*rows.columns, "d2")
-        if before is not None and not still_falling(before, spreads, 0.001):
-            break
     scale = freeze(near.groupBy("fit_group").agg(
         (F.percentile_approx("d2", 0.5, 1000) / CHI2_MEDIAN).alias("scale"), F.count("*").alias("n_good"))
         .withColumnsRenamed({"fit_group": "g2"}))

@@ -88,3 +88,5 @@ def test_steps_lower_the_determinant(spark):
     centre, spread = inner.mean(axis=0), np.cov(inner.T, bias=True)
     again = np.einsum("ij,jk,ik->i", x - centre, np.linalg.inv(spread), x - centre)
     assert np.corrcoef(again, d2)[0, 1] > 0.999
+    longer = np.array([r.distance2 for r in quality.mcd(frame, steps=9).orderBy("id").collect()])
+    assert np.abs(longer / d2 - 1).max() < 0.02
