@@ -10,7 +10,6 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.llm.base import query, read
-from millrace.session import freeze
 
 #: N-grams of a profile and of a document, and their lengths; a word is padded with one blank on both sides.
 PROFILE = 300

@@ -10,7 +10,6 @@ from __future__ import annotations
 
 import re
 import zlib
-from collections import Counter
 
 import numpy as np
 import pyarrow as pa
