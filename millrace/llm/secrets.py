@@ -79,15 +79,15 @@ def scan_new(docs: DataFrame, ledger: str, rules: tuple[Rule, ...] = RULES, doc_
     wanted = F.array(*[F.struct(F.lit(r.kind).alias("kind"), F.lit(r.version).alias("version")) for r in rules])
     seen = open_ledger(spark, ledger).select("blob", "kind", "version")
     todo = (
-        paths.groupBy("blob").agg(F.min("doc_id").alias("one_id"))
-        .withColumn("pair", F.explode(wanted)).select("blob", "one_id", "pair.kind", "pair.version")
+        paths.groupBy("blob").agg(F.xxhash64(F.min("doc_id")).alias("place"))
+        .withColumn("pair", F.explode(wanted)).select("blob", "place", "pair.kind", "pair.version")
         .join(seen, ["blob", "kind", "version"], "left_anti")
-        .groupBy("blob", "one_id").agg(F.collect_set("kind").alias("kinds"))
+        .groupBy("blob", "place").agg(F.collect_set("kind").alias("kinds"))
     )
-    texts = docs.select(F.col(doc_id).alias("doc_id"), filled(text).alias("text")).withColumn(
+    texts = docs.select(F.xxhash64(doc_id).alias("place"), filled(text).alias("text")).withColumn(
         "blob", F.unhex(F.sha2("text", 256)))
-    fresh = texts.join(todo, (texts.blob == todo.blob) & texts.doc_id.eqNullSafe(todo.one_id)).select(
-        texts.blob, texts.doc_id, "text", "kinds").dropDuplicates(["blob", "doc_id"])  # rows may repeat id and text
+    # rows may repeat id and text; they lie together since the join, so nothing moves to drop them
+    fresh = texts.join(todo, ["blob", "place"]).dropDuplicates(["blob", "place"])
     found = F.array(*[
         F.struct(F.lit(r.kind).alias("kind"), F.lit(r.version).alias("version"),
                  F.when(F.array_contains("kinds", r.kind), matches(F.col("text"), r)).alias("spans")) for r in rules])
