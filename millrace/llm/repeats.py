@@ -6,8 +6,10 @@ windows sample equal places, which a cover by residues of positions gives only p
 1.3 % of all places instead of 11 %. A sample's bucket holds all places with the same ``GRAM`` bytes. A run is the
 maximal row of window starts with one sample; its rank is the hash of all bytes its windows cover. Runs of equal rank
 are repeated as a whole. Only in buckets with unequal runs, where passages begin or end, are single windows compared,
-one run for each rank: the bytes of these runs meet by bucket, one bucket at a time; a bucket with many ranks is
-instead spread over all tasks by the hashes of its windows.
+one run for each rank: the bytes of these runs meet by bucket, one bucket at a time. In a bucket with many ranks the
+runs are divided into pieces, and pieces at the same distance from the sample meet in buckets of their own, named by
+the bytes that all their windows share. Pieces are judged as runs were: equal ones are repeated as a whole, those that
+share their bytes with nobody are dropped, and what is left is divided again, at last into single windows.
 """
 
 from __future__ import annotations
@@ -26,8 +28,10 @@ LENGTH = 200
 GRAM = 50
 #: Window starts handled together, so that a very long text takes bounded memory.
 CHUNK = (1 << 20) - 2048
-#: Ranks of a bucket whose bytes may meet in one task; larger buckets are compared by hashes of single windows.
+#: Ranks of a bucket whose bytes may meet in one task; the runs of larger buckets are divided.
 MOST_RANKS = 500
+#: Windows of a piece, at each division of what larger buckets hold; the last are single windows.
+PIECES = (16, 1)
 _BASE = 0x9E3779B97F4A7C15 | 1
 
 
@@ -54,7 +58,17 @@ class Sampler:
             return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
         return tuple(np.concatenate(part) for part in zip(*found))
 
+    def place(self, data: bytes) -> int:
+        """The place that the first window of ``data`` samples."""
+        return self._least(data[: self.length])[1][0]
+
     def _chunk(self, data: bytes, offset: int):
+        hashes, least = self._least(data)
+        starts = np.concatenate([[0], np.flatnonzero(np.diff(least)) + 1])
+        return starts + offset, np.diff(np.append(starts, len(least))), hashes[least[starts]].view(np.int64)
+
+    def _least(self, data: bytes):
+        """The hash at every place, and the place that each window samples."""
         n, gram = len(data), self.gram
         self.extend(n + 1)
         sums = np.zeros(n + 1, np.uint64)
@@ -71,9 +85,7 @@ class Sampler:
             span *= 2
         if span < width:
             least = np.minimum(least[: len(least) - (width - span)], least[width - span :])
-        starts = np.concatenate([[0], np.flatnonzero(np.diff(least)) + 1])
-        places = (least[starts] & low).astype(np.int64)
-        return starts + offset, np.diff(np.append(starts, len(least))), hashes[places].view(np.int64)
+        return hashes, (least & low).astype(np.int64)
 
 
 def short_hash(data: bytes) -> int:
@@ -145,28 +157,61 @@ def regions_of(joined: DataFrame, length: int) -> DataFrame:
         run, f"bucket long, large boolean, doc_id {kind}, key binary, start long, open boolean, bytes binary")
 
 
-def windows_of(regions: DataFrame, length: int) -> DataFrame:
-    """``doc_id, key, start, open, h1, h2`` of every window of the regions (``doc_id, key, start, open, bytes``)."""
+def pieces_of(regions: DataFrame, length: int, size: int) -> DataFrame:
+    """``bucket, rank, doc_id, key, start, stop, open, bytes`` of the regions' pieces of at most ``size`` windows.
+
+    A region's windows share one sampled place, and pieces are cut at fixed distances from it. So equal windows of
+    different regions are in pieces at one distance, and any piece there with such a window holds the bytes that all
+    windows at these distances share: these and the distance give the bucket.
+    """
+    size = min(size, length)
 
     def run(batches):
+        sampler = Sampler(length, min(GRAM, length))
         for batch in batches:
             for at in range(0, batch.num_rows, 500):
                 part = batch.slice(at, 500)
-                row, starts, hashes = [], [], []
+                row, buckets, ranks, starts, stops, pieces = [], [], [], [], [], []
                 for i, (start, data) in enumerate(zip(part.column(2).to_pylist(), part.column(4).to_pylist())):
-                    for s in range(len(data) - length + 1):
+                    n, place = len(data) - length + 1, int(sampler.place(data))
+                    cuts = [0, *range((place + 1) % size or size, n, size), n]
+                    for s, e in zip(cuts, cuts[1:]):
+                        apart = (place - s) // size
+                        last = place - apart * size
                         row.append(i)
                         starts.append(start + s)
-                        hashes.append(hashlib.blake2b(data[s : s + length], digest_size=16).digest())
+                        stops.append(start + e - 1 + length)
+                        pieces.append(data[s : e - 1 + length])
+                        buckets.append(short_hash(apart.to_bytes(8, "little") + data[last : last - size + 1 + length]))
+                        ranks.append(short_hash(pieces[-1]))
                 which = pa.array(row, pa.int32())
-                both = np.frombuffer(b"".join(hashes), np.int64).reshape(-1, 2)
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0).take(which), part.column(1).take(which), pa.array(starts, pa.int64()),
-                     part.column(3).take(which), pa.array(both[:, 0]), pa.array(both[:, 1])],
-                    ["doc_id", "key", "start", "open", "h1", "h2"])
+                    [pa.array(buckets, pa.int64()), pa.array(ranks, pa.int64()), part.column(0).take(which),
+                     part.column(1).take(which), pa.array(starts, pa.int64()), pa.array(stops, pa.int64()), part.column(3).take(which),
+                     pa.array(pieces, pa.binary())], ["bucket", "rank", "doc_id", "key", "start", "stop", "open", "bytes"])
 
     kind = regions.schema["doc_id"].dataType.simpleString()
-    return regions.mapInArrow(run, f"doc_id {kind}, key binary, start long, open boolean, h1 long, h2 long")
+    return regions.select("doc_id", "key", "start", "open", "bytes").mapInArrow(
+        run, f"bucket long, rank long, doc_id {kind}, key binary, start long, stop long, open boolean, bytes binary")
+
+
+def repeated(pieces: DataFrame) -> DataFrame:
+    """Spans ``doc_id, key, start, stop`` of the open pieces that have an equal."""
+    again = pieces.groupBy("bucket", "rank").agg(F.count("*").alias("same")).where("same > 1").drop("same")
+    return pieces.where("open").join(again.hint("merge"), ["bucket", "rank"]).select("doc_id", "key", "start", "stop")
+
+
+def undecided(pieces: DataFrame) -> DataFrame:
+    """``bucket, large, doc_id, key, start, open, bytes`` of what is still to be compared: a piece of each rank in the
+    buckets that have unequal pieces and an open one without an equal."""
+    ones = pieces.groupBy("bucket", "rank").agg(
+        F.count("*").alias("same"), F.min(F.struct("doc_id", "key", "start", "open", "bytes")).alias("one"))
+    ones = freeze(ones.select("bucket", "one.doc_id", "one.key", "one.start",
+                              (F.col("one.open") & (F.col("same") == 1)).alias("open"), "one.bytes"))
+    mixed = ones.groupBy("bucket").agg(F.count("*").alias("ranks"), F.max("open").alias("alone"))
+    mixed = mixed.where("ranks > 1 AND alone").select("bucket", (F.col("ranks") > MOST_RANKS).alias("large"))
+    return ones.join(mixed.hint("merge"), "bucket").select(
+        "bucket", "large", "doc_id", "key", "start", "open", "bytes")
 
 
 def compared(regions: DataFrame, length: int) -> DataFrame:
@@ -243,11 +288,14 @@ def repeated_spans(texts: DataFrame, length: int = LENGTH) -> DataFrame:
     # Rows that repeat a text give its runs twice, and these are repeated indeed.
     met = texts.join(chosen.hint("merge"), same_text(texts, chosen)).select(texts.doc_id, texts.key, texts.text, "runs")
     regions = freeze(regions_of(met, length))
-    small = compared(regions.where("NOT large").drop("large"), length)
-    windows = freeze(windows_of(regions.where("large").select("doc_id", "key", "start", "open", "bytes"), length))
-    again = windows.groupBy("h1", "h2").agg(F.count("*").alias("same")).where("same > 1").drop("same")
-    spans = whole.unionByName(small).unionByName(windows.where("open").join(again.hint("merge"), ["h1", "h2"]).select(
-        "doc_id", "key", "start", (F.col("start") + length).alias("stop")))
+    spans = whole.unionByName(compared(regions.where("NOT large").drop("large"), length))
+    for size in PIECES:
+        pieces = pieces_of(regions.where("large"), length, size)
+        pieces = freeze(pieces if size > 1 else pieces.drop("bytes"))
+        spans = spans.unionByName(repeated(pieces))
+        if size > 1:
+            regions = freeze(undecided(pieces))
+            spans = spans.unionByName(compared(regions.where("NOT large").drop("large"), length))
     return spans
 
 
